@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language_id, lm_score, packing, quality, secrets, token_output
+from . import chat, decontaminate, jaccard_join, language_id, lm_score, packing, pii, quality, secrets, token_output
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
@@ -47,14 +55,21 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_trees(chat.linear_trees(rows.unionByName(extra))))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op4_lm_score": op4_lm_score,
     "op5_secrets": op5_secrets,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_output": op8_token_output,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
