@@ -1,7 +1,7 @@
 """Chat formatting of reply trees.
 
-Messages point at the message they reply to. Iterative self-joins walk from every leaf to its root, one level each
-time; branches of a tree are ranked by the sum of their messages' scores, and each chosen branch is formatted as one
+Messages point at the message they reply to. Iterative self-joins enumerate the path from every leaf to its root by
+doubling; branches of a tree are ranked by the sum of their messages' scores, and each chosen branch is formatted as one
 conversation: ``<|im_start|>role<|im_sep|>text<|im_end|>\\n`` a turn. Control strings inside roles and texts are escaped
 reversibly (a backslash doubles, ``<|`` becomes ``<\\|``), so a marker in the output is always a real one. Spans of
 assistant texts are returned as the loss mask.
@@ -55,41 +55,42 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
 def branches(messages: DataFrame, top: int | None = None) -> DataFrame:
     """Root-to-leaf branches of messages (tree, node, parent, score): rows (tree, leaf, branch, height, node).
 
-    height counts from the leaf (0) to the root. branch ranks the tree's branches by score, from 1, ties by leaf."""
+    height counts from the leaf (0) to the root. branch ranks the tree's branches by score, from 1, ties by leaf.
+    A chain of d messages takes 2 log2(d) self-joins: first each message learns its ancestor 1, 2, 4, ... levels up, then
+    branches, which begin with their leaf alone, are refined by these jumps from the longest to the shortest."""
     nodes = stored(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
-    parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     same = lambda a, b, c, d: F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
+    parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     leaf = nodes.join(parents, same("tree", "t", "node", "p"), "left_anti")
-    # The deepest chain has at most as many levels as its tree has messages.
+    # No chain is longer than its tree has messages, which also ends the search in a cycle.
     deepest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    frontier = stored(leaf.select("tree", F.col("node").alias("leaf"), "node", "parent", F.col("score").alias("sum")), "level")
-    levels = [frontier.withColumn("height", F.lit(0))]
-    up = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("parent").alias("p"), "score")
-    for height in range(1, deepest):
-        climbing = frontier.where("parent is not null")
-        frontier = stored(
-            climbing.join(up, same("tree", "t", "parent", "n")).select(
-                "tree", "leaf", F.col("n").alias("node"), F.col("p").alias("parent"), (F.col("sum") + F.col("score")).alias("sum")
-            ),
-            "level",
-        )
-        if frontier.isEmpty():
+    named = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
+    up = nodes.where("parent is not null").join(named, same("tree", "t", "parent", "n"), "left_semi")
+    jumps = [stored(up.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("parent").alias("up")), "jump")]
+    while 1 << len(jumps) < deepest:
+        step = jumps[-1].select(F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("up").alias("up2"))
+        more = stored(jumps[-1].join(step, same("t", "t2", "up", "n2")).select("t", "n", F.col("up2").alias("up")), "jump")
+        if more.isEmpty():
             break
-        levels.append(frontier.withColumn("height", F.lit(height)))
-    path = levels[0]
-    for more in levels[1:]:
-        path = path.unionByName(more)
-    w = Window.partitionBy("tree").orderBy(F.desc("sum"), "leaf")
-    rooted = path.where("parent is null").select(
-        F.col("tree").alias("t"), F.col("leaf").alias("l"), F.row_number().over(w).alias("branch")
+        jumps.append(more)
+    path = leaf.select("tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("height"), "node")
+    for k in range(len(jumps) - 1, -1, -1):
+        higher = path.join(jumps[k], same("tree", "t", "node", "n")).select("tree", "leaf", (F.col("height") + (1 << k)).alias("height"), F.col("up").alias("node"))
+        path = stored(path.unionByName(higher), "path")
+    known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), "parent", "score")
+    scored = path.join(known, same("tree", "t", "node", "n")).groupBy("tree", "leaf").agg(
+        F.sum("score").alias("sum"), F.max(F.col("parent").isNull()).alias("rooted")
     )
+    w = Window.partitionBy("tree").orderBy(F.desc("sum"), "leaf")
+    ranked = scored.where("rooted").select(F.col("tree").alias("t"), F.col("leaf").alias("l"), F.row_number().over(w).alias("branch"))
     if top is not None:
-        rooted = rooted.where(F.col("branch") <= top)
-    return path.join(rooted, same("tree", "t", "leaf", "l")).select("tree", "leaf", "branch", "height", "node")
+        ranked = ranked.where(F.col("branch") <= top)
+    return path.join(ranked, same("tree", "t", "leaf", "l")).select("tree", "leaf", "branch", "height", "node")
 
 
 def format_trees(messages: DataFrame, top: int | None = None) -> DataFrame:
     """Stored conversations of messages (tree, node, parent, role, text, score): tree, branch, formatted, loss spans."""
+    messages = stored(messages.select("tree", "node", "parent", "role", "text", "score"), "messages")
     chosen = branches(messages, top)
     said = messages.select(
         F.col("tree").alias("t"), F.col("node").alias("n"), F.coalesce("role", F.lit("")).alias("role"),
