@@ -162,12 +162,11 @@ class VoteModel:
 START = (0.99, 0.2)
 
 
-def fit_votes(patterns: list[tuple[list[int], int]], rounds: int = 100, strength: float = 0.005) -> VoteModel:
-    """Expectation-maximisation over (votes, how many documents).
+def fit_votes(patterns: list[tuple[list[int], int]], k: int, rounds: int = 100, strength: float = 0.005) -> VoteModel:
+    """Expectation-maximisation over (votes of k rules, how many documents).
 
     Pseudo-counts weigh the given share of all documents. A rule stays informative: a bad vote is always likelier on a
     bad document than on a good one, so that no class can turn into the other."""
-    k = len(patterns[0][0]) if patterns else 0
     total = sum(n for _, n in patterns)
     model = VoteModel(0.8, [START] * k)
     for _ in range(rounds if total else 0):
@@ -219,7 +218,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ),
         "votes",
     )
-    model = fit_votes(_patterns(voted, names))
+    model = fit_votes(_patterns(voted, names), len(names))
     p = model.posterior([F.col(x) for x in names])
     return voted.select(
         "doc_id", *shown, "base_failed", (~F.col("base_failed") & (p >= least)).alias("kept"),
@@ -236,6 +235,6 @@ def quality_filter(docs: DataFrame, text_col: str = "text", least: float = 0.5)
     counted = docs.withColumn(name, counts(F.col(text_col)))
     votes = rules(c)
     names = [f"v{i}" for i in range(len(votes))]
-    model = fit_votes(_patterns(counted.select(*(v.alias(n) for n, v in zip(names, votes.values(), strict=True))), names))
+    model = fit_votes(_patterns(counted.select(*(v.alias(n) for n, v in zip(names, votes.values(), strict=True))), names), len(names))
     good = model.posterior([*votes.values()]) >= least
     return counted.where(~base_failed(c) & good).select(*(F.col(f"`{x}`") for x in docs.columns))
