@@ -15,8 +15,10 @@ nothing is left to chance. Candidates pass a 512-bit parity sketch, whose Hammin
 way, and are then verified exactly on their sets of 64-bit shingle hashes.
 
 Texts with equal sets form one class beforehand. Within a block that several classes share, members are not paired
-with each other: all are compared with one of them, then components are formed, and only pairs of members that are
-still in different components are compared, in further rounds, until no such pair is left untested.
+with each other: in each round every class is compared with a few leaders of its blocks (first those that share most,
+then others by hash) that are not yet in its component, and components are formed anew; so a large group of near copies
+falls into few components in a number of pairs that grows with its size. When little is left, every pair of a block
+that is still in different components, of fitting sizes and sketches, is compared, so that no link is lost.
 
 Null or empty text: an empty set, linked with nothing. Texts of fewer words than a shingle: the whole sequence is one
 shingle. Repeated ids keep their rows. An empty table gives an empty result. Only the id and text columns are read.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, chunks, mix, shingles, stored, words
@@ -111,7 +113,7 @@ def summarise(docs: DataFrame, k: int, blocks: int, overlap: int) -> DataFrame:
 
 
 def candidates(summary: DataFrame) -> DataFrame:
-    """(key, fp, n): the blocks by which classes may find a partner."""
+    """(key, fp, n, weight): the blocks by which classes may find a partner."""
     rows = [
         summary.where(F.col(c).isNotNull()).select(
             F.explode(c).alias("key"), "fp", F.col("n").cast("int").alias("n"), F.col(f"{c}_least").alias("least"), F.lit(i).alias("role")
@@ -125,7 +127,8 @@ def candidates(summary: DataFrame) -> DataFrame:
     met = blocks.join(shared.select("key", "df"), "key").distinct()
     mine = Window.partitionBy("fp", "role")  # a class has a bounded number of blocks
     ranked = met.withColumn("rank", F.row_number().over(mine.orderBy("df", "key"))).withColumn("met", F.count("*").over(mine))
-    return ranked.where(F.col("rank") <= F.col("met") - F.col("least") + 1).select("key", "fp", "n")
+    ranked = ranked.withColumn("weight", F.sum("df").over(mine))  # of near copies the least changed shares most
+    return ranked.where(F.col("rank") <= F.col("met") - F.col("least") + 1).select("key", "fp", "n", "weight")
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -177,17 +180,23 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return stored(picked.dropDuplicates(["fp"]), "sets")
 
 
+def sketches_fit(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and parity sketches (columns <a>_n, <a>_s0, ...) allow the similarity: for p per cent,
+    difference * (100 + p) <= total * (100 - p)."""
+    differ = sum((F.bit_count(F.col(f"{a}_s{i}").bitwiseXOR(F.col(f"{b}_s{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
+    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def _side(name: str, df: DataFrame) -> DataFrame:
+    return df.select(F.col("fp").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in df.columns if c != "fp"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets have the similarity, as a stored table."""
-    light = sets.drop("set")
-    side = lambda x, df: df.select(F.col("fp").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in df.columns if c != "fp"))
-    near = pairs.join(side("a", light), "a").join(side("b", light), "b")
-    differ = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
-    total = F.col("a_n") + F.col("b_n")
-    # similarity p/100: difference * (100 + p) <= total * (100 - p)
-    near = near.where((differ * (100 + percent) <= total * (100 - percent)) & (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent))
-    whole = sets.select("fp", "set")
-    both = near.select("a", "b").join(side("a", whole), "a").join(side("b", whole), "b")
+    light, whole = sets.drop("set"), sets.select("fp", "set")
+    near = pairs.join(_side("a", light), "a").join(_side("b", light), "b").where(sketches_fit("a", "b", percent))
+    both = near.select("a", "b").join(_side("a", whole), "a").join(_side("b", whole), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,6 +210,25 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long"), "links")
 
 
+def _pairs_with_leaders(here: DataFrame, turn: int, leaders: int) -> DataFrame:
+    """(a, b): each class with some leaders of its blocks from other components."""
+    if turn:
+        order = F.struct(F.xxhash64("fp", "key", F.lit(turn)).alias("h"), "fp", "comp")
+    else:
+        order = F.struct(F.col("weight").alias("h"), "fp", "comp")
+    heads = here.groupBy("key").agg(F.max(order).alias("head"))
+    met = here.join(heads, "key").where("comp <> head.comp").select("fp", F.col("head.fp").alias("b"), F.col("head.h").alias("h")).distinct()
+    few = Window.partitionBy("fp").orderBy(F.desc("h"), "b")  # a class has a bounded number of blocks
+    return met.withColumn("rank", F.row_number().over(few)).where(F.col("rank") <= leaders).select(F.col("fp").alias("a"), "b")
+
+
+def _pairs_left(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs that share a block, lie in different components and may be similar by size and sketch."""
+    full = here.select("key", "fp", "comp").join(sets.drop("set"), "fp")
+    a, b = _side("a", full).withColumnRenamed("a_key", "key"), _side("b", full).withColumnRenamed("b_key", "key")
+    return a.join(b, (a.key == b.key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -209,7 +237,8 @@ def jaccard_components(
     percent: int = 75,
     blocks: int = 64,
     overlap: int = 8,
-    rounds: int = 4,
+    rounds: int = 8,
+    leaders: int = 2,
 ) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
 
@@ -226,31 +255,19 @@ def jaccard_components(
     sets = class_sets(docs, wanted, k)
 
     links = tested = labels = None
-    for turn in range(rounds):
+    for turn in range(rounds + 1):
         here = met.withColumn("comp", F.col("fp"))
         if labels is not None:
-            here = met.join(labels, met.fp == labels.node, "left").select("key", "fp", "n", F.coalesce("comp", "fp").alias("comp"))
-            here = stored(here, "labelled")
-        last = turn == rounds - 1
-        if turn:
-            left = (
-                here.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
-                .agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("open"))
-                .agg(F.sum("open").alias("open")).first()["open"] or 0
-            )
-            if not left:
-                break
-            last = last or left <= 1_000_000
-        if last:
-            # Every pair that shares a block and is still apart.
-            a = here.select("key", F.col("fp").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-            b = here.select("key", F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
-            fits = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
-            pairs = a.join(b, "key").where((F.col("ac") < F.col("bc")) & fits)
-        else:
-            pick = F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), "fp", "comp")) if turn else F.min(F.struct("n", "fp", "comp"))
-            heads = here.groupBy("key").agg(pick.alias("head"))
-            pairs = here.join(heads, "key").where("comp <> head.comp").select(F.col("fp").alias("a"), F.col("head.fp").alias("b"))
+            here = met.join(labels, met.fp == labels.node, "left").withColumn("comp", F.coalesce("comp", "fp"))
+        spread = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+        here = stored(here.join(spread, "key", "left_semi").select("key", "fp", "n", "weight", "comp"), "open")
+        size = here.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+            (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("apart"), F.sum("c").alias("c")
+        ).agg(F.sum("apart").alias("apart"), F.sum("c").alias("rows")).first()
+        if not size["apart"]:
+            break
+        last = turn == rounds or (turn > 1 and size["apart"] <= 8 * size["rows"])
+        pairs = _pairs_left(here, sets, percent) if last else _pairs_with_leaders(here, turn, leaders if turn else 1)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -261,6 +278,9 @@ def jaccard_components(
         labels = components(links)
         if last:
             break
+    if links is None:
+        links = docs.sparkSession.createDataFrame([], "a long, b long")
+        labels = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     by_class = (
