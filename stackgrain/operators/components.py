@@ -100,13 +100,15 @@ def persistence(comps: DataFrame, mode: str = "compat", most: int = 40) -> DataF
         here = comps.where("comp is not null").select("scan_id", "z", "comp").distinct()
         now = here.join(link, ["scan_id", "z", "comp"], "left").withColumn("depth", F.col("prev").isNotNull().cast("long"))
         for _ in range(most):
-            far = now.select("scan_id", F.col("z").alias("z2"), F.col("comp").alias("c2"), F.col("pz").alias("pz2"), F.col("prev").alias("p2"), F.col("depth").alias("d2"))
-            j = now.join(far, (now.scan_id == far.scan_id) & (now.pz == far.z2) & (now.prev == far.c2), "left")
-            now = j.select(now.scan_id, "z", "comp", F.col("pz2").alias("pz"), F.col("p2").alias("prev"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"))
-            now = now.checkpoint()
+            names = {"scan_id": "scan2", "z": "z2", "comp": "c2", "pz": "pz2", "prev": "p2", "depth": "d2"}
+            far = now.select(*(F.col(a).alias(b) for a, b in names.items()))
+            j = now.join(far, F.expr("scan_id = scan2 and pz = z2 and prev = c2"), "left")
+            deeper = F.col("depth") + F.coalesce("d2", F.lit(0))
+            now = j.select("scan_id", "z", "comp", F.col("pz2").alias("pz"), F.col("p2").alias("prev"), deeper.alias("depth")).checkpoint()
             if now.where("prev is not null").isEmpty():
                 break
-        ends = now.join(link.select("scan_id", F.col("pz").alias("z"), F.col("prev").alias("comp")).distinct(), ["scan_id", "z", "comp"], "left_anti")
+        chosen = link.select("scan_id", F.col("pz").alias("z"), F.col("prev").alias("comp")).distinct()
+        ends = now.join(chosen, ["scan_id", "z", "comp"], "left_anti")
         lives = ends.select("scan_id", (F.col("depth") + 1).alias("life")).where("life > 1")
     else:
         raise ValueError(f"unknown mode {mode}")
