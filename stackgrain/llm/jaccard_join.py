@@ -237,7 +237,7 @@ def jaccard_components(
     percent: int = 75,
     blocks: int = 64,
     overlap: int = 8,
-    rounds: int = 8,
+    rounds: int = 2,
     leaders: int = 2,
 ) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
@@ -266,7 +266,7 @@ def jaccard_components(
         ).agg(F.sum("apart").alias("apart"), F.sum("c").alias("rows")).first()
         if not size["apart"]:
             break
-        last = turn == rounds or (turn > 1 and size["apart"] <= 8 * size["rows"])
+        last = turn == rounds or (turn > 0 and size["apart"] <= 100 * size["rows"])
         pairs = _pairs_left(here, sets, percent) if last else _pairs_with_leaders(here, turn, leaders if turn else 1)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
