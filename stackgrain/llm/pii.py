@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a character BiLSTM with CRF transitions trained in numpy.
 
 The patterns give the base spans. The network is trained on the base spans of a bounded sample of documents
-(``train_docs``), and tags characters as outside, beginning or inside one of the four kinds. It reads overlapping
+(about ``train_docs``; of their windows at most ``windows``), and tags characters as outside, beginning or inside one of the four kinds. It reads overlapping
 windows around digits and at-signs: every kind of span holds one, so other places cannot begin or end a span. Each
 window is decoded with the CRF's best path; where windows overlap, each character takes the tag of the window in whose
 middle it lies best, and spans are formed over the whole text from these tags. Spans the patterns did not give are
@@ -331,26 +331,40 @@ def model_spans(model: Tagger | None, texts: list[str | None], least_confidence:
     return out
 
 
-def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, epochs: int = 12) -> Tagger | None:
-    """The network, trained on the base spans of train_docs documents that hold a digit or an at-sign."""
+def training_windows(docs: DataFrame, id_col: str, text_col: str, train_docs: int) -> DataFrame:
+    """(codes, tags) of the windows of about train_docs documents that hold a digit or an at-sign, chosen by hash."""
     text = F.col(text_col)
-    some = docs.where(text.rlike("[0-9@]")).select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("text"))
-    texts = [r["text"] for r in some.orderBy("h").limit(train_docs).collect()]
-    codes, tags = [], []
-    for t in texts:
-        starts = window_starts(t)
-        codes.append(windows_of(char_codes(t), starts))
-        tags.append(windows_of(gold_tags(len(t), base_spans(t)), starts, fill=0))
-    if not codes or not any(x.any() for x in tags):
+    some = docs.where(text.rlike("[0-9@]")).select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(1 << 40)).alias("h"), text.alias("text"))
+    n = some.count()
+    chosen = some.where(F.col("h") < int(min(1.0, train_docs / max(n, 1)) * (1 << 40))).select("text")
+
+    def run(batches: Iterator[list[list]]) -> Iterator[list[list]]:
+        for (texts,) in batches:
+            for t in texts:
+                starts = window_starts(t)
+                codes = windows_of(char_codes(t), starts).astype(np.uint8)
+                tags = windows_of(gold_tags(len(t), base_spans(t)), starts, fill=0).astype(np.uint8)
+                yield [[c.tobytes() for c in codes], [x.tobytes() for x in tags]]
+
+    return map_rows(chosen, run, "codes binary, tags binary")
+
+
+def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, epochs: int = 12, windows: int = 3000) -> Tagger | None:
+    """The network, trained on the base spans of about train_docs documents and at most so many windows."""
+    rows = training_windows(docs, id_col, text_col, train_docs).orderBy(F.xxhash64("codes"), "codes", "tags").limit(8 * windows).collect()
+    if not rows:
+        return None
+    codes = np.frombuffer(b"".join(r["codes"] for r in rows), np.uint8).reshape(-1, WIDTH).astype(np.int64)
+    tags = np.frombuffer(b"".join(r["tags"] for r in rows), np.uint8).reshape(-1, WIDTH).astype(np.int64)
+    marked = tags.any(axis=1)
+    if not marked.any():
         return None
-    every, gold = np.concatenate(codes), np.concatenate(tags)
-    # As many windows without a span as with one at most, and a bound on both; inside a window a span may be cut.
-    r = np.random.default_rng(1)
-    with_span = r.permutation(np.nonzero(gold.any(axis=1))[0])[:1500]
-    without = r.permutation(np.nonzero(~gold.any(axis=1))[0])[: max(len(with_span), 64)]
+    # No more windows without a span than with one.
+    with_span = np.nonzero(marked)[0][: windows // 2]
+    without = np.nonzero(~marked)[0][: max(len(with_span), 64)]
     own = np.concatenate((with_span, without))
     model = Tagger()
-    model.train(every[own], gold[own], epochs)
+    model.train(codes[own], tags[own], epochs)
     return model
 
 
