@@ -31,7 +31,8 @@ def least_along(g: np.ndarray, weight: float = 1) -> np.ndarray:
 
 def _line_pass(df: DataFrame, axis: str, weight: float) -> DataFrame:
     keys = [c for c in ("scan_id", "z", "y", "x") if c != axis]
-    kind = dict(df.dtypes)["g"]
+    kinds = dict(df.dtypes)
+    kind = kinds["g"]
     lines = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(axis, "g"))).alias("line"))
     lines = lines.select(*keys, F.col(f"line.{axis}").alias("at"), F.col("line.g").alias("g"))
 
@@ -50,7 +51,7 @@ def _line_pass(df: DataFrame, axis: str, weight: float) -> DataFrame:
             columns = [batch.column(k) for k in keys]
             yield pa.RecordBatch.from_arrays([*columns, batch.column("at"), pa.array(found, pa.list_(pa.float64() if kind == "double" else pa.int64()))], names=[*keys, "at", "g"])
 
-    schema = ", ".join(f"{k} long" for k in keys) + f", at array<long>, g array<{kind}>"
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", at array<{kinds[axis]}>, g array<{kind}>"
     done = lines.mapInArrow(run, schema)
     return done.select(*keys, F.explode(F.arrays_zip("at", "g")).alias("p")).select(*keys, F.col("p.at").alias(axis), F.col("p.g").alias("g"))
 

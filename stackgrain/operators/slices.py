@@ -19,7 +19,8 @@ def per_slice(df: DataFrame, columns: list[str], kernel: Kernel, out: dict[str,
     """kernel gets one 2-D array (y, x) for each of columns and returns one for each of out (name: Spark type).
 
     The output has scan_id, z, y, x and the columns of out."""
-    schema = "scan_id long, z long, y long, x long, " + ", ".join(f"{k} {v}" for k, v in out.items())
+    kinds = dict(df.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in ("scan_id", "z", "y", "x")) + ", " + ", ".join(f"{k} {v}" for k, v in out.items())
 
     def run(t: pa.Table) -> pa.Table:
         y, x = t.column("y").to_numpy(), t.column("x").to_numpy()
