@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import WordHashes, chunks, map_rows, mix, rolling, words
 
 BITS = 128
-STARTS = 8192  # windows worked on at once
+STARTS = 1024  # windows worked on at once
 
 
 def signs(s: np.ndarray) -> np.ndarray:

@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from .common import chunks, map_rows
 
 KINDS = ("email", "ip", "card", "phone")
-# The patterns of the contract.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The patterns of the contract. An email is found from its at-sign, whose local part is the run of
+# LOCAL before it, and a run of digits is never entered in its middle: the same matches, in linear time on long runs.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
@@ -45,12 +47,25 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        m = DOMAIN.match(text, at) if start < at else None
+        if m:
+            done = m.end()
+            yield start, done
+        at = text.find("@", max(done, at + 1))
+
+
 def base_spans(text: str | None) -> list[Span]:
     if not text:
         return []
     out: list[Span] = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(s, 0, e) for s, e in emails(text)]
     if _DIGIT.search(text):
         for m in IP.finditer(text):
             if all(int(x) <= 255 for x in m[0].split(".") if len(x.lstrip("0")) <= 3) and all(len(x.lstrip("0")) <= 3 for x in m[0].split(".")):

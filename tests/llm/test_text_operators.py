@@ -154,6 +154,15 @@ def plain_pii(text):
     return sorted(out)
 
 
+def test_base_spans_equal_the_patterns():
+    r = np.random.default_rng(8)
+    for _ in range(4000):
+        text = "".join(r.choice([*"ab1.2@-3+ (0)", "é", "10.0.0.1", "a@b.c", "4111 1111 1111 1111"], r.integers(1, 25)))
+        assert pii.base_spans(text) == plain_pii(text), text
+    long = "a1" * 50_000
+    assert pii.base_spans(f"{long} x@y.z {'1' * 100_000}")[0][1:] == (0, 100_006)
+
+
 def pii_docs(n):
     r = np.random.default_rng(2)
     out = []
