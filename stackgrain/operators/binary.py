@@ -55,12 +55,12 @@ def extents(volume: DataFrame) -> DataFrame:
     return volume.groupBy("scan_id").agg(*(f(c).alias(f"{c}{i}") for c in "zyx" for i, f in enumerate((F.min, F.max))))
 
 
-def inside_border(volume: DataFrame, width: int = 1) -> DataFrame:
-    """The voxels that do not lie in the shell of the given width; width 0 keeps all."""
+def inside_border(voxels: DataFrame, width: int = 1, box: DataFrame | None = None) -> DataFrame:
+    """The voxels that do not lie in the shell of the given width; width 0 keeps all. box: extents() of the whole
+    volume, where voxels are a part of it."""
     if width <= 0:
-        return volume
-    box = extents(volume)
-    joined = volume.join(box, "scan_id")
+        return voxels
+    joined = voxels.join(extents(voxels) if box is None else box, "scan_id")
     for c in "zyx":
         joined = joined.where((F.col(c) >= F.col(f"{c}0") + width) & (F.col(c) <= F.col(f"{c}1") - width))
-    return joined.select(*volume.columns)
+    return joined.select(*voxels.columns)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .binary import inside_border
+from .binary import extents, inside_border
 from .edt import edt
 from .opening import opening
 
@@ -65,16 +65,8 @@ def compute_psd(volume: DataFrame, spacing: tuple[float, float, float] = (1.0, 1
 
 
 def analysed_histogram(volume: DataFrame, border_width: int = 1) -> DataFrame:
-    distances = edt(volume)
-    thick = opening(distances)
-    if border_width > 0:
-        from .binary import extents
-
-        joined = thick.join(extents(volume), "scan_id")
-        for c in "zyx":
-            joined = joined.where((F.col(c) >= F.col(f"{c}0") + border_width) & (F.col(c) <= F.col(f"{c}1") - border_width))
-        thick = joined
-    return diameter_histogram(thick)
+    thick = opening(edt(volume))
+    return diameter_histogram(inside_border(thick, border_width, extents(volume)))
 
 
 def metadata(hist: DataFrame, spacing: tuple[float, float, float], min_reliable: float) -> DataFrame:
@@ -97,5 +89,3 @@ def spread(psd: DataFrame) -> DataFrame:
     best = F.max(F.struct("Volume_Count", (-F.col("bin")).alias("b"), "Diameter_px"))
     return psd.groupBy("scan_id").agg(best["Diameter_px"].alias("peak_px"), F.stddev_samp(F.when(F.col("Volume_Count") > 0, F.col("Diameter_px"))).alias("std_px"))
 
-
-__all__ = ["analysed_histogram", "compute_psd", "diameter_histogram", "distribution", "inside_border", "metadata", "peaks", "spread"]
