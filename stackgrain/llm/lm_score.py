@@ -1,15 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of words and word pairs are gathered from all training documents, quantised to q = 1 + floor(log2 n), and each
+Counts of all words and all word pairs of all training documents are quantised to q = 1 + floor(log2 n), and each
 n-gram is entered q times, once for each level. A lookup probes level 1, 2, ... until a probe fails; the last level
-that was found gives the count. The filter has a fixed number of bits: where all n-grams would not fit, the smallest
-count that is kept rises, so what is broadcast never grows with the corpus. It is built in segments by the leading bits
-of the key, each in its own group of bounded size.
+that was found gives the count. The filter is made of segments by the leading bits of the key. Their number follows the
+training tokens and the bits of each its entries, so that no n-gram is left out and none of them grows with the corpus.
+The whole filter is never gathered in one place: keys are sent to the segment that they belong to.
 
 The model's probability of a word is ``share * c(h w) / c(h) + (1 - share) * (c(w) + 1) / (N + V + 1)`` with the counts
-from the filter; the context of the first word is the end token. Pairs are counted for frequent words alone (parameter).
-The base score uses exact counts: those of the most frequent words are broadcast (a bounded table), all others are
-joined by key, pre-aggregated for each document. N-grams are keyed by 64-bit hashes.
+from the filter, and ``(c(w) + 1) / (N + V + 1)`` after a word that the filter does not hold; the context of the first
+word is the end token. The base score uses exact counts of words, which a segment holds beside its bits. The counts of
+the most frequent words and pairs (bounded tables, with the same values from the filter) are broadcast; all other keys
+are joined by segment, once for each chunk of texts. N-grams are keyed by 64-bit hashes.
 
 Tokens are words (A-Z in lower case, split at ASCII white space) and one end a document. Null text counts as empty: its
 end token alone is scored. A null id belongs to no held-out fold. Repeated rows are scored row by row. An empty table
@@ -29,46 +30,41 @@ from pyspark.sql import functions as F
 from .common import WordHashes, chunks, fold, mix, stored, words
 
 END = b"\n"  # no word holds white space
-SEGMENT_BITS = 6
+MOST_SEGMENTS = 24  # bits
 
 
 class LogFrequencyFilter:
-    """2 ** bits bits in 2 ** SEGMENT_BITS segments; k probes a level."""
+    """2 ** bits bits, k probes a level."""
 
-    def __init__(self, bits: int = 28, k: int = 6):
+    def __init__(self, bits: int, k: int = 6, data: np.ndarray | None = None):
         self.bits, self.k = bits, k
-        self.segment_bits = bits - SEGMENT_BITS
-        self.data = np.zeros(1 << (bits - 3), np.uint8)
+        self.data = np.zeros(1 << (bits - 3), np.uint8) if data is None else data
 
-    @property
-    def capacity(self) -> int:
-        """Entries at which about half of the bits are set."""
-        return int((1 << self.bits) * math.log(2) / self.k)
+    @classmethod
+    def of(cls, keys: np.ndarray, levels: np.ndarray, k: int = 6) -> LogFrequencyFilter:
+        """The filter that holds each key at levels 1 to its own: at most about half of its bits are set."""
+        bits = max(6, math.ceil(math.log2(max(1.0, levels.sum() * k / math.log(2)))))
+        flags = np.zeros(1 << bits, np.bool_)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            h, step = cls._places(keys[levels >= level], level)
+            for i in range(k):
+                flags[((h + np.uint64(i) * step) & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+        return cls(bits, k, np.packbits(flags, bitorder="little"))
+
+    @classmethod
+    def read(cls, data: bytes) -> LogFrequencyFilter:
+        return cls(len(data).bit_length() + 2, data=np.frombuffer(data, np.uint8))
 
-    def _places(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _places(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         h = mix(keys ^ np.uint64(0x9E3779B97F4A7C15 * (level + 1) & 0xFFFFFFFFFFFFFFFF))
         return h, (h >> np.uint64(33)) | np.uint64(1)
 
-    def bits_of(self, keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
-        """Bytes of one segment that holds each key at levels 1 to its own."""
-        n = 1 << self.segment_bits
-        flags = np.zeros(n, np.bool_)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            h, step = self._places(keys[levels >= level], level)
-            for i in range(self.k):
-                flags[((h + np.uint64(i) * step) & np.uint64(n - 1)).astype(np.int64)] = True
-        return np.packbits(flags, bitorder="little")
-
-    def put(self, segment: int, data: bytes) -> None:
-        size = 1 << (self.segment_bits - 3)
-        self.data[segment * size : (segment + 1) * size] = np.frombuffer(data, np.uint8)
-
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         found = np.arange(len(keys))
         h, step = self._places(keys, level)
-        base = (keys >> np.uint64(64 - SEGMENT_BITS)) << np.uint64(self.segment_bits)
         for i in range(self.k):
-            at = base[found] + ((h[found] + np.uint64(i) * step[found]) & np.uint64((1 << self.segment_bits) - 1))
+            at = (h[found] + np.uint64(i) * step[found]) & np.uint64((1 << self.bits) - 1)
             bit = (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
             found = found[bit == 1]
             if not len(found):
@@ -129,88 +125,149 @@ class Tokens:
         return out
 
 
-def count_keys(docs: DataFrame, frequent=None, held: int = 2_000_000) -> DataFrame:
-    """(key, n) of the words of docs (text as binary), or with a broadcast sorted table of keys of its word pairs.
+def by_segment(keys: np.ndarray, lead: int) -> Iterator[tuple[int, slice]]:
+    """The segments (leading bits) of sorted keys, and the places of their keys."""
+    if not len(keys):
+        return
+    own = (keys >> np.uint64(64 - lead)).astype(np.int64) if lead else np.zeros(len(keys), np.int64)
+    start = np.nonzero(np.append(True, own[1:] != own[:-1]))[0]
+    for i, j in zip(start, [*start[1:], len(keys)], strict=True):
+        yield int(own[i]), slice(int(i), int(j))
+
+
+def count_keys(docs: DataFrame, lead: int, held: int = 2_000_000) -> DataFrame:
+    """(segment, pair, keys, n): counts of all words (pair false) and all word pairs (pair true) of docs (text as binary),
+    packed by segment; a key may stand in several rows.
 
-    Each task adds up what it has seen, at most about `held` keys at a time, before anything is shuffled."""
+    Each task adds up what it has seen, at most about `held` keys of each kind at a time, before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        keys, counts, size = [], [], 0
+        kept, size = ([], []), 0
 
-        def merged() -> pa.RecordBatch:
-            all_keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(at, np.concatenate(counts), len(all_keys)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(all_keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+        def merged() -> Iterator[pa.RecordBatch]:
+            for pair, some in enumerate(kept):
+                keys, n = np.unique(np.concatenate(some), return_counts=True)
+                some.clear()
+                rows = [(x, bool(pair), keys[at].tobytes(), n[at].astype(np.uint32).tobytes()) for x, at in by_segment(keys, lead)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)],
+                    names=["segment", "pair", "keys", "n"],
+                )
 
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for _, own in chunks(texts, texts):
                 found, sizes = tokens.of(own)
-                if frequent is not None:
-                    known = _inside(frequent.value, found)[1]
-                    known_before = np.empty_like(known)
-                    known_before[1:] = known[:-1]
-                    known_before[np.cumsum(sizes) - sizes] = _inside(frequent.value, tokens.end_key)[1]
-                    both = known & known_before
-                    found = pairs(tokens.before(found, sizes)[both], found[both])
-                    n = np.ones(len(found), np.int64)  # hardly any is seen twice in a few texts
-                else:
-                    found, n = np.unique(found, return_counts=True)
-                keys.append(found)
-                counts.append(n)
+                kept[0].append(found)
+                kept[1].append(pairs(tokens.before(found, sizes), found))
                 size += len(found)
                 if size >= held:
-                    yield merged()
-                    keys, counts, size = [], [], 0
+                    yield from merged()
+                    size = 0
         if size:
-            yield merged()
-
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def most_frequent(vocabulary: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the most frequent words: all those whose count reaches a limit that at most so many
-    reach. The limit comes from a small histogram of logarithms, so that no more than these rows are sent here."""
-    step = F.floor(F.log2(F.col("n")) * 16)
-    sizes = {r["step"]: r["count"] for r in vocabulary.groupBy(step.alias("step")).count().collect()}
-    limit, total = max(sizes, default=0) + 1, 0
-    for s in sorted(sizes, reverse=True):
-        total += sizes[s]
-        if total > most:
-            break
-        limit = s
-    rows = vocabulary.where(step >= limit).select("key", "n").toArrow()
-    keys = rows.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], rows.column("n").to_numpy()[order].astype(np.float64)
-
-
-def build_filter(counted: DataFrame, bits: int) -> LogFrequencyFilter:
-    """The filter over (key, n). The smallest count kept is the least at which all entries fit."""
-    empty = LogFrequencyFilter(bits)
-    leveled = counted.withColumn("level", (F.floor(F.log2(F.col("n"))) + 1).cast("int"))
-    sizes = {r["level"]: r["count"] for r in leveled.groupBy("level").count().collect()}  # a row a power of two
-    least, entries = max(sizes, default=0) + 1, 0
-    while least > 1 and entries + sizes.get(least - 1, 0) * (least - 1) <= empty.capacity:
-        least -= 1
-        entries += sizes.get(least, 0) * least
-    kept = leveled.where(F.col("level") >= least).select(
-        F.shiftrightunsigned("key", 64 - SEGMENT_BITS).cast("int").alias("segment"), "key", "level"
-    )
+            yield from merged()
+
+    return docs.select("text").mapInArrow(run, "segment int, pair boolean, keys binary, n binary")
+
+
+def segments(counted: DataFrame, words_each: int, pairs_each: int) -> DataFrame:
+    """The segments of the filter, with all n-grams in them. keys, n: exact counts of the segment's words by sorted key.
+    The most frequent words and pairs, so many of each segment, stand beside with the filter's levels."""
+
+    def most(keys: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+        return np.lexsort((keys, -n))[:k]
+
+    def build(t: pa.Table) -> pa.Table:
+        is_pair = t.column("pair").to_numpy()
+        packed_keys, packed_n = t.column("keys").to_pylist(), t.column("n").to_pylist()
+        own = []
+        for kind in (False, True):
+            rows = np.nonzero(is_pair == kind)[0]
+            keys = np.frombuffer(b"".join(packed_keys[i] for i in rows), np.uint64)
+            keys, at = np.unique(keys, return_inverse=True)
+            n = np.bincount(at, np.frombuffer(b"".join(packed_n[i] for i in rows), np.uint32), len(keys)).astype(np.int64)
+            own.append((keys, n))
+        (word, n), (pair, pair_n) = own
+        keys = np.concatenate([word, pair])
+        levels = np.frexp(np.concatenate([n, pair_n]).astype(np.float64))[1].astype(np.int64)  # 1 + floor(log2 n)
+        part = LogFrequencyFilter.of(keys, levels)
+        top, top_pair = most(word, n, words_each), most(pair, pair_n, pairs_each)
+        blobs = {
+            "data": part.data, "keys": word, "n": n, "top": word[top], "top_n": n[top], "top_level": part.levels(word[top]).astype(np.int8),
+            "top_pair": pair[top_pair], "top_pair_level": part.levels(pair[top_pair]).astype(np.int8),
+        }
+        return pa.table(
+            {"segment": t.column("segment")[:1], "total": [int(n.sum())], "distinct": [len(word)]}
+            | {name: pa.array([x.tobytes()], pa.binary()) for name, x in blobs.items()}
+        )
+
+    schema = "segment int, total long, distinct long, data binary, keys binary, n binary, top binary, top_n binary, top_level binary, "
+    return counted.groupBy("segment").applyInArrow(build, schema + "top_pair binary, top_pair_level binary")
+
+
+class Segments:
+    """A whole filter of few segments."""
 
-    def segment(t: pa.Table) -> pa.Table:
-        keys = t.column("key").to_numpy().view(np.uint64)
-        data = empty.bits_of(keys, t.column("level").to_numpy())
-        return pa.table({"segment": t.column("segment")[:1], "data": pa.array([data.tobytes()], pa.binary())})
+    def __init__(self, lead: int, parts: dict[int, LogFrequencyFilter]):
+        self.lead, self.parts = lead, parts
 
-    empty.data = None  # not sent along
-    parts = kept.groupBy("segment").applyInArrow(segment, "segment int, data binary")
-    rows = parts.toLocalIterator()  # 2 ** SEGMENT_BITS rows of a fixed size
-    full = LogFrequencyFilter(bits)
-    for r in rows:
-        full.put(r["segment"], r["data"])
-    return full
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        own = (keys >> np.uint64(64 - self.lead)).astype(np.int64) if self.lead else np.zeros(len(keys), np.int64)
+        out = np.zeros(len(keys), np.int64)
+        for segment, part in self.parts.items():
+            out[own == segment] = part.levels(keys[own == segment])
+        return out
+
+
+def build_filter(counted: DataFrame, bits: int) -> Segments:
+    """The filter over a small table (key, n), in segments of about 2 ** bits bits."""
+    rows = counted.select("key", "n").toArrow()
+    keys, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    order = np.argsort(keys)
+    keys, levels = keys[order], np.frexp(n[order].astype(np.float64))[1].astype(np.int64)
+    lead = leading_bits(int(levels.sum()), bits)
+    return Segments(lead, {x: LogFrequencyFilter.of(keys[at], levels[at]) for x, at in by_segment(keys, lead)})
+
+
+def leading_bits(entries: int, bits: int, k: int = 6) -> int:
+    """Leading bits of a key that number segments of about 2 ** bits bits for so many entries."""
+    return min(MOST_SEGMENTS, max(0, math.ceil(math.log2(max(1.0, entries * k / math.log(2) / (1 << bits))))))
+
+
+class Chunk:
+    """Tokens, distinct words and distinct pairs of some texts, with the counts that the broadcast tables give.
+    keys: the sorted keys of all others, to be looked up in the filter."""
+
+    def __init__(self, tokens: Tokens, texts: list[bytes | None], common: tuple):
+        words_common, n_common, level_common, pairs_common, level_pairs = common
+        keys, self.sizes = tokens.of(texts)
+        self.start = np.cumsum(self.sizes) - self.sizes
+        words_here, at = np.unique(np.append(keys, tokens.end_key), return_inverse=True)
+        self.at, end = at[:-1], at[-1]
+        before = np.empty_like(self.at)
+        before[1:] = self.at[:-1]
+        before[self.start] = end
+        code, self.which = np.unique(before * np.int64(len(words_here)) + self.at, return_inverse=True)
+        self.context, self.word = code // len(words_here), code % len(words_here)
+        pairs_here = pairs(words_here[self.context], words_here[self.word])
+        self.n, self.level, self.joint = (np.zeros(len(x), np.int64) for x in (words_here, words_here, pairs_here))
+        place, found = _inside(words_common, words_here)
+        self.n[found], self.level[found] = n_common[place[found]], level_common[place[found]]
+        self.rare = np.nonzero(~found)[0]
+        place, found = _inside(pairs_common, pairs_here)
+        self.joint[found] = level_pairs[place[found]]
+        self.open = np.nonzero(~found)[0]
+        self.keys, self._places = np.unique(np.concatenate([words_here[self.rare], pairs_here[self.open]]), return_inverse=True)
+
+    def learn(self, levels: np.ndarray, n: np.ndarray) -> None:
+        """Takes the levels and exact counts of keys."""
+        words_at, pairs_at = self._places[: len(self.rare)], self._places[len(self.rare) :]
+        self.level[self.rare], self.n[self.rare] = levels[words_at], n[words_at]
+        self.joint[self.open] = levels[pairs_at]
+
+    def sums(self, by_token: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(by_token, self.start)
 
 
 def score_texts(
@@ -220,103 +277,113 @@ def score_texts(
     text_col: str = "text",
     held_out=None,
     frequent_words: int = 200_000,
-    pair_words: int = 16_384,
-    bits: int = 28,
+    pair_words: int = 500_000,
+    bits: int = 21,
     share: float = 0.4,
 ) -> DataFrame:
-    """Scores of every text of docs under the model of train's texts. held_out: a boolean column of docs to carry."""
+    """Scores of every text of docs under the model of train's texts. held_out: a boolean column of docs to carry.
+
+    frequent_words and pair_words: so many words and word pairs, about, have their counts broadcast. bits: a segment has
+    about 2 ** bits bits. None of them changes what is counted."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     learn = train.select(F.col(text_col).cast("binary").alias("text"))
-    vocabulary = stored(count_keys(learn), "words")
-    row = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_all, n_distinct = row["n"] or 0, row["v"]
-    total = n_all + n_distinct + 1
-    known, known_n = most_frequent(vocabulary, frequent_words)
-    by_count = np.lexsort((known, -known_n))[:pair_words]
-    few = sc.broadcast(np.sort(known[by_count]))
-    counted = vocabulary.unionByName(stored(count_keys(learn, few).where("n > 1"), "pairs"))
-    log_filter = build_filter(counted, bits)
-    # The filter's counts of frequent words, probed once here and not in every task.
-    common = sc.broadcast((known, known_n, log_filter.counts(log_filter.levels(known))))
-    lookup = sc.broadcast(log_filter)
-
-    struct = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                        ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-    out = pa.schema([("row", pa.int64()), ("key", pa.int64()), ("tf", pa.int64()), ("doc", struct)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, done = Tokens(), 0
-        keys_common, n_common, approx_common = common.value
-        log_filter, frequent = lookup.value, few.value
+    size = learn.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    lead = leading_bits(size // 8, bits)  # about 8 bytes of text an entry
+    each = [-(-most >> lead) for most in (frequent_words, pair_words)]
+    parts = stored(segments(count_keys(learn, lead), *each), "segments")
+    row = parts.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
+    n_all, n_distinct = row["n"] or 0, row["v"] or 0
+    total = float(n_all + n_distinct + 1)
+    tops = parts.select("top", "top_n", "top_level", "top_pair", "top_pair_level").toArrow()
+    kinds = zip(tops.columns, (np.uint64, np.int64, np.int8, np.uint64, np.int8), strict=True)
+    top, top_n, top_level, top_pair, top_pair_level = (np.frombuffer(b"".join(c.to_pylist()), kind) for c, kind in kinds)
+    order, pair_order = np.argsort(top), np.argsort(top_pair)
+    common = sc.broadcast((top[order], top_n[order], top_level[order], top_pair[pair_order], top_pair_level[pair_order]))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
         for batch in batches:
-            parts, ids, held, texts = (c.to_pylist() for c in batch.columns)
-            numbers = [*range(len(ids))]
-            for own, some in chunks(numbers, texts):
-                keys, sizes = tokens.of(some)
-                doc = np.repeat(np.arange(len(own)), sizes)
-                distinct, at = np.unique(keys, return_inverse=True)
-                place, is_common = _inside(keys_common, distinct)
-                n = n_common[place] if len(n_common) else np.zeros(len(distinct))
-                base = np.where(is_common, np.log10((n + 1) / total), 0.0)
-                approx = approx_common[place] if len(n_common) else np.zeros(len(distinct))
-                others = np.nonzero(~is_common)[0]
-                approx[others] = log_filter.counts(log_filter.levels(distinct[others]))
-                uni = (approx + 1) / total
-                # Pairs of frequent words, from the filter.
-                frequent_too = _inside(frequent, distinct)[1]
-                before = np.empty_like(at)
-                before[1:] = at[:-1]
-                start = np.cumsum(sizes) - sizes
-                before[start] = np.searchsorted(distinct, np.uint64(tokens.end))
-                prob = (1 - share) * uni[at]
-                both = np.nonzero(frequent_too[at] & frequent_too[before])[0]
-                joint = log_filter.counts(log_filter.levels(pairs(distinct[before[both]], distinct[at[both]])))
-                prob[both] += share * np.minimum(1.0, joint / np.maximum(approx[before[both]], 1.0))
-                score = np.add.reduceat(np.log10(prob), start)
-                base_sum = np.add.reduceat(base[at], start)
-                n_known = np.add.reduceat(is_common[at].astype(np.int64), start)
-                rows = (np.int64(parts[0]) << np.int64(36)) + done + np.arange(len(own))
-                done += len(own)
-                doc_part = pa.StructArray.from_arrays(
-                    [pa.array([ids[i] for i in own], pa.int64()), pa.array([held[i] for i in own], pa.bool_()),
-                     pa.array(sizes), pa.array(n_known), pa.array(base_sum), pa.array(score)], fields=list(struct)
-                )
-                # A row's own key meets no word: it only spreads these rows.
-                spread = mix(rows.view(np.uint64)).view(np.int64)
+            number, ids, held, texts = (c.to_pylist() for c in batch.columns)
+            for own, some in chunks([*range(len(ids))], texts):
+                columns = [[(number[0] << 32) + done], [[ids[i] for i in own]], [[held[i] for i in own]], [some]]
+                done += 1
+                kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(spread), pa.array(np.zeros(len(own), np.int64)), doc_part], schema=out
+                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "ids", "held", "texts"]
                 )
-                rare = np.nonzero(~is_common[at])[0]
-                code, tf = np.unique(doc[rare] * np.int64(len(distinct)) + at[rare], return_counts=True)
-                who, what = code // len(distinct), code % len(distinct)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens()
+        for batch in batches:
+            for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = Chunk(tokens, texts.as_py(), common.value).keys
+                rows = [(x, keys[at].tobytes()) for x, at in by_segment(keys, lead)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[who]), pa.array(distinct[what].view(np.int64)), pa.array(tf.astype(np.int64)),
-                     pa.nulls(len(code), struct)], schema=out
+                    [pa.array([x for x, _ in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([k for _, k in rows], pa.binary())],
+                    names=["segment", "chunk", "asked"],
                 )
 
+    def tell(asking: pa.Table, part: pa.Table) -> pa.Table:
+        """Levels of the keys in their segment, and exact counts of words."""
+        levels, counts = [], []
+        if part.num_rows:
+            lookup = LogFrequencyFilter.read(part.column("data")[0].as_py())
+            table, n = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("n", np.int64)))
+        for asked in asking.column("asked").to_pylist():
+            keys = np.frombuffer(asked, np.uint64)
+            level, count = np.zeros(len(keys), np.int8), np.zeros(len(keys), np.int64)
+            if part.num_rows:
+                level[:] = lookup.levels(keys)
+                place, found = _inside(table, keys)
+                count[found] = n[place[found]]
+            levels.append(level.tobytes())
+            counts.append(count.tobytes())
+        return pa.table({
+            "chunk": asking.column("chunk"), "segment": asking.column("segment"),
+            "level": pa.array(levels, pa.binary()), "n": pa.array(counts, pa.binary()),
+        })
+
+    def add_up(own: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens, counts = Tokens(), LogFrequencyFilter.counts
+        chunk = Chunk(tokens, own.column("texts")[0].as_py(), common.value)
+        order = np.argsort(answers.column("segment").to_numpy())
+        level, n = (answers.column(c).to_pylist() for c in ("level", "n"))
+        chunk.learn(
+            np.frombuffer(b"".join(level[i] for i in order), np.int8), np.frombuffer(b"".join(n[i] for i in order), np.int64)
+        )
+        approx = counts(chunk.level)
+        uni = (approx[chunk.word] + 1) / total
+        before = approx[chunk.context]
+        mixed = share * np.minimum(1.0, counts(chunk.joint) / np.maximum(before, 1.0)) + (1 - share) * uni
+        score = np.log10(np.where(before > 0, mixed, uni))
+        base = np.log10((chunk.n + 1) / total)
+        return pa.table({
+            "doc_id": pa.array(own.column("ids")[0].as_py(), pa.int64()), "held_out": pa.array(own.column("held")[0].as_py(), pa.bool_()),
+            "n_tokens": chunk.sizes, "n_known": chunk.sums((chunk.n > 0).astype(np.int64)[chunk.at]),
+            "train_tokens": np.full(len(chunk.sizes), n_all, np.int64),
+            "base_score": chunk.sums(base[chunk.at]), "score": chunk.sums(score[chunk.which]),
+        })
+
     source = docs.select(
         F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(False)).alias("held_out"),
         F.col(text_col).cast("binary").alias("text"),
     )
-    kind = ("row long, key long, tf long, doc struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,"
-            "base:double,score:double>")
-    scored = source.mapInArrow(run, kind)
-    joined = scored.join(vocabulary.withColumnRenamed("n", "c"), "key", "left")
-    rare = F.col("doc").isNull()
+    packed = stored(source.mapInArrow(pack, "chunk long, ids array<long>, held array<boolean>, texts array<binary>"), "chunks")
+    asking = packed.select("chunk", "texts").mapInArrow(ask, "segment int, chunk long, asked binary")
+    answers = (
+        asking.groupBy("segment")
+        .cogroup(parts.select("segment", "data", "keys", "n").groupBy("segment"))
+        .applyInArrow(tell, "chunk long, segment int, level binary, n binary")
+    )
     return (
-        joined.groupBy("row")
-        .agg(
-            F.max("doc").alias("doc"),
-            F.sum(F.when(rare & F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("known"),
-            F.sum(F.when(rare, F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(total)))).otherwise(0.0)).alias("lp"),
-        )
-        .select(
-            "doc.doc_id", "doc.held_out", "doc.n_tokens", (F.col("doc.n_known") + F.col("known")).alias("n_known"),
-            F.lit(n_all).cast("long").alias("train_tokens"), (F.col("doc.base") + F.col("lp")).alias("base_score"), "doc.score",
+        packed.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(
+            add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         )
-    )
+    )
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

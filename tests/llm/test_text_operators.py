@@ -306,6 +306,40 @@ def test_rare_words_are_joined_exactly(hard):
     assert a == b
 
 
+def test_every_pair_is_in_the_model(spark):
+    """Scores follow the counts of all words and pairs, also of those seen once, however many are broadcast."""
+    docs = [(i, prose(100 + i, 40)) for i in range(30)] + [(90, "once seen pair"), (91, "never met words"), (92, None)]
+    learn = [(d, t) for d, t in docs if d != 91]
+    one, two = collections.Counter(), collections.Counter()
+    for _, t in learn:
+        w = [b"\n", *words(t), b"\n"]
+        one.update(w[1:])
+        two.update(zip(w, w[1:]))
+    total = sum(one.values()) + len(one) + 1
+
+    def level(n):
+        return 0 if n == 0 else 1 if n == 1 else 2 ** int(np.log2(n)) * 2**0.5
+
+    def score(t):
+        w = [b"\n", *words(t), b"\n"]
+        out = 0
+        for h, x in zip(w, w[1:]):
+            uni = (level(one[x]) + 1) / total
+            out += np.log10(0.4 * min(1, level(two[h, x]) / level(one[h])) + 0.6 * uni if one[h] else uni)
+        return out
+
+    want = {d: score(t) for d, t in docs}
+    frames = [spark.createDataFrame(x, "doc_id long, text string") for x in (docs, learn)]
+    every = []
+    for how in ({}, {"frequent_words": 4, "pair_words": 3}, {"frequent_words": 4, "pair_words": 3, "bits": 10}):
+        got = {r.doc_id: r.score for r in lm_score.score_texts(*frames, **how).collect()}
+        assert got.keys() == want.keys()
+        # The filter may give a few n-grams a higher level.
+        assert np.median([abs(got[d] - want[d]) for d in want]) < 0.35 and all(abs(got[d] - want[d]) < 1e-6 for d in (90, 91))
+        every.append({d: round(x, 9) for d, x in got.items()})
+    assert every[0] == every[1]
+
+
 def test_filter_gives_quantised_counts(spark):
     n = [1, 2, 3, 4, 100, 5000]
     keys = lm_score.mix(np.arange(1, 7, dtype=np.uint64))
