@@ -350,6 +350,16 @@ def test_filter_gives_quantised_counts(spark):
     assert (f.levels(others) > 0).mean() < 0.02
 
 
+def test_filter_keeps_what_is_seen_once(spark):
+    """However small its segments, the filter drops no entry."""
+    keys = lm_score.mix(np.arange(1, 20_001, dtype=np.uint64))
+    df = spark.createDataFrame([(int(k.view(np.int64)), 1 + i % 2) for i, k in enumerate(keys)], "key long, n long")
+    f = lm_score.build_filter(df, 12)
+    assert (f.levels(keys) >= np.arange(20_000) % 2 + 1).all()
+    others = lm_score.mix(np.arange(100_000, 110_000, dtype=np.uint64))
+    assert (f.levels(others) > 0).mean() < 0.03
+
+
 # --- joins ---
 
 
