@@ -306,18 +306,24 @@ def score_texts(
         for batch in batches:
             number, ids, held, texts = (c.to_pylist() for c in batch.columns)
             for own, some in chunks([*range(len(ids))], texts):
-                columns = [[(number[0] << 32) + done], [[ids[i] for i in own]], [[held[i] for i in own]], [some]]
-                done += 1
-                kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.binary()))
+                columns = [pa.array([ids[i] for i in own], pa.int64()), pa.array([held[i] for i in own], pa.bool_()), pa.array(some, pa.binary())]
+                batch_here = pa.RecordBatch.from_arrays(columns, names=["ids", "held", "texts"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch_here.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch_here)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "ids", "held", "texts"]
+                    [pa.array([(number[0] << 32) + done], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "rows"]
                 )
+                done += 1
+
+    def unpack(rows: pa.Scalar) -> pa.Table:
+        return pa.ipc.open_stream(rows.as_buffer()).read_all()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
-            for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys = Chunk(tokens, texts.as_py(), common.value).keys
+            for chunk, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = Chunk(tokens, unpack(rows).column("texts").to_pylist(), common.value).keys
                 rows = [(x, keys[at].tobytes()) for x, at in by_segment(keys, lead)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, _ in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([k for _, k in rows], pa.binary())],
@@ -326,27 +332,24 @@ def score_texts(
 
     def tell(asking: pa.Table, part: pa.Table) -> pa.Table:
         """Levels of the keys in their segment, and exact counts of words."""
-        levels, counts = [], []
+        packed = asking.column("asked").to_pylist()
+        keys, at = np.unique(np.frombuffer(b"".join(packed), np.uint64), return_inverse=True)
+        level, count = np.zeros(len(keys), np.int8), np.zeros(len(keys), np.int64)
         if part.num_rows:
-            lookup = LogFrequencyFilter.read(part.column("data")[0].as_py())
+            level[:] = LogFrequencyFilter.read(part.column("data")[0].as_py()).levels(keys)
             table, n = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("n", np.int64)))
-        for asked in asking.column("asked").to_pylist():
-            keys = np.frombuffer(asked, np.uint64)
-            level, count = np.zeros(len(keys), np.int8), np.zeros(len(keys), np.int64)
-            if part.num_rows:
-                level[:] = lookup.levels(keys)
-                place, found = _inside(table, keys)
-                count[found] = n[place[found]]
-            levels.append(level.tobytes())
-            counts.append(count.tobytes())
+            place, found = _inside(table, keys)
+            count[found] = n[place[found]]
+        ends = np.cumsum([len(x) // 8 for x in packed], dtype=np.int64)[:-1]
+        levels, counts = ([x.tobytes() for x in np.split(y[at], ends)] if packed else [] for y in (level, count))
         return pa.table({
             "chunk": asking.column("chunk"), "segment": asking.column("segment"),
             "level": pa.array(levels, pa.binary()), "n": pa.array(counts, pa.binary()),
         })
 
     def add_up(own: pa.Table, answers: pa.Table) -> pa.Table:
-        tokens, counts = Tokens(), LogFrequencyFilter.counts
-        chunk = Chunk(tokens, own.column("texts")[0].as_py(), common.value)
+        counts, own = LogFrequencyFilter.counts, unpack(own.column("rows")[0])
+        chunk = Chunk(Tokens(), own.column("texts").to_pylist(), common.value)
         order = np.argsort(answers.column("segment").to_numpy())
         level, n = (answers.column(c).to_pylist() for c in ("level", "n"))
         chunk.learn(
@@ -359,7 +362,7 @@ def score_texts(
         score = np.log10(np.where(before > 0, mixed, uni))
         base = np.log10((chunk.n + 1) / total)
         return pa.table({
-            "doc_id": pa.array(own.column("ids")[0].as_py(), pa.int64()), "held_out": pa.array(own.column("held")[0].as_py(), pa.bool_()),
+            "doc_id": own.column("ids"), "held_out": own.column("held"),
             "n_tokens": chunk.sizes, "n_known": chunk.sums((chunk.n > 0).astype(np.int64)[chunk.at]),
             "train_tokens": np.full(len(chunk.sizes), n_all, np.int64),
             "base_score": chunk.sums(base[chunk.at]), "score": chunk.sums(score[chunk.which]),
@@ -370,8 +373,8 @@ def score_texts(
         F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(False)).alias("held_out"),
         F.col(text_col).cast("binary").alias("text"),
     )
-    packed = stored(source.mapInArrow(pack, "chunk long, ids array<long>, held array<boolean>, texts array<binary>"), "chunks")
-    asking = packed.select("chunk", "texts").mapInArrow(ask, "segment int, chunk long, asked binary")
+    packed = stored(source.mapInArrow(pack, "chunk long, rows binary"), "chunks")
+    asking = packed.mapInArrow(ask, "segment int, chunk long, asked binary")
     answers = (
         asking.groupBy("segment")
         .cogroup(parts.select("segment", "data", "keys", "n").groupBy("segment"))
