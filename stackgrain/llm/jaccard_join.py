@@ -18,7 +18,8 @@ Texts with equal sets form one class beforehand. Within a block that several cla
 with each other: in each round every class is compared with a few leaders of its blocks (first those that share most,
 then others by hash) that are not yet in its component, and components are formed anew; so a large group of near copies
 falls into few components in a number of pairs that grows with its size. When little is left, every pair of a block
-that is still in different components, of fitting sizes and sketches, is compared, so that no link is lost.
+that is still in different components, of fitting sizes and sketches, is compared, so that no component is split. Links
+are then counted inside the components, between all of their classes; this grows with the square of a component.
 
 Null or empty text: an empty set, linked with nothing. Texts of fewer words than a shingle: the whole sequence is one
 shingle. Repeated ids keep their rows. An empty table gives an empty result. Only the id and text columns are read.
@@ -229,6 +230,48 @@ def _pairs_left(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return a.join(b, (a.key == b.key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
 
 
+def degrees(sets: DataFrame, labels: DataFrame, percent: int, most: int = 128) -> DataFrame:
+    """(fp, n_links): how many other classes each class is linked with. Links lie inside components, so all pairs of a
+    component are compared: its classes are dealt by hash to slots of about `most`, and each pair of slots is compared by
+    sizes and sketches before the sets are read. Degrees leave a task, not links."""
+    sized = labels.groupBy("comp").agg(F.count("*").alias("m")).where("m > 1").withColumn("slots", F.ceil(F.col("m") / most))
+    rows = sized.agg(F.sum(F.col("m") * F.col("slots"))).first()[0] or 0
+    groups = rows // 1000 + 1
+    here = labels.join(sized, "comp").withColumn("slot", F.pmod(F.xxhash64("node"), "slots"))
+    here = here.select(F.col("node").alias("fp"), "comp", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("other"))
+    here = here.select("fp", "comp", "slot", F.least("slot", "other").alias("lo"), F.greatest("slot", "other").alias("hi"))
+
+    def run(t: pa.Table) -> pa.Table:
+        comp, slot, lo, hi, n, fp = (t.column(c).to_numpy() for c in ("comp", "slot", "lo", "hi", "n", "fp"))
+        # Unsigned: bitwise_count takes the absolute value of negative numbers.
+        sketch = np.stack([t.column(f"s{i}").to_numpy().view(np.uint64) for i in range(SKETCH_LONGS)], axis=1)
+        packed = t.column("set").to_pylist()
+        order = np.lexsort((hi, lo, comp))
+        new = np.zeros(len(order), np.bool_)
+        for x in (comp, lo, hi):
+            new[1:] |= x[order][1:] != x[order][:-1]
+        found = np.zeros(len(fp), np.int64)
+        for at in np.split(order, np.nonzero(new)[0]):
+            size, own = n[at], slot[at]
+            fit = np.triu(100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size), 1)
+            if lo[at[0]] != hi[at[0]]:
+                fit &= own[:, None] != own[None]
+            a, b = np.nonzero(fit)
+            differ = np.bitwise_count(sketch[at[a]] ^ sketch[at[b]]).sum(axis=1, dtype=np.int64)
+            close = differ * (100 + percent) <= (size[a] + size[b]) * (100 - percent)
+            for x, y in zip(at[a[close]], at[b[close]], strict=True):
+                s, u = np.frombuffer(packed[x], np.uint64), np.frombuffer(packed[y], np.uint64)
+                same = len(np.intersect1d(s, u, assume_unique=True))
+                if 100 * same >= percent * (len(s) + len(u) - same):
+                    found[x] += 1
+                    found[y] += 1
+        some = np.nonzero(found)[0]
+        return pa.table({"fp": fp[some], "n_links": found[some]})
+
+    whole = here.join(sets, "fp").withColumn("group", F.pmod(F.xxhash64("comp", "lo", "hi"), F.lit(groups)))
+    return whole.groupBy("group").applyInArrow(run, "fp long, n_links long").groupBy("fp").agg(F.sum("n_links").alias("n_links"))
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -243,8 +286,7 @@ def jaccard_components(
     """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
 
     class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
-    n_links counts the links of its class that were verified on the way: enough to connect the component, not all pairs
-    of it. Similarities below 75 per cent are not supported: the bounds above are made for that."""
+    n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the bounds above are made for that."""
     if percent < 75:
         raise ValueError("the bands and bounds hold for a similarity of 75 per cent or more")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -282,10 +324,11 @@ def jaccard_components(
         links = docs.sparkSession.createDataFrame([], "a long, b long")
         labels = components(links)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    labels = stored(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp")).distinct(), "labels")
+    degree = degrees(sets, labels, percent)
     by_class = (
         classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-        .join(degree.withColumnRenamed("node", "fp"), "fp", "left")
+        .join(degree, "fp", "left")
         .select("fp", "class_id", F.coalesce("comp", "fp").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     least = by_class.groupBy("comp").agg(F.min("class_id").alias("component_id"))

@@ -417,6 +417,16 @@ def test_jaccard_components(spark, hard, nothing):
     assert jaccard_join.jaccard_components(nothing).count() == 0
 
 
+def test_every_link_is_counted(spark):
+    group = prose(55, 60).split()  # of different near copies that all link, in more than one slot of a component
+    docs = near_copies()[::2] + [(5000 + i, " ".join([*group[:-1], f"end{i}"])) for i in range(150)]
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    sets = {d: frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for d, w in ((d, words(t)) for d, t in docs)}
+    distinct = set(sets.values())
+    links = {s: sum(s != t and 4 * len(s & t) >= 3 * len(s | t) for t in distinct) for s in distinct}
+    assert got == {d: links[s] for d, s in sets.items()} and got[5000] == 149
+
+
 def test_block_keys_meet_for_linked_sets():
     r = np.random.default_rng(4)
     for n in (1, 2, 3, 5, 8, 20, 64, 65, 85, 129, 300, 1000):
