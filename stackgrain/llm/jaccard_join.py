@@ -9,20 +9,24 @@ enters the next band if its partners may lie there.
 
 Blocks are joined rarest first (prefix filtering), so that passages which many texts share produce no candidates.
 Of long texts only the first `blocks` non-empty blocks in hash order are used, and `overlap` of them have to agree:
-shingle hashes are random, a linked pair agrees on each block with a probability of at least 0.54 and therefore on
-fewer than 8 of 64 with one below 1e-10; for texts of up to `blocks` blocks the pigeonhole bound itself is used and
-nothing is left to chance. Candidates pass a 512-bit parity sketch, whose Hamming distance is a lower bound in the same
-way, and are then verified exactly on their sets of 64-bit shingle hashes.
+shingle hashes are random, a pair at the limit of the similarity agrees on 41 of 64 in the mean, and on fewer than 16
+with a probability below 1e-9; for texts of up to `blocks` blocks the pigeonhole bound itself is used and nothing is
+left to chance. Candidates pass a 512-bit parity sketch, whose Hamming distance is a lower bound in the same way, and
+are then verified exactly on their sets of 64-bit shingle hashes.
 
 Texts with equal sets form one class beforehand. Within a block that several classes share, members are not paired
 with each other: in each round every class is compared with a few leaders of its blocks (first those that share most,
 then others by hash) that are not yet in its component, and components are formed anew; so a large group of near copies
-falls into few components in a number of pairs that grows with its size. When little is left, every pair of a block
-that is still in different components, of fitting sizes and sketches, is compared, so that no component is split. Links
-are then counted inside the components, between all of their classes; this grows with the square of a component.
+falls into few components in a number of pairs that grows with its size. Then every pair of a block that is still in
+different components, of fitting sizes and sketches, is compared once, at the least of the blocks that it shares, so
+that no component is split. The members of a large block are dealt to tiles, so that no task holds all of its pairs.
+Links are then counted inside the components, tile by tile, as products of 0/1 matrices of their shingles: no rows are
+made for pairs, but the arithmetic grows with the square of a component.
 
 Null or empty text: an empty set, linked with nothing. Texts of fewer words than a shingle: the whole sequence is one
-shingle. Repeated ids keep their rows. An empty table gives an empty result. Only the id and text columns are read.
+shingle. Rows are known by the hash of their id and text, so rows with a repeated id and different texts are compared
+each for itself, and rows without an id link like others; their component_id is the smallest id that they reach, null if
+there is none. An empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -53,7 +57,7 @@ def bands(n: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def block_keys(s: np.ndarray, blocks: int = 64, overlap: int = 8) -> list[tuple[np.ndarray, int]]:
+def block_keys(s: np.ndarray, blocks: int = 64, overlap: int = 16) -> list[tuple[np.ndarray, int]]:
     """For each band of a sorted set of shingle hashes: keys of its first non-empty blocks, and how many of them a
     linked text has at least."""
     out = []
@@ -86,14 +90,14 @@ def _sets(texts: list[bytes | None], hashes: WordHashes, k: int) -> Iterator[np.
 
 
 def summarise(docs: DataFrame, k: int, blocks: int, overlap: int) -> DataFrame:
-    """doc_id, n, fp and the block keys by band. A task gives the blocks of equal sets once."""
+    """doc_id, row (the row's hash), n, fp and the block keys by band. A task gives the blocks of equal sets once."""
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for own, some in chunks(ids, texts):
+            ids, texts = batch.select(["doc_id", "row"]), batch.column("text").to_pylist()
+            for own, some in chunks([*range(len(texts))], texts):
                 n, fp, keys = [], [], ([], [], [], [])
                 for s in _sets(some, hashes, k):
                     n.append(len(s))
@@ -104,12 +108,12 @@ def summarise(docs: DataFrame, k: int, blocks: int, overlap: int) -> DataFrame:
                         keys[2 * i].append(found[i][0].view(np.int64) if i < len(found) else None)
                         keys[2 * i + 1].append(found[i][1] if i < len(found) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(keys[0], longs),
+                    [*ids.slice(own[0], len(own)).columns, pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(keys[0], longs),
                      pa.array(keys[1], pa.int32()), pa.array(keys[2], longs), pa.array(keys[3], pa.int32())],
-                    names=["doc_id", "n", "fp", "own", "own_least", "next", "next_least"],
+                    names=["doc_id", "row", "n", "fp", "own", "own_least", "next", "next_least"],
                 )
 
-    schema = "doc_id long, n long, fp long, own array<long>, own_least int, next array<long>, next_least int"
+    schema = "doc_id long, row long, n long, fp long, own array<long>, own_least int, next array<long>, next_least int"
     return docs.mapInArrow(run, schema)
 
 
@@ -161,23 +165,23 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(fp, n, s0..s7, set) of the documents named by wanted (doc_id, fp)."""
+    """(fp, n, s0..s7, set) of the rows of docs named by wanted (row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            fps, texts = (c.to_pylist() for c in batch.columns)
-            for own, some in chunks(fps, texts):
+            texts = batch.column(0).to_pylist()
+            for _, some in chunks(texts, texts):
                 found = [*_sets(some, hashes, k)]
                 bits = np.array([parity_bits(s) for s in found]).reshape(len(found), SKETCH_LONGS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int64()), pa.array([len(s) for s in found], pa.int64()),
+                    [pa.array([fingerprint(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
                      *(pa.array(bits[:, i].copy()) for i in range(SKETCH_LONGS)), pa.array([s.tobytes() for s in found], pa.binary())],
                     names=["fp", "n", *(f"s{i}" for i in range(SKETCH_LONGS)), "set"],
                 )
 
     schema = "fp long, n long, " + ", ".join(f"s{i} long" for i in range(SKETCH_LONGS)) + ", set binary"
-    picked = docs.join(wanted, "doc_id").select("fp", "text").mapInArrow(run, schema)
+    picked = docs.join(wanted, "row", "left_semi").select("text").mapInArrow(run, schema)
     return stored(picked.dropDuplicates(["fp"]), "sets")
 
 
@@ -223,77 +227,99 @@ def _pairs_with_leaders(here: DataFrame, turn: int, leaders: int) -> DataFrame:
     return met.withColumn("rank", F.row_number().over(few)).where(F.col("rank") <= leaders).select(F.col("fp").alias("a"), "b")
 
 
-def _pairs_left(here: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs that share a block, lie in different components and may be similar by size and sketch."""
-    full = here.select("key", "fp", "comp").join(sets.drop("set"), "fp")
-    a, b = _side("a", full).withColumnRenamed("a_key", "key"), _side("b", full).withColumnRenamed("b_key", "key")
-    return a.join(b, (a.key == b.key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
-
-
-def degrees(sets: DataFrame, labels: DataFrame, percent: int, most: int = 128) -> DataFrame:
+def _tiled(rows: DataFrame, group: str, slots: Column, by: str) -> DataFrame:
+    """The rows of each group dealt by hash to slots, once for each pair of slots (lo <= hi) that they belong to."""
+    own = rows.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64(by, group), "slots"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
+    return own.withColumn("lo", F.least("slot", "other")).withColumn("hi", F.greatest("slot", "other")).drop("slots", "other")
+
+
+def _pairs_left(here: DataFrame, sets: DataFrame, percent: int, most: int = 512) -> DataFrame:
+    """(a, b): all pairs that share a block, lie in different components and may be similar by size and sketch, each at
+    the least of its shared blocks."""
+    keys = here.groupBy("fp").agg(F.collect_set("key").alias("keys"))  # a class has a bounded number of blocks
+    size = here.groupBy("key").agg(F.ceil(F.count("*") / most).alias("parts"))
+    rows = _tiled(here.select("key", "fp", "comp").join(size, "key"), "key", F.col("parts"), "fp").drop("parts")
+    full = stored(rows.join(keys, "fp").join(sets.drop("set"), "fp"), "full")
+    a, b = _side("a", full), _side("b", full)
+    same = (a.a_key == b.b_key) & (a.a_lo == b.b_lo) & (a.a_hi == b.b_hi)
+    apart = (F.col("a_comp") < F.col("b_comp")) & ((F.col("a_lo") == F.col("a_hi")) | (F.col("a_slot") != F.col("b_slot")))
+    once = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("a_key")
+    return a.join(b, same & apart & sketches_fit("a", "b", percent) & once).select("a", "b")
+
+
+def common_counts(sets: list[np.ndarray], first: int, columns: int = 8192) -> np.ndarray:
+    """How many values the first so many sets share with each of the others (with all of them if first is len(sets)):
+    products of 0/1 matrices, so many columns at a time."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    place = np.cumsum(np.append(False, values[1:] != values[:-1]))
+    often = np.bincount(place)[place] > 1
+    place, owner = np.unique(place[often], return_inverse=True)[1], owner[often]
+    rest = 0 if first == len(sets) else first
+    out = np.zeros((first, len(sets) - rest), np.float32)
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+        i, j = np.searchsorted(place, (at, at + columns))
+        here = np.zeros((len(sets), columns), np.float32)
+        here[owner[i:j], place[i:j] - at] = 1
+        out += here[:first] @ here[rest:].T
+    return out.astype(np.int64)
+
+
+def degrees(sets: DataFrame, labels: DataFrame, percent: int, most: int = 512, most_bytes: int = 8_000_000) -> DataFrame:
     """(fp, n_links): how many other classes each class is linked with. Links lie inside components, so all pairs of a
-    component are compared: its classes are dealt by hash to slots of about `most`, and each pair of slots is compared by
-    sizes and sketches before the sets are read. Degrees leave a task, not links."""
-    sized = labels.groupBy("comp").agg(F.count("*").alias("m")).where("m > 1").withColumn("slots", F.ceil(F.col("m") / most))
-    rows = sized.agg(F.sum(F.col("m") * F.col("slots"))).first()[0] or 0
-    groups = rows // 1000 + 1
-    here = labels.join(sized, "comp").withColumn("slot", F.pmod(F.xxhash64("node"), "slots"))
-    here = here.select(F.col("node").alias("fp"), "comp", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("other"))
-    here = here.select("fp", "comp", "slot", F.least("slot", "other").alias("lo"), F.greatest("slot", "other").alias("hi"))
+    component are compared: its classes are dealt by hash to slots of about `most` sets or most_bytes, and each pair of
+    slots is one tile. Degrees leave a task, not links."""
+    sized = labels.join(sets.select(F.col("fp").alias("node"), "n"), "node").groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
+    parts = F.ceil(F.greatest(F.col("m") / most, F.col("all") * 8 / most_bytes))
+    sized = sized.where("m > 1").select("comp", parts.alias("parts"), (F.col("all") * 8 * parts).alias("bytes"))
+    groups = int((sized.agg(F.sum("bytes")).first()[0] or 0) // (2 * most_bytes)) + 1
+    here = _tiled(labels.join(sized, "comp").withColumnRenamed("node", "fp"), "comp", F.col("parts"), "fp")
 
     def run(t: pa.Table) -> pa.Table:
         comp, slot, lo, hi, n, fp = (t.column(c).to_numpy() for c in ("comp", "slot", "lo", "hi", "n", "fp"))
-        # Unsigned: bitwise_count takes the absolute value of negative numbers.
-        sketch = np.stack([t.column(f"s{i}").to_numpy().view(np.uint64) for i in range(SKETCH_LONGS)], axis=1)
-        packed = t.column("set").to_pylist()
-        order = np.lexsort((hi, lo, comp))
+        packed = t.column("set")
+        order = np.lexsort((slot, hi, lo, comp))
         new = np.zeros(len(order), np.bool_)
         for x in (comp, lo, hi):
             new[1:] |= x[order][1:] != x[order][:-1]
         found = np.zeros(len(fp), np.int64)
         for at in np.split(order, np.nonzero(new)[0]):
-            size, own = n[at], slot[at]
-            fit = np.triu(100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size), 1)
-            if lo[at[0]] != hi[at[0]]:
-                fit &= own[:, None] != own[None]
-            a, b = np.nonzero(fit)
-            differ = np.bitwise_count(sketch[at[a]] ^ sketch[at[b]]).sum(axis=1, dtype=np.int64)
-            close = differ * (100 + percent) <= (size[a] + size[b]) * (100 - percent)
-            for x, y in zip(at[a[close]], at[b[close]], strict=True):
-                s, u = np.frombuffer(packed[x], np.uint64), np.frombuffer(packed[y], np.uint64)
-                same = len(np.intersect1d(s, u, assume_unique=True))
-                if 100 * same >= percent * (len(s) + len(u) - same):
-                    found[x] += 1
-                    found[y] += 1
+            cut = int((slot[at] == lo[at]).sum())  # rows of the tile's first slot stand first
+            if len(at) < 2 or (lo[at[0]] != hi[at[0]] and cut in (0, len(at))):
+                continue
+            own = [np.frombuffer(packed[int(i)].as_buffer(), np.uint64) for i in at]
+            rows, columns = at[:cut], at[cut:] if cut < len(at) else at
+            same = common_counts(own, cut)
+            linked = 100 * same >= percent * (n[rows][:, None] + n[columns] - same)
+            if cut == len(at):
+                np.fill_diagonal(linked, False)
+                found[at] += linked.sum(axis=1)
+            else:
+                found[rows] += linked.sum(axis=1)
+                found[columns] += linked.sum(axis=0)
         some = np.nonzero(found)[0]
         return pa.table({"fp": fp[some], "n_links": found[some]})
 
-    whole = here.join(sets, "fp").withColumn("group", F.pmod(F.xxhash64("comp", "lo", "hi"), F.lit(groups)))
+    whole = here.join(sets.select("fp", "n", "set"), "fp").withColumn("group", F.pmod(F.xxhash64("comp", "lo", "hi"), F.lit(groups)))
     return whole.groupBy("group").applyInArrow(run, "fp long, n_links long").groupBy("fp").agg(F.sum("n_links").alias("n_links"))
 
 
-def jaccard_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    k: int = 5,
-    percent: int = 75,
-    blocks: int = 64,
-    overlap: int = 8,
-    rounds: int = 2,
-    leaders: int = 2,
-) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """The key of a row: a hash of its id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
 
-    class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
-    n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the bounds above are made for that."""
+
+def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, blocks: int, overlap: int, rounds: int, leaders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """summary of all rows; sets of the classes that share a block; labels (node, comp) of the classes with a link."""
     if percent < 75:
         raise ValueError("the bands and bounds hold for a similarity of 75 per cent or more")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), _rows(docs, id_col, text_col).alias("row"), F.col(text_col).cast("binary").alias("text"))
     summary = stored(summarise(docs, k, blocks, overlap), "summary")
     met = stored(candidates(summary), "blocks")
-    classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"))
-    wanted = met.select("fp").distinct().join(classes, "fp").select(F.col("class_id").alias("doc_id"), "fp")
+    wanted = summary.join(met.select("fp").distinct(), "fp").groupBy("fp").agg(F.min("row").alias("row")).select("row")
     sets = class_sets(docs, wanted, k)
 
     links = tested = labels = None
@@ -303,12 +329,9 @@ def jaccard_components(
             here = met.join(labels, met.fp == labels.node, "left").withColumn("comp", F.coalesce("comp", "fp"))
         spread = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         here = stored(here.join(spread, "key", "left_semi").select("key", "fp", "n", "weight", "comp"), "open")
-        size = here.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
-            (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("apart"), F.sum("c").alias("c")
-        ).agg(F.sum("apart").alias("apart"), F.sum("c").alias("rows")).first()
-        if not size["apart"]:
+        if here.isEmpty():
             break
-        last = turn == rounds or (turn > 0 and size["apart"] <= 100 * size["rows"])
+        last = turn == rounds
         pairs = _pairs_left(here, sets, percent) if last else _pairs_with_leaders(here, turn, leaders if turn else 1)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
@@ -318,38 +341,66 @@ def jaccard_components(
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = components(links)
-        if last:
-            break
     if links is None:
-        links = docs.sparkSession.createDataFrame([], "a long, b long")
-        labels = components(links)
-
+        labels = components(docs.sparkSession.createDataFrame([], "a long, b long"))
     labels = stored(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp")).distinct(), "labels")
-    degree = degrees(sets, labels, percent)
-    by_class = (
-        classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-        .join(degree, "fp", "left")
-        .select("fp", "class_id", F.coalesce("comp", "fp").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
-    least = by_class.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    by_class = by_class.join(least, "comp").select("fp", "class_id", "component_id", "n_links")
+    return summary, sets, labels
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    percent: int = 75,
+    blocks: int = 64,
+    overlap: int = 16,
+    rounds: int = 2,
+    leaders: int = 2,
+    salts: int = 16,
+) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
+
+    class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
+    n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the
+    bounds above are made for that. salts: a component's rows are dealt to so many keys to be given its id."""
+    summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
+    classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"))
+    linked = (
+        labels.withColumnRenamed("node", "fp").join(classes, "fp").join(degrees(sets, labels, percent), "fp", "left")
+        .withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(salts)))
+    )
+    linked = stored(linked, "linked")
+    least = linked.groupBy("comp").agg(F.min("class_id").alias("component_id"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    linked = linked.join(least, ["comp", "salt"]).select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    by_class = classes.join(linked, "fp", "left").select("fp", "class_id", "component_id", "n_links")
     alone = F.col("fp").isNull()
     # Rows without a set get a key of their own, so that they do not meet in one task.
-    spread = F.coalesce("fp", F.xxhash64("doc_id", F.lit("alone")))
+    spread = F.coalesce("fp", F.xxhash64("doc_id", "row", F.lit("alone")))
     return (
         summary.select("doc_id", "n", "fp", spread.alias("key"))
         .join(by_class.withColumnRenamed("fp", "key"), "key", "left")
         .select(
-            "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component_id", "class_id")).alias("component_id"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+            F.when(alone, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
         )
     )
 
 
-def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
-    """The documents (doc_id, text and any other columns), one of each component: the one with the smallest id, once
-    if its row is repeated. Rows without an id cannot be told apart and stay."""
-    kept = jaccard_components(docs, **how).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, blocks: int = 64, overlap: int = 16, rounds: int = 2, leaders: int = 2
+) -> DataFrame:
+    """The documents (any columns), one of each component: a row with the smallest id, or one without an id if none has
+    one; of rows with the same id and text any. Rows without a word stay."""
+    summary, _, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
+    rows = summary.where("fp is not null").join(labels, summary.fp == labels.node, "left").withColumn("comp", F.coalesce("comp", "fp"))
+    best = rows.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    bare = F.btrim(F.col(text_col).cast("string"), F.lit(" \t\n\x0b\x0c\r"))
+    empty = F.col(text_col).isNull() | (bare == "")
+    kept = docs.where(~empty).withColumn(name, _rows(docs, id_col, text_col)).join(best.withColumnRenamed("row", name), name, "left_semi").dropDuplicates([name])
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where(empty))

@@ -427,6 +427,41 @@ def test_every_link_is_counted(spark):
     assert got == {d: links[s] for d, s in sets.items()} and got[5000] == 149
 
 
+def test_tiles_lose_no_pair(spark):
+    group = prose(55, 60).split()
+    docs = [(i, " ".join([*group[: i % 30], f"own{i}", *group[i % 30 :]])) for i in range(120)] + [(500 + i, prose(i, 60)) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    _, sets, labels = jaccard_join.compare(df, "doc_id", "text", 5, 75, 64, 16, 1, 1)
+    sizes = [rows(jaccard_join.degrees(sets, labels, 75, most), "fp", "n_links") for most in (7, 64, 512)]
+    assert sizes[0] == sizes[1] == sizes[2]
+    fp = [r.fp for r in sets.select("fp").collect()]
+    here = spark.createDataFrame([(k, f, f) for f in fp for k in (1, 2)], "key long, fp long, comp long")
+    every = [sorted(tuple(sorted(r)) for r in jaccard_join._pairs_left(here, sets, 75, most).collect()) for most in (7, 512)]
+    assert every[0] == every[1] and len(every[0]) == len(set(every[0]))
+
+
+def test_common_counts():
+    r = np.random.default_rng(6)
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    assert (jaccard_join.common_counts(sets, 30, 7) == want).all()
+    assert (jaccard_join.common_counts(sets, 11, 7) == want[:11, 11:]).all()
+
+
+def test_repeated_and_missing_ids(spark):
+    a = prose(70, 60)
+    docs = [(1, prose(71, 60)), (1, a), (2, f"{a} three more words"), (None, f"{a} and here"), (None, prose(72, 60)), (None, f"{prose(72, 60)} so"), (3, f"{prose(72, 60)} so it"), (4, None), (4, "")]
+    for order in (docs, docs[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string")
+        got = {(r.doc_id, r.n_shingles): (r.component_id, r.n_links) for r in jaccard_join.jaccard_components(df).collect()}
+        assert got == {(1, 56): (1, 2), (2, 59): (1, 2), (None, 58): (1, 2), (None, 56): (3, 2), (None, 57): (3, 2), (3, 58): (3, 2), (4, 0): (4, 0)} | {(1, 56): got[1, 56]}
+        kept = [(r.doc_id, r.text) for r in jaccard_join.drop_near_copies(df).collect()]
+        assert sorted(kept, key=str) == sorted([(1, prose(71, 60)), (1, a), docs[6], (4, None), (4, "")], key=str)
+    only = spark.createDataFrame([(None, a), (None, f"{a} so")], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.jaccard_components(only).collect()} == {None}
+    assert jaccard_join.drop_near_copies(only).count() == 1
+
+
 def test_block_keys_meet_for_linked_sets():
     r = np.random.default_rng(4)
     for n in (1, 2, 3, 5, 8, 20, 64, 65, 85, 129, 300, 1000):
