@@ -227,14 +227,17 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents that score_quality keeps, with all their columns."""
-    name = "counts"
+    """The documents that score_quality keeps, with all their columns. Texts are counted once: rows are stored with
+    their votes until the model is fitted."""
+    name = "votes"
     while name in docs.columns:
         name += "_"
     c = _fields(name)
-    counted = docs.withColumn(name, counts(F.col(text_col)))
     votes = rules(c)
+    counted = docs.withColumn(name, counts(F.col(text_col)))
+    kept = F.struct(base_failed(c).alias("failed"), *(v.cast("tinyint").alias(n) for n, v in votes.items()))
+    voted = stored(counted.withColumn(name, kept), "voted")
     names = [f"v{i}" for i in range(len(votes))]
-    model = fit_votes(_patterns(counted.select(*(v.alias(n) for n, v in zip(names, votes.values(), strict=True))), names), len(names))
-    good = model.posterior([*votes.values()]) >= least
-    return counted.where(~base_failed(c) & good).select(*(F.col(f"`{x}`") for x in docs.columns))
+    model = fit_votes(_patterns(voted.select(*(F.col(f"{name}.{v}").alias(n) for n, v in zip(names, votes, strict=True))), names), len(names))
+    good = model.posterior([F.col(f"{name}.{v}") for v in votes]) >= least
+    return voted.where(~F.col(f"{name}.failed") & good).select(*(F.col(f"`{x}`") for x in docs.columns))
