@@ -1,20 +1,24 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of all words and all word pairs of all training documents are quantised to q = 1 + floor(log2 n), and each
-n-gram is entered q times, once for each level. A lookup probes level 1, 2, ... until a probe fails; the last level
-that was found gives the count. The filter is made of segments by the leading bits of the key. Their number follows the
-training tokens and the bits of each its entries, so that no n-gram is left out and none of them grows with the corpus.
-The whole filter is never gathered in one place: keys are sent to the segment that they belong to.
-
-The model's probability of a word is ``share * c(h w) / c(h) + (1 - share) * (c(w) + 1) / (N + V + 1)`` with the counts
-from the filter, and ``(c(w) + 1) / (N + V + 1)`` after a word that the filter does not hold; the context of the first
-word is the end token. The base score uses exact counts of words, which a segment holds beside its bits. The counts of
-the most frequent words and pairs (bounded tables, with the same values from the filter) are broadcast; all other keys
-are joined by segment, once for each chunk of texts. N-grams are keyed by 64-bit hashes.
+Counts of all words and all word pairs of all training documents are quantised to the values 1, 2, 3, 4, 6, 8, 12, 16,
+... (two an octave; a count between two of them goes to one or the other by a hash of its key, so that it is kept in the
+mean), and each n-gram is entered at all levels up to its own. A lookup probes level 1, 2, ... until a probe fails; the
+last level that was found gives the count. The filter is made of segments by the leading bits of the key. Their number
+follows the training tokens and the bits of each its entries, so that no n-gram is left out and none of them grows with
+the corpus. The whole filter is never gathered in one place: keys are sent to the segment that they belong to.
+
+The model's probability of word w after context h is ``(q(h w) + prior * u(w)) / (c(h) + prior)`` with
+``u(w) = (q(w) + 1) / (Q + V + 1)``: q are counts from the filter, Q the sum of all words' q, and c(h) the exact count
+of the context, which a segment holds for the base score. u sums to one over the V words and one unseen one; so does the
+whole, as far as the pairs' quantised counts add up to c(h): exactly where they are quantised without loss, in the mean
+otherwise. After a word that training lacks, the probability is u(w). A pair or word that training lacks is found at
+level 1 by chance with a probability below 0.4 per cent (eight probes at half load). The context of the first word is
+the end token. The counts of the most frequent words and pairs (bounded tables, with the same values from the filter)
+are broadcast; all other keys are joined by segment, once for each chunk of texts. N-grams are keyed by 64-bit hashes.
 
 Tokens are words (A-Z in lower case, split at ASCII white space) and one end a document. Null text counts as empty: its
-end token alone is scored. A null id belongs to no held-out fold. Repeated rows are scored row by row. An empty table
-gives an empty result. Only the id and text columns are read.
+end token alone is scored. A very long text is one chunk of its own. A null id belongs to no held-out fold. Repeated
+rows are scored row by row. An empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -27,21 +31,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, fold, mix, stored, words
+from .common import CHUNK_CHARS, WordHashes, chunks, fold, mix, stored, words
 
 END = b"\n"  # no word holds white space
 MOST_SEGMENTS = 24  # bits
+PROBES = 8
+#: The count of each level, from 0 for none.
+VALUES = np.array([0, 1, 2, *(x << k for k in range(30) for x in (3, 4))], np.float64)
+
+
+def quantise(n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The level of each count. Between two values the key's hash decides, so that the mean is kept."""
+    low = np.searchsorted(VALUES, n, side="right") - 1
+    up = np.minimum(low + 1, len(VALUES) - 1)
+    share = (n - VALUES[low]) / np.maximum(VALUES[up] - VALUES[low], 1)
+    draw = (mix(keys ^ np.uint64(0x452821E638D01377)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    return np.where(draw < share, up, low)
 
 
 class LogFrequencyFilter:
     """2 ** bits bits, k probes a level."""
 
-    def __init__(self, bits: int, k: int = 6, data: np.ndarray | None = None):
+    def __init__(self, bits: int, k: int = PROBES, data: np.ndarray | None = None):
         self.bits, self.k = bits, k
         self.data = np.zeros(1 << (bits - 3), np.uint8) if data is None else data
 
     @classmethod
-    def of(cls, keys: np.ndarray, levels: np.ndarray, k: int = 6) -> LogFrequencyFilter:
+    def of(cls, keys: np.ndarray, levels: np.ndarray, k: int = PROBES) -> LogFrequencyFilter:
         """The filter that holds each key at levels 1 to its own: at most about half of its bits are set."""
         bits = max(6, math.ceil(math.log2(max(1.0, levels.sum() * k / math.log(2)))))
         flags = np.zeros(1 << bits, np.bool_)
@@ -71,7 +87,7 @@ class LogFrequencyFilter:
                 break
         return found
 
-    def levels(self, keys: np.ndarray, most: int = 48) -> np.ndarray:
+    def levels(self, keys: np.ndarray, most: int = len(VALUES) - 1) -> np.ndarray:
         """The highest level reached by each key, 0 for none."""
         level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
         for q in range(1, most + 1):
@@ -81,11 +97,6 @@ class LogFrequencyFilter:
             level[left] = q
         return level
 
-    @staticmethod
-    def counts(level: np.ndarray) -> np.ndarray:
-        """A count for each level: the geometric middle of those that share it (1 for level 1)."""
-        return np.where(level > 1, 2.0 ** (level - 1) * math.sqrt(2), level.astype(np.float64))
-
 
 def pairs(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(0xD6E8FEB86659FD93) + word * np.uint64(0xA0761D6478BD642F))
@@ -190,7 +201,7 @@ def segments(counted: DataFrame, words_each: int, pairs_each: int) -> DataFrame:
             own.append((keys, n))
         (word, n), (pair, pair_n) = own
         keys = np.concatenate([word, pair])
-        levels = np.frexp(np.concatenate([n, pair_n]).astype(np.float64))[1].astype(np.int64)  # 1 + floor(log2 n)
+        levels = quantise(np.concatenate([n, pair_n]), keys)
         part = LogFrequencyFilter.of(keys, levels)
         top, top_pair = most(word, n, words_each), most(pair, pair_n, pairs_each)
         blobs = {
@@ -198,11 +209,11 @@ def segments(counted: DataFrame, words_each: int, pairs_each: int) -> DataFrame:
             "top_pair": pair[top_pair], "top_pair_level": part.levels(pair[top_pair]).astype(np.int8),
         }
         return pa.table(
-            {"segment": t.column("segment")[:1], "total": [int(n.sum())], "distinct": [len(word)]}
+            {"segment": t.column("segment")[:1], "total": [int(n.sum())], "distinct": [len(word)], "mass": [float(VALUES[part.levels(word)].sum())]}
             | {name: pa.array([x.tobytes()], pa.binary()) for name, x in blobs.items()}
         )
 
-    schema = "segment int, total long, distinct long, data binary, keys binary, n binary, top binary, top_n binary, top_level binary, "
+    schema = "segment int, total long, distinct long, mass double, data binary, keys binary, n binary, top binary, top_n binary, top_level binary, "
     return counted.groupBy("segment").applyInArrow(build, schema + "top_pair binary, top_pair_level binary")
 
 
@@ -225,12 +236,12 @@ def build_filter(counted: DataFrame, bits: int) -> Segments:
     rows = counted.select("key", "n").toArrow()
     keys, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     order = np.argsort(keys)
-    keys, levels = keys[order], np.frexp(n[order].astype(np.float64))[1].astype(np.int64)
+    keys, levels = keys[order], quantise(n[order], keys[order])
     lead = leading_bits(int(levels.sum()), bits)
     return Segments(lead, {x: LogFrequencyFilter.of(keys[at], levels[at]) for x, at in by_segment(keys, lead)})
 
 
-def leading_bits(entries: int, bits: int, k: int = 6) -> int:
+def leading_bits(entries: int, bits: int, k: int = PROBES) -> int:
     """Leading bits of a key that number segments of about 2 ** bits bits for so many entries."""
     return min(MOST_SEGMENTS, max(0, math.ceil(math.log2(max(1.0, entries * k / math.log(2) / (1 << bits))))))
 
@@ -279,12 +290,13 @@ def score_texts(
     frequent_words: int = 200_000,
     pair_words: int = 500_000,
     bits: int = 21,
-    share: float = 0.4,
+    prior: float = 4.0,
 ) -> DataFrame:
     """Scores of every text of docs under the model of train's texts. held_out: a boolean column of docs to carry.
 
     frequent_words and pair_words: so many words and word pairs, about, have their counts broadcast. bits: a segment has
-    about 2 ** bits bits. None of them changes what is counted."""
+    about 2 ** bits bits. None of them changes what is counted. prior: how many counts the words' own probabilities weigh
+    beside those of the pairs of a context."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     learn = train.select(F.col(text_col).cast("binary").alias("text"))
@@ -292,9 +304,9 @@ def score_texts(
     lead = leading_bits(size // 8, bits)  # about 8 bytes of text an entry
     each = [-(-most >> lead) for most in (frequent_words, pair_words)]
     parts = stored(segments(count_keys(learn, lead), *each), "segments")
-    row = parts.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
+    row = parts.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v"), F.sum("mass").alias("q")).first()
     n_all, n_distinct = row["n"] or 0, row["v"] or 0
-    total = float(n_all + n_distinct + 1)
+    total, mass = float(n_all + n_distinct + 1), (row["q"] or 0.0) + n_distinct + 1
     tops = parts.select("top", "top_n", "top_level", "top_pair", "top_pair_level").toArrow()
     kinds = zip(tops.columns, (np.uint64, np.int64, np.int8, np.uint64, np.int8), strict=True)
     top, top_n, top_level, top_pair, top_pair_level = (np.frombuffer(b"".join(c.to_pylist()), kind) for c, kind in kinds)
@@ -305,7 +317,7 @@ def score_texts(
         done = 0
         for batch in batches:
             number, ids, held, texts = (c.to_pylist() for c in batch.columns)
-            for own, some in chunks([*range(len(ids))], texts):
+            for own, some in chunks([*range(len(ids))], texts, 4 * CHUNK_CHARS):
                 columns = [pa.array([ids[i] for i in own], pa.int64()), pa.array([held[i] for i in own], pa.bool_()), pa.array(some, pa.binary())]
                 batch_here = pa.RecordBatch.from_arrays(columns, names=["ids", "held", "texts"])
                 sink = pa.BufferOutputStream()
@@ -348,18 +360,17 @@ def score_texts(
         })
 
     def add_up(own: pa.Table, answers: pa.Table) -> pa.Table:
-        counts, own = LogFrequencyFilter.counts, unpack(own.column("rows")[0])
+        own = unpack(own.column("rows")[0])
         chunk = Chunk(Tokens(), own.column("texts").to_pylist(), common.value)
         order = np.argsort(answers.column("segment").to_numpy())
         level, n = (answers.column(c).to_pylist() for c in ("level", "n"))
         chunk.learn(
             np.frombuffer(b"".join(level[i] for i in order), np.int8), np.frombuffer(b"".join(n[i] for i in order), np.int64)
         )
-        approx = counts(chunk.level)
-        uni = (approx[chunk.word] + 1) / total
-        before = approx[chunk.context]
-        mixed = share * np.minimum(1.0, counts(chunk.joint) / np.maximum(before, 1.0)) + (1 - share) * uni
-        score = np.log10(np.where(before > 0, mixed, uni))
+        alone = (VALUES[chunk.level] + 1) / mass
+        context = chunk.n[chunk.context].astype(np.float64)
+        joint = np.where(context > 0, np.minimum(VALUES[chunk.joint], context), 0)
+        score = np.log10((joint + prior * alone[chunk.word]) / (context + prior))
         base = np.log10((chunk.n + 1) / total)
         return pa.table({
             "doc_id": own.column("ids"), "held_out": own.column("held"),
