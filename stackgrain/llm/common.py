@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Only where the session names none (tests) a local one is made."""
+    """The folder that all executors share: spark.checkpoint.dir, or what setCheckpointDir() was given. Only a local
+    session, whose executors are this machine, may name none: it then gets one in its warehouse."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
-        place = tempfile.mkdtemp(prefix="stackgrain-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoint"
         spark.sparkContext.setCheckpointDir(place)
     return place
 
@@ -73,6 +76,16 @@ def chunks(ids: list, texts: list, most: int = CHUNK_CHARS) -> Iterator[tuple[li
         yield ids[start:], texts[start:]
 
 
+def array_chunks(texts: pa.Array, most: int = 4 * CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of slices of an Arrow array of texts of at most so many bytes, but of one row at least."""
+    size = np.cumsum(np.append(0, pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)))
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(size, size[start] + most, side="right")) - 1)
+        yield start, end
+        start = end
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text: A-Z in lower case, split at space and \\x09-\\x0D. bytes.lower() and bytes.split()
     treat ASCII alone, which is just that definition."""

@@ -1,30 +1,34 @@
 """Best-fit packing of documents into sequences, by bin completion over the histogram of piece lengths.
 
 Pieces of equal length are interchangeable, so the packing problem of any corpus is a histogram of at most `capacity`
-counts. The driver solves that: around the largest remaining piece it enumerates undominated fillings of the free
-room (one exact piece dominates every set of pieces of the same sum), orders them by waste, and branches over them;
-branches are pruned by the bound total / capacity, and a best-fit solution is the incumbent. A filling is applied as
-often as the counts allow, so the result is a short list of (pattern, how often), and each step uses up a length.
-Pieces then find their slot by their rank among pieces of the same length, which needs partition-wise counts and no
-global sort: nothing but counts passes through the driver.
-
-Null text counts as empty; an empty document still has its end id. A repeated document id keeps all its rows. Ties
-between pieces of one length are broken by partition and row. An empty table gives an empty result. Only the id and
-text columns are read, so other columns may have any name.
+counts. The driver solves that. Best-fit decreasing gives the first incumbent. If it uses more sequences than
+total / capacity allows, a depth-first search completes one sequence at a time: around the largest remaining piece it
+enumerates the undominated fillings of the free room (maximal ones in which no set of pieces can give way to one larger
+piece), those of least waste first, each as often as the counts allow or once. A node is pruned when its waste exceeds
+what an incumbent better by one may waste; a better packing becomes the incumbent. ``steps`` and ``width`` bound the
+search, never the pieces: all are packed. Pieces then find their slot by their rank among pieces of the same length,
+which needs partition-wise counts and no global sort: nothing but counts passes through the driver.
+
+Null text counts as empty; an empty document still has its end id. A very long text is cut into many pieces, each packed
+on its own. A repeated document id keeps all its rows. Ties between pieces of one length are broken by partition and
+row. An empty table gives an empty result. Only the id and text columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
-from .tokens import PieceIds, default_tokenizer
+from .common import array_chunks, map_rows, stored
+from .tokens import default_tokenizer, piece_ids
 
 Packing = list[tuple[tuple[int, ...], int]]
 
@@ -52,80 +56,93 @@ def _best_fit(counts: dict[int, int], capacity: int) -> Packing:
     return [(tuple(p), n) for own in room.values() for p, n in own]
 
 
-def _largest_below(counts: np.ndarray) -> np.ndarray:
-    """For each room the largest length with pieces left that fits, 0 for none."""
-    return np.maximum.accumulate(np.where(counts > 0, np.arange(len(counts)), 0))
-
-
-def _fill(room: int, counts: np.ndarray, first: int = 0) -> list[int]:
-    """A filling of room that wastes little; counts is used up and put back. first > 0: skip so many of the best
-    openings, which gives the other branches."""
-    taken: list[int] = []
-    while room > 0:
-        below = _largest_below(counts[: room + 1])
-        x = int(below[room])
-        if not x:
-            break
-        pick = [x]
-        if x < room:
-            a = np.nonzero(counts[: room + 1] > 0)[0]
-            b = below[room - a]
-            b = np.where((b == a) & (counts[a] < 2), 0, b)
-            order = np.lexsort((-a, -(a + b)))
-            k = order[min(first, len(order) - 1)]
-            if b[k] and a[k] + b[k] > x:
-                pick = [int(a[k]), int(b[k])]
-        elif first:
-            y = int(below[x - 1])
-            pick = [y] if y else pick
-        first = 0
-        for p in pick:
-            counts[p] -= 1
-            room -= p
-        taken += pick
-    for p in taken:
-        counts[p] += 1
-    return sorted(taken, reverse=True)
-
-
-def solve(histogram: dict[int, int], capacity: int, steps: int = 20_000, width: int = 3) -> Packing:
+def _dominated(filling: tuple[int, ...], left: int, lengths: list[int], counts: dict[int, int]) -> bool:
+    """Whether some pieces of the filling can give way to one larger piece: what a packing wins by the smaller pieces,
+    it has then as well. Sets of up to three pieces are looked at."""
+    used = Counter(filling)
+    for n in range(1, min(3, len(filling)) + 1):
+        for some in set(combinations(filling, n)):
+            total = sum(some)
+            at = bisect_left(lengths, total + (n == 1))
+            while at < len(lengths) and lengths[at] <= total + left:
+                if counts[lengths[at]] > used[lengths[at]]:
+                    return True
+                at += 1
+    return False
+
+
+def fillings(room: int, counts: dict[int, int], waste: int, most: int, tries: int = 2000) -> list[tuple[int, ...]]:
+    """Undominated fillings of room that leave at most waste free, those of least waste first. At most so many are
+    enumerated, in at most so many tries."""
+    lengths = sorted(x for x in counts if counts[x] and x <= room)
+    if not lengths:
+        return [()] if room <= waste else []
+    if lengths[-1] == room:
+        return [(room,)]  # one piece that fills the room dominates all else
+    found: list[tuple[int, ...]] = []
+    stack: list[tuple[tuple[int, ...], int, int]] = [((), room, len(lengths) - 1)]
+    while stack and len(found) < most and tries > 0:
+        chosen, left, top = stack.pop()
+        tries -= 1
+        last = bisect_right(lengths, left, 0, top + 1) - 1
+        if last >= 0 and chosen and lengths[last] == chosen[-1] and chosen.count(chosen[-1]) >= counts[chosen[-1]]:
+            last -= 1
+        if last < 0:
+            spare = any(counts[x] > chosen.count(x) for x in lengths[: bisect_right(lengths, left)])
+            if left <= waste and not spare and not _dominated(chosen, left, lengths, counts):
+                found.append(chosen)
+            continue
+        if last > 0:
+            stack.append((chosen, left, last - 1))  # without this length
+        stack.append(((*chosen, lengths[last]), left - lengths[last], last))
+    return sorted(found, key=lambda f: (-sum(f), [-x for x in f]))
+
+
+def solve(histogram: dict[int, int], capacity: int, steps: int = 20_000, width: int = 40) -> Packing:
     """Patterns of lengths and how often each is used, covering the histogram exactly.
 
-    steps bounds the search over fillings (not the pieces: they are always all packed)."""
+    steps bounds the nodes of the search and width the fillings of a node (not the pieces: they are always all packed)."""
     incumbent = _best_fit(histogram, capacity)
     used = sum(n for _, n in incumbent)
-    counts = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        counts[length] = n
-    lengths = np.arange(capacity + 1)
-    bound = -(-int(counts @ lengths) // capacity)
-    # Depth first, the filling of least waste first; a node is (counts left, patterns so far, sequences so far).
-    stack: list[tuple[np.ndarray, tuple, int, int]] = [(counts, (), 0, 0)]
+    total = sum(x * n for x, n in histogram.items())
+    bound = -(-total // capacity)
+
+    def branches(counts: dict[int, int], wasted: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
+        """(pattern, how often, waste of one) around the largest piece left."""
+        top = max(x for x in counts if counts[x])
+        rest = counts | {top: counts[top] - 1}
+        allowed = (used - 1) * capacity - total - wasted
+        for f in fillings(capacity - top, rest, allowed, width):
+            pattern = (top, *f)
+            need = Counter(pattern)
+            often = min(counts[x] // n for x, n in need.items())
+            for m in {often, 1} if often > 1 else {1}:
+                yield pattern, m, capacity - sum(pattern)
+
+    # A node: its branches, the counts left, the waste so far, the patterns so far.
+    stack = [(branches(dict(histogram), 0), dict(histogram), 0, ())] if used > bound else []
     while stack and used > bound and steps > 0:
-        left, chain, n, skip = stack.pop()
-        while steps > 0:
-            steps -= 1
-            total = int(left @ lengths)
-            if not total:
-                if n < used:
-                    used, incumbent = n, []
-                    while chain:
-                        chain, pattern, m = chain
-                        incumbent.append((pattern, m))
-                break
-            if n + -(-total // capacity) >= used:
-                break
-            top = int(np.nonzero(left)[0][-1])
-            left[top] -= 1
-            pattern = (top, *_fill(capacity - top, left, skip))
-            left[top] += 1
-            if skip + 1 < width and sum(pattern) < capacity:
-                stack.append((left.copy(), chain, n, skip + 1))
-            skip = 0
-            kinds, need = np.unique(pattern, return_counts=True)
-            m = int((left[kinds] // need).min())
-            left[kinds] -= need * m
-            chain, n = (chain, pattern, m), n + m
+        steps -= 1
+        own, counts, wasted, chain = stack[-1]
+        step = next(own, None)
+        if step is None:
+            stack.pop()
+            continue
+        pattern, m, waste = step
+        if wasted + m * waste > (used - 1) * capacity - total:
+            continue
+        left = dict(counts)
+        for x in pattern:
+            left[x] -= m
+        now = (chain, pattern, m)
+        if any(left.values()):
+            stack.append((branches(left, wasted + m * waste), left, wasted + m * waste, now))
+            continue
+        incumbent = []
+        while now:
+            now, pattern, m = now
+            incumbent.append((pattern, m))
+        used = sum(n for _, n in incumbent)
     return incumbent
 
 
@@ -149,29 +166,28 @@ def cut_pieces(
     docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, capacity: int, with_ids: bool
 ) -> DataFrame:
     """Pieces with their rank among those of the same length in the same partition."""
-    end = np.array([end_id], "<u4").tobytes()
-    size = 4 * capacity
-
-    def run(batches: Iterator[list[list]]) -> Iterator[list[list]]:
-        encode, ranks = PieceIds(tokenizer).encode, defaultdict(int)
-        for parts, ids, texts in batches:
-            rows = []
-            for part, doc, text in zip(parts, ids, texts, strict=True):
-                raw = encode(text) + end
-                for piece, a in enumerate(range(0, len(raw), size)):
-                    own = raw[a : a + size]
-                    n = len(own) // 4
-                    rows.append((part, ranks[n], doc, piece, a // 4, n, zlib.crc32(own), own if with_ids else None))
-                    ranks[n] += 1
-                if len(rows) >= 20_000:
-                    yield [*map(list, zip(*rows, strict=True))]
-                    rows = []
-            if rows:
-                yield [*map(list, zip(*rows, strict=True))]
-
-    source = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long"), F.col(text_col))
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["part", "rank", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, ranks = piece_ids(tokenizer), defaultdict(int)
+        for batch in batches:
+            part, docs_here, texts = (batch.column(i) for i in range(3))
+            for a, b in array_chunks(texts):
+                ids, sizes = pieces.encode_all(texts.slice(a, b - a), end_id)
+                raw, at, rows = memoryview(ids).cast("B"), 0, []
+                for k, doc, n in zip(part[a:b].to_pylist(), docs_here[a:b].to_pylist(), sizes.tolist(), strict=True):
+                    for piece, start in enumerate(range(0, n, capacity)):
+                        size = min(capacity, n - start)
+                        own = raw[4 * (at + start) : 4 * (at + start + size)]
+                        rows.append((k, ranks[size], doc, piece, start, size, zlib.crc32(own), bytes(own) if with_ids else None))
+                        ranks[size] += 1
+                    at += n
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    source = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     schema = "part int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    return map_rows(source, run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def pack_documents(

@@ -8,7 +8,8 @@ covers the given percentile of its values, and wider values are kept whole in th
 decoded alone through the index of starts.
 
 Segments are rows of a Parquet table written by Spark, ordered by (part, segment), so that the writer's commit
-protocol covers lost executors. Documents are range partitioned by id; a repeated id keeps both rows (in any order).
+protocol covers lost executors. Texts are tokenised where they are read, and only their ids (two bytes each where the
+vocabulary allows) are stored and then range partitioned by document id; a repeated id keeps both rows (in any order).
 Null text counts as empty, a null id sorts first, an empty table gives no segment. Only the id and text columns are read.
 """
 
@@ -18,11 +19,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
-from .tokens import PieceIds, default_tokenizer
+from .common import array_chunks, map_rows, stored
+from .tokens import default_tokenizer, piece_ids
 
 BLOCK = 128
 MAGIC = b"PFR1"
@@ -54,9 +56,8 @@ def encode_segment(doc_ids: list[int], ids: list[bytes], percentile: float = 0.9
     for w in np.unique(width[width > 0]):
         own = np.nonzero(width == w)[0]
         for few in np.array_split(own, -(-len(own) // 4096)):
-            bits = np.empty((len(few), BLOCK, w), np.uint8)
-            for b in range(w):
-                bits[:, :, b] = (rest[few] >> np.uint32(b)) & np.uint32(1)
+            wide = np.ascontiguousarray(rest[few], "<u4").view(np.uint8).reshape(len(few), BLOCK, 4)[:, :, : -(-int(w) // 8)]
+            bits = np.unpackbits(wide, axis=2, bitorder="little")[:, :, :w]
             got = np.packbits(bits.reshape(len(few), -1), axis=1, bitorder="little")
             packed[start[few][:, None] + np.arange(got.shape[1])] = got
     head = np.array([BLOCK, len(doc_ids), n, blocks, len(spare)], "<u4").tobytes()
@@ -92,14 +93,31 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for few in np.array_split(own, -(-len(own) // 4096)):
             got = packed[start[few].astype(np.int64)[:, None] + np.arange(block // 8 * int(w))]
             bits = np.unpackbits(got, axis=1, bitorder="little").reshape(len(few), block, w)
-            value = np.zeros((len(few), block), np.uint32)
-            for b in range(w):
-                value |= bits[:, :, b].astype(np.uint32) << np.uint32(b)
-            rest[few] = value
+            value = np.zeros((len(few), block, 4), np.uint8)
+            value[:, :, : -(-int(w) // 8)] = np.packbits(bits, axis=2, bitorder="little")
+            rest[few] = value.view("<u4")[:, :, 0]
     rest[np.repeat(np.arange(blocks), counts), place] = spare
     return doc_ids, lengths, (rest + low[:, None]).reshape(-1)[:n]
 
 
+def token_ids(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
+    """(doc_id, wide, ids): each document's ids with the end id, as 32-bit integers if wide and as 16-bit ones if not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_ids(tokenizer)
+        for batch in batches:
+            for a, b in array_chunks(batch.column("text")):
+                ids, sizes = pieces.encode_all(batch.column("text").slice(a, b - a), end_id)
+                wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+                data = ids if wide else ids.astype("<u2")
+                bounds = np.concatenate(([0], np.cumsum(sizes))) * data.itemsize
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array([wide] * (b - a)), packed.cast(pa.binary())], names=["doc_id", "wide", "ids"])
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return source.mapInArrow(run, "doc_id long, wide boolean, ids binary")
+
+
 def write_tokens(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -112,11 +130,9 @@ def write_tokens(
     """The stored table of segments (part, segment, n_docs, n_ids, payload), in ascending order of the ids.
 
     A segment is closed at segment_ids ids, which bounds a task's memory; a longer document has its own."""
-    path = tokenizer or default_tokenizer()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[list[list]]) -> Iterator[list[list]]:
-        encode, number, part = PieceIds(path).encode, 0, None
+        number, part = 0, None
         own: list[int] = []
         ids: list[bytes] = []
         held = 0
@@ -127,9 +143,9 @@ def write_tokens(
             number, own, ids, held = number + 1, [], [], 0
             return row
 
-        for parts, doc_ids, texts in batches:
-            for part, doc, text in zip(parts, doc_ids, texts, strict=True):
-                got = encode(text) + end
+        for parts, doc_ids, wide, packed in batches:
+            for part, doc, w, x in zip(parts, doc_ids, wide, packed, strict=True):
+                got = x if w else np.frombuffer(x, "<u2").astype("<u4").tobytes()
                 if held and held + len(got) // 4 > segment_ids:
                     yield close()
                 own.append(NULL_ID if doc is None else doc)
@@ -138,11 +154,11 @@ def write_tokens(
         if own:
             yield close()
 
+    tokenised = stored(token_ids(docs, id_col, text_col, tokenizer or default_tokenizer(), end_id), "token-ids")
     ordered = (
-        docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text")
-        .repartitionByRange(F.col("doc_id"))
+        tokenised.repartitionByRange(F.col("doc_id"))
         .sortWithinPartitions("doc_id")
-        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
+        .select(F.spark_partition_id().alias("part"), "doc_id", "wide", "ids")
     )
     segments = map_rows(ordered, run, "part int, segment int, n_docs long, n_ids long, payload binary")
     return stored(segments, "segments")
