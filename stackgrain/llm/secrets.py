@@ -1,10 +1,14 @@
 """Secret scans: fixed patterns, and novelty under dictionary-primed zstandard.
 
-A string in a sensitive context is reported when it stays incompressible although the compressor was primed with
-a dictionary of common identifiers and with the text around the string: its *marginal* compressed bytes (with the
-string less without it) are close to its length. Words, identifiers and repeated values cost few marginal bytes.
-
-Null or empty text: no span. Texts are scanned whole. Rows are independent, so repeated rows give equal results and
+A string in a sensitive context is reported (kind ``novel``) when it stays incompressible although the compressor was
+primed with a dictionary of common identifiers and with the text around the string: its *marginal* compressed bytes
+(with the string less without it) are close to its length. Words, identifiers and repeated values cost few marginal
+bytes. A context is a word like password, token or key shortly before on the same line, a bearer or basic header, or the
+place of a password in a URL. Strings of one class of characters (letters of one case, digits alone) need a higher
+novelty and more length, because a word that the dictionary lacks is as new to the compressor as a secret. Strings that
+a pattern has found already are measured too, so a base span may hold a novel one.
+
+Null or empty text: no span. Texts are scanned whole, however long; of candidates that overlap, the first counts. Rows are independent, so repeated rows give equal results and
 an empty table gives an empty result. Only the id and the text column are read; others may have any name.
 """
 
@@ -29,12 +33,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a greedy run of 24 or more is the run that
 
 #: What makes the text before a string a sensitive context.
 CONTEXT = re.compile(
-    r"(?i:pass(?:word|wd|phrase)?|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|bearer|authorization)"
-    r"[^A-Za-z0-9]{1,8}(?:(?:is|was|in|of|for|the|value|key)[^A-Za-z0-9]{1,4}){0,3}$",
+    r"(?:(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[_ -]?key|credentials?|bearer|authorization|basic)"
+    r"[\"']?[^A-Za-z0-9\n]{1,8}(?:(?:(?:is|was|as|in|of|for|the|to|value|key|set|new|basic|bearer)[^A-Za-z0-9\n]{1,4}){0,4}"
+    r"|(?:[A-Za-z]{1,12}[^A-Za-z0-9\n]{1,3}){0,3}[A-Za-z]{1,12}\x20?[:=>\"'`(\[]\x20?)"
+    r"|://[^\s/:@]{1,64}:)$",
     re.ASCII,
 )
-HINTS = ("pass", "secret", "token", "key", "credential", "bearer", "authorization")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "authorization", "basic", "://")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~!%^*$#-]{8,}")
+_CLASSES = [re.compile(x) for x in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")]
 IDENTIFIERS = (
     b"password passwd secret token api_key apikey access_key private_key credential authorization bearer "
     b"username user_name hostname localhost database connection_string default_value example placeholder "
@@ -53,7 +60,13 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return (len(compress(lead + own)) - len(compress(lead))) / len(own)
 
 
-def find_spans(text: str | None, radius: int = 512, least: float = 0.8) -> list[tuple[int, int, int]]:
+def classes(own: str) -> int:
+    """How many classes of characters a string mixes; a leading capital and inner hyphens or dots count for nothing."""
+    own = re.sub(r"(?<=[A-Za-z])[-_.](?=[A-Za-z])", "", own[:1].lower() + own[1:])
+    return sum(c.search(own) is not None for c in _CLASSES)
+
+
+def find_spans(text: str | None, radius: int = 512, least: float = 0.7) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans, in order; kind indexes KINDS."""
     if not text:
         return []
@@ -64,16 +77,15 @@ def find_spans(text: str | None, radius: int = 512, least: float = 0.8) -> list[
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = sorted(spans)
     if any(x in low for x in HINTS):
         for m in CANDIDATE.finditer(text):
-            s, e = m.span()
-            own = m[0]
-            if not re.search("[0-9]", own) or not re.search("[A-Za-z]", own):
+            s, own = m.start(), m[0].rstrip(".!")
+            if len(own) < 8 or not CONTEXT.search(text, max(0, s - 96), s):
                 continue
-            if any(a < e and s < b for a, _, b in base) or not CONTEXT.search(text, max(0, s - 64), s):
+            e, single = s + len(own), classes(own) < 2
+            if single and len(own) < 16:
                 continue
-            if novelty(own, text[max(0, s - radius) : s], text[e : e + radius]) >= least:
+            if novelty(own, text[max(0, s - radius) : s], text[e : e + radius]) >= (least + 1) / 2 * single + least * (not single):
                 spans.append((s, 3, e))
     return sorted(spans)
 
@@ -83,7 +95,7 @@ def joined(spans: list[tuple[int, int, int]], kinds: tuple[str, ...]) -> str:
 
 
 def scan_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 512, least_novelty: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 512, least_novelty: float = 0.7
 ) -> DataFrame:
     """One row a document: counts by kind, the digest of the pattern spans and all spans as text."""
 
