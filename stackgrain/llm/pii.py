@@ -1,13 +1,18 @@
 """Personal data: fixed patterns, and a character BiLSTM with CRF transitions trained in numpy.
 
 The patterns give the base spans. The network is trained on the base spans of a bounded sample of documents
-(about ``train_docs``; of their windows at most ``windows``), and tags characters as outside, beginning or inside one of the four kinds. It reads overlapping
-windows around digits and at-signs: every kind of span holds one, so other places cannot begin or end a span. Each
-window is decoded with the CRF's best path; where windows overlap, each character takes the tag of the window in whose
-middle it lies best, and spans are formed over the whole text from these tags. Spans the patterns did not give are
-added when they are plausible in length and the network is sure of every character (``least_confidence``).
-
-Positions are code points of the text, ends exclusive. Null or empty text: no span. Repeated rows give equal results;
+(about ``train_docs``; of their windows at most ``windows``), each text as it is and once more with its spans rewritten
+into forms that the patterns miss: written-out at-signs and dots, spaced or bracketed dots, other separators, numbers
+that run into one another, phones without their plus. It tags characters as outside, beginning or inside one of the four
+kinds. It reads overlapping windows around digits, at-signs and bracketed words at and dot: every kind of span holds one,
+so other places cannot begin or end a span. Each window is decoded with the CRF's best path; where windows overlap, each
+character takes the tag of the window in whose middle it lies best, and spans are formed over the whole text from these
+tags. Spans that no base span touches are added when their form is plausible (card numbers must pass Luhn, parts of an
+address be at most 255) and the network is sure of every character; how sure it has to be is calibrated on windows held
+out from training.
+
+Positions are code points of the text, ends exclusive. Null or empty text: no span. Very long texts are read whole,
+window by window. Of spans that touch, base ones stay and of the network's the first. Repeated rows give equal results;
 an empty table gives an empty result, and without any training span only base spans are given. Only the id and text
 columns are read.
 """
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +40,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_TRIGGER = re.compile("[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -83,7 +89,7 @@ def base_spans(text: str | None) -> list[Span]:
 
 # --- characters and windows ---
 
-SYMBOLS = "@.-_+()%:/ \n,;=\"'"
+SYMBOLS = "@.-_+()%:/ \n,;=\"'[]"
 N_CODES = len(SYMBOLS) + 4
 _CODES = np.full(128, N_CODES - 1, np.int64)
 for _i, _c in enumerate(SYMBOLS):
@@ -121,6 +127,52 @@ def gold_tags(n: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
+def _card(r: np.random.Generator) -> str:
+    digits = "".join(map(str, r.integers(0, 10, 15)))
+    return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+
+def rewritten(own: str, kind: int, r: np.random.Generator) -> str:
+    """A span's text in a form that the patterns miss."""
+    pick = lambda *x: x[int(r.integers(len(x)))]
+    if kind == 0:
+        name, _, host = own.partition("@")
+        at, dot = pick((" (at) ", "."), ("[at]", "."), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" @ ", "."), ("@", "[dot]"), (" (at) ", " (dot) "))
+        return name + at + host.replace(".", dot)
+    if kind == 1:
+        return own.replace(".", pick("[.]", "(.)", " . ", ",", "[dot]"))
+    digits = re.sub("[^0-9]", "", own)
+    if kind == 2:
+        return pick(".", "/", "_", "  ", " - ").join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    tail = f"{digits[-7:-4]}{pick('-', ' ', '.')}{digits[-4:]}"
+    area, land = digits[-10:-7], digits[:-10]
+    return pick(f"({area}) {tail}", f"{area}-{tail}", f"00{land} {area} {tail}", f"+{land}/{area}/{digits[-7:]}", f"{land} ({area}) {tail}", f"tel:{land}{area}{digits[-7:]}")
+
+
+def broken(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its spans rewritten, and where they are now. Some numbers get another one after a space, so that
+    the patterns read both as one and drop it. The draw hangs on the text alone."""
+    r = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+    out, where, size, at = [], [], 0, 0
+    for s, kind, e in spans:
+        if s < at:
+            continue
+        out.append(text[at:s])
+        size += s - at
+        parts = [(kind, text[s:e])]
+        if kind >= 2 and r.random() < 0.5:
+            parts.append((2, _card(r)) if kind == 2 else (1, ".".join(map(str, r.integers(10, 256, 4)))))
+        elif r.random() < 0.8:
+            parts = [(kind, rewritten(text[s:e], kind, r))]
+        for i, (k, own) in enumerate(parts):
+            lead = " " * (i > 0)
+            where.append((size + len(lead), k, size + len(lead) + len(own)))
+            out.append(lead + own)
+            size += len(lead) + len(own)
+        at = e
+    return "".join((*out, text[at:])), where
+
+
 def windows_of(codes: np.ndarray, starts: list[int], fill: int = N_CODES - 1) -> np.ndarray:
     out = np.full((len(starts), WIDTH), fill, codes.dtype)
     for i, s in enumerate(starts):
@@ -147,7 +199,7 @@ class Tagger:
     def __init__(self, size: int = 16, embed: int = 8, seed: int = 7):
         r = np.random.default_rng(seed)
         draw = lambda *shape: (r.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
-        self.size = size
+        self.size, self.limit = size, 0.8
         self.p = {"e": draw(N_CODES, embed), "out": draw(2 * size, N_TAGS), "out_b": np.zeros(N_TAGS, np.float32),
                   "move": np.zeros((N_TAGS, N_TAGS), np.float32)}
         for d in "fb":
@@ -311,19 +363,26 @@ def reconcile(n: int, starts: list[int], paths: np.ndarray, sure: np.ndarray) ->
 def _plausible(text: str, span: Span) -> bool:
     s, kind, e = span
     own = text[s:e]
-    digits = len(_DIGIT.findall(own))
+    groups = re.findall("[0-9]+", own)
+    digits = sum(map(len, groups))
     if kind == 0:
-        return "@" in own[1:-1] and "." in own.partition("@")[2]
+        plain = re.sub(r"\s*[\[(]dot[\])]\s*", ".", re.sub(r"\s*[\[(]at[\])]\s*|\s*@\s*", "@", own))
+        return plain.count("@") == 1 and bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", plain))
     if kind == 1:
-        return own.count(".") == 3 and digits >= 4
-    return digits >= (12 if kind == 2 else 9) and not re.search("[A-Za-z]", own)
+        return len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups) and not re.search("[A-Za-z]", own.replace("[dot]", ""))
+    if re.search("[A-Za-z@]", own):
+        return False
+    if kind == 2:
+        return 12 <= digits <= 19 and luhn("".join(groups))
+    return 9 <= digits <= 15 and len(own) <= 2 * digits
 
 
-def model_spans(model: Tagger | None, texts: list[str | None], least_confidence: float) -> list[list[Span]]:
-    """Spans the network is sure of, for each text."""
+def model_spans(model: Tagger | None, texts: list[str | None], least_confidence: float | None) -> list[list[Span]]:
+    """Spans the network is sure of, for each text; None takes the calibrated limit."""
     out: list[list[Span]] = [[] for _ in texts]
     if model is None:
         return out
+    limit = model.limit if least_confidence is None else least_confidence
     rows, starts_of, where = [], [], []
     for i, text in enumerate(texts):
         starts = window_starts(text) if text else []
@@ -341,13 +400,14 @@ def model_spans(model: Tagger | None, texts: list[str | None], least_confidence:
         own = slice(at, at + len(starts))
         at += len(starts)
         for span, confidence in reconcile(len(texts[i]), starts, paths[own], sure[own]):
-            if confidence >= least_confidence and _plausible(texts[i], span):
+            if confidence >= limit and _plausible(texts[i], span):
                 out[i].append(span)
     return out
 
 
 def training_windows(docs: DataFrame, id_col: str, text_col: str, train_docs: int) -> DataFrame:
-    """(codes, tags) of the windows of about train_docs documents that hold a digit or an at-sign, chosen by hash."""
+    """(codes, tags) of the windows of about train_docs documents that hold a digit or an at-sign, chosen by hash; of
+    those with spans once more with the spans rewritten."""
     text = F.col(text_col)
     some = docs.where(text.rlike("[0-9@]")).select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(1 << 40)).alias("h"), text.alias("text"))
     n = some.count()
@@ -356,15 +416,17 @@ def training_windows(docs: DataFrame, id_col: str, text_col: str, train_docs: in
     def run(batches: Iterator[list[list]]) -> Iterator[list[list]]:
         for (texts,) in batches:
             for t in texts:
-                starts = window_starts(t)
-                codes = windows_of(char_codes(t), starts).astype(np.uint8)
-                tags = windows_of(gold_tags(len(t), base_spans(t)), starts, fill=0).astype(np.uint8)
-                yield [[c.tobytes() for c in codes], [x.tobytes() for x in tags]]
+                spans = base_spans(t)
+                for own, where in ((t, spans), broken(t, spans)) if spans else ((t, spans),):
+                    starts = window_starts(own)
+                    codes = windows_of(char_codes(own), starts).astype(np.uint8)
+                    tags = windows_of(gold_tags(len(own), where), starts, fill=0).astype(np.uint8)
+                    yield [[c.tobytes() for c in codes], [x.tobytes() for x in tags]]
 
     return map_rows(chosen, run, "codes binary, tags binary")
 
 
-def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, epochs: int = 12, windows: int = 3000) -> Tagger | None:
+def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, epochs: int = 14, windows: int = 4000) -> Tagger | None:
     """The network, trained on the base spans of about train_docs documents and at most so many windows."""
     rows = training_windows(docs, id_col, text_col, train_docs).orderBy(F.xxhash64("codes"), "codes", "tags").limit(8 * windows).collect()
     if not rows:
@@ -378,11 +440,29 @@ def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with_span = np.nonzero(marked)[0][: windows // 2]
     without = np.nonzero(~marked)[0][: max(len(with_span), 64)]
     own = np.concatenate((with_span, without))
+    held = np.arange(len(own)) % 5 == 0
     model = Tagger()
-    model.train(codes[own], tags[own], epochs)
+    model.train(codes[own[~held]], tags[own[~held]], epochs)
+    model.limit = calibrated(model, codes[own[held]], tags[own[held]])
     return model
 
 
+def calibrated(model: Tagger, codes: np.ndarray, tags: np.ndarray, precision: float = 0.97, floor: float = 0.5) -> float:
+    """The least confidence at which so many of the spans that the network finds in held-out windows are right. Spans
+    at a window's edge, which go on outside, do not count."""
+    seen = []
+    for path, sure, gold in zip(*model.decode(codes), tags, strict=True):
+        found, want = reconcile(WIDTH, [0], path[None], sure[None]), {x for x, _ in reconcile(WIDTH, [0], gold[None].astype(np.int64), sure[None])}
+        seen += [(confidence, span in want) for span, confidence in found if span[0] > 0 and span[2] < WIDTH]
+    seen.sort(reverse=True)
+    limit, right = 0.95, 0
+    for i, (confidence, good) in enumerate(seen, 1):
+        right += good
+        if right >= precision * i:
+            limit = confidence
+    return max(floor, min(0.95, limit))
+
+
 def merged(base: list[Span], more: list[Span]) -> list[Span]:
     """Model spans that touch no base span, as kinds after the base kinds."""
     return [(s, len(KINDS) + k, e) for s, k, e in more if not any(a < e and s < b for a, _, b in base)]
@@ -396,7 +476,7 @@ def joined(spans: list[Span]) -> str:
 
 
 def find_personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, least_confidence: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 400, least_confidence: float | None = None
 ) -> DataFrame:
     """One row a document: counts of base spans, their digest, all spans as text, and how many the model added."""
     given = docs.sparkSession.sparkContext.broadcast(fit_tagger(docs, id_col, text_col, train_docs))
@@ -427,7 +507,7 @@ def redact(text: str, spans: list[Span]) -> str:
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars", id_col: str = "doc_id",
-                     train_docs: int = 400, least_confidence: float = 0.8) -> DataFrame:
+                     train_docs: int = 400, least_confidence: float | None = None) -> DataFrame:
     """The documents with personal data replaced; size_col, where there is one, counts the new text's characters."""
     given = docs.sparkSession.sparkContext.broadcast(fit_tagger(docs, id_col, text_col, train_docs))
     at, size = docs.columns.index(text_col), docs.columns.index(size_col) if size_col in docs.columns else None
