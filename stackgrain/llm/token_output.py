@@ -9,7 +9,7 @@ decoded alone through the index of starts.
 
 Segments are rows of a Parquet table written by Spark, ordered by (part, segment), so that the writer's commit
 protocol covers lost executors. Texts are tokenised where they are read, and only their ids (two bytes each where the
-vocabulary allows) are stored and then range partitioned by document id; a repeated id keeps both rows (in any order).
+vocabulary allows) are shuffled, by ranges of the document id that are found from the ids alone; a repeated id keeps both rows (in any order).
 Null text counts as empty, a null id sorts first, an empty table gives no segment. Only the id and text columns are read.
 """
 
@@ -154,11 +154,20 @@ def write_tokens(
         if own:
             yield close()
 
-    tokenised = stored(token_ids(docs, id_col, text_col, tokenizer or default_tokenizer(), end_id), "token-ids")
+    # As many ranges as shuffle partitions; their bounds are a few numbers.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = docs.select(F.col(id_col).cast("long").alias("doc_id")).agg(
+        F.percentile_approx("doc_id", F.array(*(F.lit(i / n) for i in range(1, n))), F.lit(20 * n)).alias("b")
+    ) if n > 1 else None
+    bounds = sorted({*((bounds.first()["b"] if bounds is not None else None) or [])})
+    given = F.array(*map(F.lit, bounds)).cast("array<bigint>")
+    tokenised = token_ids(docs, id_col, text_col, tokenizer or default_tokenizer(), end_id)
+    below = F.size(F.filter(given, lambda b: b < F.col("doc_id")))
     ordered = (
-        tokenised.repartitionByRange(F.col("doc_id"))
+        tokenised.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(below))
+        .repartitionById(len(bounds) + 1, F.col("part"))
         .sortWithinPartitions("doc_id")
-        .select(F.spark_partition_id().alias("part"), "doc_id", "wide", "ids")
+        .select("part", "doc_id", "wide", "ids")
     )
     segments = map_rows(ordered, run, "part int, segment int, n_docs long, n_ids long, payload binary")
     return stored(segments, "segments")

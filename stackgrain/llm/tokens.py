@@ -141,7 +141,9 @@ class RunIds(dict):
         found = self.before.get(run)
         if found is None:
             p = self.pieces
-            if p.hard(run):
+            if run.isalpha() and run.isascii():
+                found = array("I", [t.id for t in p.model.tokenize(run.lower())]).tobytes()
+            elif p.hard(run):
                 found = p.library(run)
             else:
                 pieces = p.pieces(run.lower())

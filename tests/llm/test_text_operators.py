@@ -177,7 +177,7 @@ def test_secrets(spark):
         spans += [(m.start(), k, m.end()) for m in re.finditer(p, text) if fine(m)]
     base = ",".join(f"{k}:{s}:{e}" for s, k, e in sorted(spans))
     assert got[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
-    assert (got[1].n_assign, got[1].n_access, got[1].n_hex, got[1].n_novel) == (1, 1, 1, 1)
+    assert (got[1].n_assign, got[1].n_access, got[1].n_hex, got[1].n_novel) == (1, 1, 1, 2)
     assert set(base.split(",")) < set(got[1].spans.split(","))
     assert got[2].spans == got[3].spans == ""
 
@@ -187,6 +187,24 @@ def test_novelty_tells_random_strings_from_known_ones():
     assert secrets.novelty("q8Zx71LmPw02RtYv4Kd9", around, "") > 0.8 > secrets.novelty("get_default_value", around, "")
 
 
+def test_planted_secrets_are_found_and_decoys_are_not():
+    r = np.random.default_rng(9)
+    letters = [*"abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ"]
+    draw = lambda chars, n: "".join(r.choice([*chars], n))
+    forms = ["the api key is {}", "Authorization: Bearer {}", "Authorization: Basic {}", "postgres://admin:{}@db.example.org/x", "passphrase for the vault: {}", "my pwd -> {}", "private key {}"]
+    decoys = ["the password is explained in the documentation", "token authentication middleware follows", "secret ingredient: strawberries", "api key management console overview",
+              "passphrase: see configuration.documentation", "bearer of authorization documents", "credentials: username and password", "the access key is in settings.configuration"]
+    found = wrong = n = 0
+    for i in range(40):
+        for form in forms:
+            own = draw([letters + [*"0123456789"], letters, "abcdef0123456789", letters + [*"0123456789+/"]][i % 4], int(r.integers(16, 33)))
+            text = f"{prose(i, 20)} {form.format(own)} {prose(i + 50, 20)}"
+            n += 1
+            found += any(own.startswith(text[s:e]) and e - s >= len(own) - 1 for s, k, e in secrets.find_spans(text) if k == 3)
+        wrong += sum(k == 3 for _, k, _ in secrets.find_spans(f"{prose(i, 20)} {decoys[i % len(decoys)]} {prose(i + 50, 20)}"))
+    assert found >= 0.95 * n and wrong <= 0.02 * n, (found, wrong, n)
+
+
 def test_secrets_edges(hard, nothing):
     assert secrets.scan_secrets(hard).count() == len(HARD)
     assert secrets.scan_secrets(nothing).count() == 0
@@ -272,6 +290,23 @@ def test_tagger_gradients_and_held_out_accuracy():
     assert hit >= 0.6 * sum(map(len, want))
 
 
+def test_rewritten_forms_are_found(spark):
+    df = spark.createDataFrame(pii_docs(400), "doc_id long, text string")
+    model = pii.fit_tagger(df, train_docs=400)
+    held = [(t, [x for x in pii.base_spans(t)]) for t in (t for i, t in pii_docs(600) if i >= 400)]
+    planted = [pii.broken(t, x) for t, x in held if x]
+    found = pii.model_spans(model, [t for t, _ in planted], None)
+    hit = new = right = 0
+    for (text, want), got in zip(planted, found, strict=True):
+        base = pii.base_spans(text)
+        missed = [x for x in want if not any(a < x[2] and x[0] < b for a, _, b in base)]
+        added = [x for x in got if not any(a < x[2] and x[0] < b for a, _, b in base)]
+        new, hit, right = new + len(missed), hit + len({*missed} & {*added}), right + len(added)
+    clean = pii.model_spans(model, [f"{prose(i, 30)} in {1900 + i} at 12:30 {prose(i, 9)}" for i in range(100)], None)
+    assert new > 60 and hit >= 0.7 * new and hit >= 0.9 * right, (hit, new, right)
+    assert sum(map(len, clean)) <= 2
+
+
 def test_pii_edges(hard, nothing):
     assert pii.find_personal_data(hard, train_docs=5, least_confidence=0.9).count() == len(HARD)
     assert pii.find_personal_data(nothing).count() == 0
@@ -553,6 +588,17 @@ def test_components_of_a_long_chain(spark):
     assert all(got.get(i, 0) == 0 for i in range(201)) and got[1001] == 1000
 
 
+def test_index_returns_all_within_the_radius():
+    items = [(i, prose(800 + i, 20 + i % 3).encode()) for i in range(60)]
+    own = decontaminate.Items(*map(list, zip(*items)), radius=40)
+    r = np.random.default_rng(2)
+    windows = own.prints[r.integers(0, 60, 50)] ^ np.packbits(r.random((50, decontaminate.BITS)) < 0.2, axis=1)
+    for size in (20, 21, 22):
+        got = {(int(a), int(b)): int(d) for part in own.near(windows, size) for a, b, d in zip(*part)}
+        distance = np.bitwise_count(windows[:, None] ^ own.prints[None]).sum(axis=2)
+        assert got == {(a, b): distance[a, b] for a in range(50) for b in range(60) if own.sizes[b] == size and distance[a, b] <= 40}
+
+
 def plain_leaks(docs, items, least=0.75):
     out = []
     for d, t in docs:
