@@ -71,14 +71,14 @@ def _dominated(filling: tuple[int, ...], left: int, lengths: list[int], counts:
     return False
 
 
-def fillings(room: int, counts: dict[int, int], waste: int, most: int, tries: int = 2000) -> list[tuple[int, ...]]:
-    """Undominated fillings of room that leave at most waste free, those of least waste first. At most so many are
-    enumerated, in at most so many tries."""
+def fillings(room: int, counts: dict[int, int], waste: int, most: int, tries: int = 2000) -> tuple[list[tuple[int, ...]], int]:
+    """Undominated fillings of room that leave at most waste free, those of least waste first, and the tries left. At
+    most so many are enumerated, in at most so many tries."""
     lengths = sorted(x for x in counts if counts[x] and x <= room)
     if not lengths:
-        return [()] if room <= waste else []
+        return [()] if room <= waste else [], tries
     if lengths[-1] == room:
-        return [(room,)]  # one piece that fills the room dominates all else
+        return [(room,)], tries  # one piece that fills the room dominates all else
     found: list[tuple[int, ...]] = []
     stack: list[tuple[tuple[int, ...], int, int]] = [((), room, len(lengths) - 1)]
     while stack and len(found) < most and tries > 0:
@@ -95,54 +95,59 @@ def fillings(room: int, counts: dict[int, int], waste: int, most: int, tries: in
         if last > 0:
             stack.append((chosen, left, last - 1))  # without this length
         stack.append(((*chosen, lengths[last]), left - lengths[last], last))
-    return sorted(found, key=lambda f: (-sum(f), [-x for x in f]))
+    return sorted(found, key=lambda f: (-sum(f), [-x for x in f])), tries
 
 
-def solve(histogram: dict[int, int], capacity: int, steps: int = 20_000, width: int = 40) -> Packing:
+def solve(histogram: dict[int, int], capacity: int, steps: int = 400_000, width: int = 20) -> Packing:
     """Patterns of lengths and how often each is used, covering the histogram exactly.
 
-    steps bounds the nodes of the search and width the fillings of a node (not the pieces: they are always all packed)."""
+    steps bounds the work of the search, in tries of a length and nodes (of 50 each); width bounds the fillings of a
+    node (not the pieces: they are always all packed). The counts are changed and changed back along the way, so a node
+    holds only its branches."""
     incumbent = _best_fit(histogram, capacity)
     used = sum(n for _, n in incumbent)
     total = sum(x * n for x, n in histogram.items())
     bound = -(-total // capacity)
+    counts = dict(histogram)
 
-    def branches(counts: dict[int, int], wasted: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
-        """(pattern, how often, waste of one) around the largest piece left."""
+    def branches(wasted: int) -> list[tuple[tuple[int, ...], int, int]]:
+        """(pattern, how often, waste of one) around the largest piece left, the best last."""
+        nonlocal steps
         top = max(x for x in counts if counts[x])
-        rest = counts | {top: counts[top] - 1}
-        allowed = (used - 1) * capacity - total - wasted
-        for f in fillings(capacity - top, rest, allowed, width):
+        counts[top] -= 1
+        tries = min(2000, steps)
+        found, left = fillings(capacity - top, counts, (used - 1) * capacity - total - wasted, width, tries)
+        counts[top] += 1
+        steps -= tries - left + 50
+        out = []
+        for f in found:
             pattern = (top, *f)
-            need = Counter(pattern)
-            often = min(counts[x] // n for x, n in need.items())
-            for m in {often, 1} if often > 1 else {1}:
-                yield pattern, m, capacity - sum(pattern)
+            often = min(counts[x] // n for x, n in Counter(pattern).items())
+            out += [(pattern, m, capacity - sum(pattern)) for m in ((often, 1) if often > 1 else (1,))]
+        return out[::-1]
 
-    # A node: its branches, the counts left, the waste so far, the patterns so far.
-    stack = [(branches(dict(histogram), 0), dict(histogram), 0, ())] if used > bound else []
+    # A node: its branches, the waste so far, and what was done to come here.
+    stack: list[tuple[list, int, tuple | None]] = [(branches(0), 0, None)] if used > bound else []
     while stack and used > bound and steps > 0:
-        steps -= 1
-        own, counts, wasted, chain = stack[-1]
-        step = next(own, None)
-        if step is None:
-            stack.pop()
+        own, wasted, _ = stack[-1]
+        if not own:
+            done = stack.pop()[2]
+            if done:
+                for x in done[0]:
+                    counts[x] += done[1]
             continue
-        pattern, m, waste = step
+        pattern, m, waste = own.pop()
         if wasted + m * waste > (used - 1) * capacity - total:
             continue
-        left = dict(counts)
         for x in pattern:
-            left[x] -= m
-        now = (chain, pattern, m)
-        if any(left.values()):
-            stack.append((branches(left, wasted + m * waste), left, wasted + m * waste, now))
+            counts[x] -= m
+        if any(counts.values()):
+            stack.append((branches(wasted + m * waste), wasted + m * waste, (pattern, m)))
             continue
-        incumbent = []
-        while now:
-            now, pattern, m = now
-            incumbent.append((pattern, m))
+        incumbent = [*(d for *_, d in stack if d), (pattern, m)]
         used = sum(n for _, n in incumbent)
+        for x in pattern:
+            counts[x] += m
     return incumbent
 
 

@@ -147,7 +147,7 @@ def test_fillings_are_the_undominated_ones():
     for _ in range(60):
         counts = {int(x): int(r.integers(1, 3)) for x in r.integers(2, 15, 5)}
         room = int(r.integers(8, 24))
-        got = packing.fillings(room, counts, room, 10_000, 100_000)
+        got, _ = packing.fillings(room, counts, room, 10_000, 100_000)
         pieces = [x for x, n in counts.items() for _ in range(n)]
         every = {tuple(sorted(c, reverse=True)) for k in range(len(pieces) + 1) for c in itertools.combinations(pieces, k) if sum(c) <= room}
         assert set(got) <= every and len(set(got)) == len(got)
