@@ -319,7 +319,7 @@ def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, b
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), _rows(docs, id_col, text_col).alias("row"), F.col(text_col).cast("binary").alias("text"))
     summary = stored(summarise(docs, k, blocks, overlap), "summary")
     met = stored(candidates(summary), "blocks")
-    wanted = summary.join(met.select("fp").distinct(), "fp").groupBy("fp").agg(F.min("row").alias("row")).select("row")
+    wanted = summary.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")).join(met.select("fp").distinct(), "fp", "left_semi").select("row")
     sets = class_sets(docs, wanted, k)
 
     links = tested = labels = None
@@ -395,8 +395,9 @@ def drop_near_copies(
     """The documents (any columns), one of each component: a row with the smallest id, or one without an id if none has
     one; of rows with the same id and text any. Rows without a word stay."""
     summary, _, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
-    rows = summary.where("fp is not null").join(labels, summary.fp == labels.node, "left").withColumn("comp", F.coalesce("comp", "fp"))
-    best = rows.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    first = summary.where("fp is not null").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
+    first = first.join(labels, first.fp == labels.node, "left").groupBy(F.coalesce("comp", "fp").alias("comp")).agg(F.min("best").alias("best"))
+    best = first.select(F.col("best.row").alias("row"))
     name = "row"
     while name in docs.columns:
         name += "_"
