@@ -135,6 +135,7 @@ def preprocess(gray: DataFrame, tile: int = 61, clip: float = 0.01, size: int =
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
         f = clahe_array(np.clip(a / 255.0, 0, 1), tile, clip)
-        return {"pre": np.rint(np.median(_windows(f, size, "symmetric"), axis=(2, 3)) * 255).astype(np.int64)}
+        middle = np.median(_windows(f, size, "symmetric"), axis=(2, 3)) * 255
+        return {"pre": np.rint(np.round(middle, 9)).astype(np.int64)}
 
     return per_slice(gray, ["v"], kernel, {"pre": "long"})

@@ -25,7 +25,7 @@ def slice_stats(gray: DataFrame, quantiles: list[float], value: str = "v") -> Da
 
 def normalise_dtype(gray: DataFrame, dtype: str, value: str = "v") -> DataFrame:
     """Values as fractions: 16-bit by 65535, 8-bit by 255, floats as they are; outside 0..1 the query fails."""
-    scale = {"uint16": 65535.0, "uint8": 255.0, "float": 1.0}
+    scale = {"uint16": 65535.0, "uint8": 255.0, "float": 1.0, "float32": 1.0, "float64": 1.0}
     if dtype not in scale:
         raise TypeError(f"unsupported dtype {dtype}")
     f = F.col(value).cast("double") / scale[dtype]
@@ -53,6 +53,16 @@ def to_uint8(gray: DataFrame, method: str = "percentile", p_low: float = 0.5, p_
     return joined.withColumn(value, stretch(F.col(value).cast("double"), lo, hi)).select(*gray.columns)
 
 
+def as_grey(gray: DataFrame, dtype: str, value: str = "v") -> DataFrame:
+    """Whole levels 0..255 of slices of any kind: 16-bit ones divided by 256, fractions scaled."""
+    if dtype == "uint8":
+        return gray
+    if dtype == "uint16":
+        return to_uint8(gray, "divide256", value=value)
+    f = F.least(F.greatest(F.col(value).cast("double"), F.lit(0.0)), F.lit(1.0))
+    return gray.withColumn(value, F.rint(f * 255).cast("long"))
+
+
 def mode_in_band(gray: DataFrame, low: int = 100, high: int = 254, value: str = "v") -> DataFrame:
     """(scan_id, z, mode): the most frequent level of low..high, the lowest of ties, 0 without any."""
     inside = F.when(F.col("v").between(low, high), F.struct("n", (-F.col("v")).alias("v")))

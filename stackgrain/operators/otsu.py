@@ -18,7 +18,7 @@ def prefix_sums(hist: DataFrame) -> DataFrame:
     whole = Window.partitionBy(*SLICE)
     mass, moment = F.col("n"), F.col("n") * F.col("v")
     return hist.select(
-        *SLICE, "v", F.sum(mass).over(w).alias("p"), F.sum(moment).over(w).alias("s"), F.max("v").over(whole).alias("top"),
+        *SLICE, "v", F.sum(mass).over(w).alias("p"), F.sum(moment).over(w).alias("s"), F.max("v").over(whole).alias("top"), F.count("*").over(whole).alias("levels"),
         F.sum(mass).over(whole).alias("pt"), F.sum(moment).over(whole).alias("st"),
     )
 
@@ -28,8 +28,8 @@ def _part(moment: Column, mass: Column) -> Column:
 
 
 def thresholds(gray: DataFrame, n_classes: int = 3) -> DataFrame:
-    """(scan_id, z, t): an array of n_classes - 1 levels a slice. A slice has at most 256 levels, so the pairs of
-    levels that three classes need are bounded."""
+    """(scan_id, z, t): an array of n_classes - 1 levels a slice. Three classes need pairs of levels, so a slice with
+    more than 1024 levels fails the query: make it 8-bit first (intensity.as_grey)."""
     if n_classes not in (2, 3):
         raise ValueError("two or three classes")
     c = prefix_sums(histogram(gray)).where("v < top")
@@ -38,7 +38,8 @@ def thresholds(gray: DataFrame, n_classes: int = 3) -> DataFrame:
         best = c.groupBy(*SLICE).agg(F.max(F.struct(F.round(f, 6).alias("f"), (-F.col("v")).alias("t"))).alias("b"))
         return best.select(*SLICE, F.array(-F.col("b.t")).alias("t"))
     a = c.select(*SLICE, F.col("v").alias("t1"), F.col("p").alias("p1"), F.col("s").alias("s1"))
-    b = c.select(*SLICE, F.col("v").alias("t2"), F.col("p").alias("p2"), F.col("s").alias("s2"), "pt", "st")
+    few = F.when(F.col("levels") <= 1024, True).otherwise(F.raise_error(F.lit("too many levels for three classes")).cast("boolean"))
+    b = c.where(few).select(*SLICE, F.col("v").alias("t2"), F.col("p").alias("p2"), F.col("s").alias("s2"), "pt", "st")
     pair = a.join(b, SLICE).where("t1 < t2")
     f = (
         _part(F.col("s1"), F.col("p1")) + _part(F.col("s2") - F.col("s1"), F.col("p2") - F.col("p1"))

@@ -77,11 +77,17 @@ def metadata(hist: DataFrame, spacing: tuple[float, float, float], min_reliable:
 
 
 def peaks(psd: DataFrame, height: float = 0) -> DataFrame:
-    """Bins with more voxels than both neighbours, of at least the given height."""
+    """Bins with more voxels than both neighbours, of at least the given height. Of neighbouring bins with equal counts
+    the middle one stands for all (the lower of two); the first and the last bin of a scan are no peaks."""
     w = Window.partitionBy("scan_id").orderBy("bin")
-    n, before, after = F.col("Volume_Count"), F.lag("Volume_Count").over(w), F.lead("Volume_Count").over(w)
-    marked = psd.withColumn("peak_", (n > before) & (n > after) & (n >= height))
-    return marked.where("peak_").drop("peak_")
+    n = F.col("Volume_Count")
+    runs = psd.withColumn("before_", F.lag(n).over(w)).withColumn("after_", F.lead(n).over(w))
+    runs = runs.withColumn("run_", F.sum(F.when(n == F.col("before_"), 0).otherwise(1)).over(w))
+    own = Window.partitionBy("scan_id", "run_")
+    up, down = F.max((n > F.col("before_")).cast("int")).over(own), F.max((n > F.col("after_")).cast("int")).over(own)
+    middle = F.floor((F.min("bin").over(own) + F.max("bin").over(own)) / 2)
+    marked = runs.withColumn("peak_", (up == 1) & (down == 1) & (F.col("bin") == middle) & (n >= height))
+    return marked.where("peak_").select(*psd.columns)
 
 
 def spread(psd: DataFrame) -> DataFrame:

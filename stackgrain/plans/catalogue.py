@@ -122,13 +122,15 @@ def digitize_fixed(spark, sf_dir):
     return derive.gray(spark, sf_dir).select("scan_id", "z", "y", "x", otsu.digitize(F.col("v"), t).alias("class"))
 
 
-@query(f"""WITH {LAB_SQL} SELECT scan_id, z, y, x, CAST(CASE WHEN label = 0 THEN round_even(v * (1 - 0.35::DOUBLE) + 0, 0) ELSE v END AS BIGINT) AS b,
- CAST(CASE WHEN label = 0 THEN round_even(v * (1 - 0.35::DOUBLE) + 255 * 0.35::DOUBLE, 0) ELSE v END AS BIGINT) AS r
- FROM lab JOIN gray USING (scan_id, z, y, x)""")
+_RED = "CAST(CASE WHEN v < 108 THEN round_even(v * (1 - 0.35::DOUBLE) + {add}, 0) ELSE v END AS BIGINT)"
+
+
+@query(f"""WITH {GRAY_SQL} SELECT scan_id, z, y, x, {_RED.format(add=0)} AS b, {_RED.format(add=0)} AS g,
+ {_RED.format(add='255 * 0.35::DOUBLE')} AS r FROM gray""")
 def overlay(spark, sf_dir):
     g = derive.gray(spark, sf_dir)
     o = g.select("scan_id", "z", "y", "x", otsu.overlay(F.col("v"), (F.col("v") < 108).cast("int")).alias("o"))
-    return o.select("scan_id", "z", "y", "x", "o.b", "o.r")
+    return o.select("scan_id", "z", "y", "x", "o.b", "o.g", "o.r")
 
 
 # --- labels ---
@@ -387,15 +389,25 @@ def psd_custom_edges(spark, sf_dir):
     return rounded(psd.compute_psd(derive.volumes(spark, sf_dir), (15.0, 15.0, 15.0), CUSTOM_UM))
 
 
-@query(f'SELECT * FROM ({PSD_SQL}) WHERE is_reliable')
+#: With few solid voxels: diameters of five and more.
+WIDE_PSD_SQL = derive.wide(PSD_SQL, 3)
+
+
+def _wide_psd(spark, sf_dir):
+    return rounded(psd.compute_psd(derive.volumes(spark, sf_dir, 3)))
+
+
+@query(f"SELECT * FROM ({WIDE_PSD_SQL}) WHERE is_reliable")
 def psd_reliable(spark, sf_dir):
-    return psd_auto(spark, sf_dir).where("is_reliable")
+    return _wide_psd(spark, sf_dir).where("is_reliable")
 
 
-@query(f'SELECT scan_id, bin, "Volume_Count" FROM ({PSD_SQL}) QUALIFY "Volume_Count" > lag("Volume_Count") OVER (PARTITION BY scan_id ORDER BY bin) '
-       'AND "Volume_Count" > lead("Volume_Count") OVER (PARTITION BY scan_id ORDER BY bin) AND "Volume_Count" >= 5')
+@query(f"""SELECT scan_id, bin, n AS "Volume_Count" FROM (SELECT scan_id, (min(bin) + max(bin)) // 2 AS bin, any_value(n) AS n, run FROM (
+ SELECT *, sum(CASE WHEN n = was THEN 0 ELSE 1 END) OVER (PARTITION BY scan_id ORDER BY bin) AS run FROM (
+ SELECT scan_id, bin, "Volume_Count" AS n, lag("Volume_Count") OVER (PARTITION BY scan_id ORDER BY bin) AS was FROM ({WIDE_PSD_SQL}))) GROUP BY scan_id, run)
+ QUALIFY n > lag(n) OVER (PARTITION BY scan_id ORDER BY run) AND n > lead(n) OVER (PARTITION BY scan_id ORDER BY run) AND n >= 5""")
 def psd_peaks(spark, sf_dir):
-    return psd.peaks(psd_auto(spark, sf_dir), 5).select("scan_id", "bin", "Volume_Count")
+    return psd.peaks(_wide_psd(spark, sf_dir), 5).select("scan_id", "bin", "Volume_Count")
 
 
 @query(f'SELECT scan_id, round(arg_max("Diameter_px", ("Volume_Count", -bin)), 6) AS peak_px, round(stddev_samp(CASE WHEN "Volume_Count" > 0 THEN "Diameter_px" END), 6) AS std_px '
@@ -472,12 +484,44 @@ def weak_labels(spark, sf_dir):
     return rounded(weak.weak_labels(both))
 
 
-@query()
+def _clahe_sql(tile: int, clip: float) -> str:
+    """Tile histograms, clipped; each pixel mixes the running sums of the four tiles around it at its level."""
+    return f"""WITH {GRAY_SQL}, hist AS (SELECT scan_id, z, y // {tile} AS ty, x // {tile} AS tx, v, count(*)::DOUBLE AS n FROM gray GROUP BY ALL),
+ cell AS (SELECT scan_id, z, ty, tx, sum(n) AS total, greatest(1.0, {clip}::DOUBLE * sum(n)) AS lim FROM hist GROUP BY ALL),
+ spare AS (SELECT scan_id, z, ty, tx, any_value(total) AS total, any_value(lim) AS lim, sum(greatest(n - lim, 0)) AS spare
+ FROM hist JOIN cell USING (scan_id, z, ty, tx) GROUP BY ALL),
+ grid AS (SELECT scan_id, z, max(ty) AS my, max(tx) AS mx FROM hist GROUP BY scan_id, z),
+ pix AS (SELECT g.*, my, mx, (y + 0.5::DOUBLE) / {tile} - 0.5::DOUBLE AS ay, (x + 0.5::DOUBLE) / {tile} - 0.5::DOUBLE AS ax FROM gray g JOIN grid USING (scan_id, z)),
+ corner AS (SELECT scan_id, z, y, x, v, CAST(least(greatest(floor(ay) + a.i, 0), my) AS BIGINT) AS ty, CAST(least(greatest(floor(ax) + b.i, 0), mx) AS BIGINT) AS tx,
+ CASE WHEN a.i = 0 THEN 1 - least(greatest(ay - floor(ay), 0), 1) ELSE least(greatest(ay - floor(ay), 0), 1) END
+ * CASE WHEN b.i = 0 THEN 1 - least(greatest(ax - floor(ax), 0), 1) ELSE least(greatest(ax - floor(ax), 0), 1) END AS w FROM pix, range(0, 2) a(i), range(0, 2) b(i)),
+ level AS (SELECT DISTINCT scan_id, z, ty, tx, v FROM corner),
+ map AS (SELECT l.scan_id, l.z, l.ty, l.tx, l.v, (sum(CASE WHEN n IS NULL THEN 0 ELSE least(n, lim) END) + any_value(spare) / 256 * (l.v + 1)) / any_value(total) AS m
+ FROM level l JOIN spare s USING (scan_id, z, ty, tx) LEFT JOIN hist h ON h.scan_id = l.scan_id AND h.z = l.z AND h.ty = l.ty AND h.tx = l.tx AND h.v <= l.v
+ GROUP BY l.scan_id, l.z, l.ty, l.tx, l.v),
+ eq AS (SELECT scan_id, z, y, x, sum(w * m) AS clahe FROM corner JOIN map USING (scan_id, z, ty, tx, v) GROUP BY scan_id, z, y, x)"""
+
+
+@query(_clahe_sql(4, 0.05) + " SELECT scan_id, z, y, x, round(clahe, 6) AS clahe FROM eq")
 def clahe(spark, sf_dir):
     return rounded(filters.clahe(derive.gray(spark, sf_dir), tile=4, clip=0.05))
 
 
-@query()
+# Shares of 64 pixels lie just between two numbers of six decimals: a little is added before they are rounded.
+@query(_clahe_sql(61, 0.01) + " SELECT scan_id, z, y, x, round(clahe + 1e-9::DOUBLE, 6) AS clahe FROM eq")
+def clahe_default(spark, sf_dir):
+    f = filters.clahe(derive.gray(spark, sf_dir))
+    return rounded(f.withColumn("clahe", F.col("clahe") + 1e-9))
+
+
+def _preprocess_sql() -> str:
+    near = _near_sql(2).partition("near AS ")[2].replace("v / 255.0::DOUBLE AS f", "s.f").replace(
+        "(SELECT scan_id, z, y AS sy, x AS sx, v FROM gray)", "(SELECT scan_id, z, y AS sy, x AS sx, clahe AS f, 0 AS v FROM eq)"
+    )
+    return f"{_clahe_sql(4, 0.05)}, near AS {near} SELECT scan_id, z, y, x, CAST(round_even(round(median(f) * 255, 9), 0) AS BIGINT) AS pre FROM near GROUP BY scan_id, z, y, x"
+
+
+@query(_preprocess_sql())
 def preprocess(spark, sf_dir):
     return filters.preprocess(derive.gray(spark, sf_dir), tile=4, clip=0.05)
 

@@ -15,11 +15,12 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("root", help="folder for the stages' tables")
     p.add_argument("--scan-dir")
     p.add_argument("--scan-id")
-    p.add_argument("--check", action="store_true", help="check the configuration only")
+    p.add_argument("--check", action="store_true", help="check the configuration and name the stages only")
     a = p.parse_args(args)
     c = config.parse(config.load(a.config), a.scan_dir, a.scan_id)
     if a.check:
         print(c)
+        print("stages:", ", ".join(pipeline.planned(c)))
         return
     out = pipeline.run(SparkSession.builder.appName("stackgrain").getOrCreate(), c, a.root)
     out["psd"].where("Volume_Count > 0").orderBy("scan_id", "bin").show(100, truncate=False)

@@ -49,7 +49,8 @@ class Config:
     scan_id: str
     n_classes: int = 3
     overwrite: bool = False
-    extensions: tuple[str, ...] = ("png", "tif", "tiff")
+    extensions: tuple[str, ...] = ("png", "tif", "tiff", "npy")
+    skip_damaged: bool = False
     preprocessing: bool = True
     z_stability: bool = True
     short: int = 3
@@ -67,7 +68,7 @@ class Config:
 
 
 KNOWN = {
-    "preprocessing": {"enabled", "overwrite"},
+    "preprocessing": {"enabled", "overwrite", "skip_damaged"},
     "segmentation": {"enabled", "method", "n_classes", "save_overlay", "extensions"},
     "z_stability": {"enabled", "config_path", "definition"},
     "binary_builder": {"enabled", "mask_variant"},
@@ -111,8 +112,8 @@ def parse(raw: dict, scan_dir: str | None = None, scan_id: str | None = None) ->
         warnings.warn("with two classes the bright class has label 1, which the z stage treats as uncertain", stacklevel=2)
     out = Config(
         scan_dir=place, scan_id=scan_id or raw.get("scan_id") or os.path.basename(place.rstrip("/")), n_classes=seg.get("n_classes", 3),
-        overwrite=bool((stages["preprocessing"] or {}).get("overwrite", False)), extensions=tuple(e.lstrip(".") for e in seg.get("extensions", ("png", "tif", "tiff"))),
-        preprocessing=(stages["preprocessing"] or {}).get("enabled", True), z_stability=z.get("enabled", True), short=windows.get("short", 3), long=windows.get("long", 7),
+        overwrite=bool((stages["preprocessing"] or {}).get("overwrite", False)), extensions=tuple(e.lstrip(".") for e in seg.get("extensions", ("png", "tif", "tiff", "npy"))),
+        skip_damaged=bool((stages["preprocessing"] or {}).get("skip_damaged", False)), preprocessing=(stages["preprocessing"] or {}).get("enabled", True), z_stability=z.get("enabled", True), short=windows.get("short", 3), long=windows.get("long", 7),
         target=d.get("target_class", 1), conservative=limits.get("conservative", CONSERVATIVE), aggressive=limits.get("aggressive", AGGRESSIVE),
         variant=(stages["binary_builder"] or {}).get("mask_variant", "aggressive"), spacing=tuple(map(float, (psd.get("image_params") or {}).get("voxel_spacing", (1, 1, 1)))),
         border_width=params.get("border_width", 1), min_reliable=params.get("min_reliable_diameter_voxels", 5), edges_um=tuple(params["bin_edges_um"]) if params.get("bin_edges_um") else None,

@@ -61,8 +61,14 @@ def stabilise(labels: DataFrame, config: Config) -> DataFrame:
     return m
 
 
+def planned(config: Config) -> list[str]:
+    """The stages that run() would make or read, in order, for a dry run."""
+    return ["gray", *["preprocessed"] * config.preprocessing, "labels", *["stability"] * config.z_stability, "binary", "psd"]
+
+
 def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All stages by name. gray: voxels (scan_id, z, y, x, v) in place of the scan's folder."""
+    """All stages by name. gray: voxels (scan_id, z, y, x, v) in place of the scan's folder, 8-bit unless a column dtype
+    names another kind. Slices that cannot be read fail the first stage, unless skip_damaged is set."""
     store = Store(spark, root, config)
     out: dict[str, DataFrame] = {}
 
@@ -70,19 +76,28 @@ def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None =
         if gray is not None:
             return gray
         slices = stack.read_stack(spark, config.scan_dir, config.extensions)
-        top = slices.where("problem is null").select("dtype").distinct()
-        kind = top.agg(F.max("dtype")).first()[0]
-        return stack.voxels(slices).withColumn("v", F.col("v").cast("double") if kind == "float32" else F.col("v").cast("long"))
-
-    out["gray"] = store.stage("gray", ("scan_dir", "scan_id", "extensions"), raw)
-    image = out["gray"]
+        state = slices.groupBy("dtype").agg(F.count("problem").alias("broken"), F.first("path").alias("path"), F.first("problem").alias("problem")).collect()
+        broken = [r for r in state if r["broken"]]
+        if broken and not config.skip_damaged:
+            raise ValueError(f"{sum(r['broken'] for r in broken)} slices cannot be read, as {broken[0]['path']}: {broken[0]['problem']}")
+        kinds = [r["dtype"] for r in state if r["dtype"]]
+        if len(kinds) != 1:
+            raise TypeError(f"slices of one kind are needed, not {kinds}")
+        v = F.col("v").cast("double") if kinds[0].startswith("float") else F.col("v").cast("long")
+        return stack.voxels(slices).withColumn("v", v).withColumn("dtype", F.lit(kinds[0]))
+
+    out["gray"] = store.stage("gray", ("scan_dir", "scan_id", "extensions", "skip_damaged"), raw)
+    image, kind = out["gray"], "uint8"
+    if "dtype" in image.columns:
+        first = image.select("dtype").first()
+        image, kind = image.drop("dtype"), first[0] if first else kind
     if config.preprocessing:
         out["preprocessed"] = store.stage(
             "preprocessed", ("preprocessing",),
-            lambda: filters.preprocess(intensity.norm200(image).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
+            lambda: filters.preprocess(intensity.norm200(image, kind).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
         )
-        image = out["preprocessed"]
-    out["labels"] = labels = store.stage("labels", ("n_classes",), lambda: segment_volume(image, config))
+        image, kind = out["preprocessed"], "uint8"
+    out["labels"] = labels = store.stage("labels", ("n_classes",), lambda: segment_volume(intensity.as_grey(image, kind), config))
     final = labels
     if config.z_stability:
         out["stability"] = store.stage("stability", ("short", "long", "target", "conservative", "aggressive"), lambda: stabilise(labels, config))

@@ -152,9 +152,39 @@ def npy_decode(data: bytes) -> np.ndarray:
 
 
 def decode(data: bytes) -> np.ndarray:
-    """By content, whatever the file is called."""
+    """A file's one image, or its whole volume (z, y, x), by content, whatever the file is called."""
     if data[:8] == PNG_SIGNATURE:
         return png_decode(data)
     if data[:6] == b"\x93NUMPY":
         return npy_decode(data)
-    return tiff_pages(data)[0]
+    pages = tiff_pages(data)
+    return pages[0] if len(pages) == 1 else np.stack(pages)
+
+
+def slices(data: bytes) -> list[np.ndarray]:
+    """The slices that a file holds: one of a PNG, one for each page of a TIFF, and of a NPY array of three dimensions
+    (z, y, x) one for each z."""
+    if data[:6] == b"\x93NUMPY":
+        a = npy_decode(data)
+        return [*a] if a.ndim == 3 else [a]
+    return [png_decode(data)] if data[:8] == PNG_SIGNATURE else tiff_pages(data)
+
+
+def slice_count(data: bytes) -> int:
+    """How many slices a file holds, from its headers alone; 1 for a file that is none of the kinds."""
+    try:
+        if data[:6] == b"\x93NUMPY":
+            head = io.BytesIO(data)
+            version = np.lib.format.read_magic(head)
+            shape = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(head)[0]
+            return shape[0] if len(shape) == 3 else 1
+        order = {b"II": "<", b"MM": ">"}.get(data[:2])
+        if order is None:
+            return 1
+        n, (at,) = 0, struct.unpack_from(order + "I", data, 4)
+        while at:
+            n += 1
+            (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * struct.unpack_from(order + "H", data, at)[0])
+        return max(1, n)
+    except (ValueError, struct.error):
+        return 1

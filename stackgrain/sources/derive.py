@@ -45,7 +45,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def volume_from_counts(rows: DataFrame, scan: str, z: str, y: str, x: str, side: int) -> DataFrame:
+def volume_from_counts(rows: DataFrame, scan: str, z: str, y: str, x: str, side: int, times: int = 1) -> DataFrame:
     """(scan_id, z, y, x, is_pore) on a full grid a scan: a cell is solid if it holds more rows than the average cell."""
     cells = rows.select(long(scan, "scan_id"), long(z, "z"), long(y, "y"), long(x, "x"))
     filled = cells.groupBy("scan_id", "z", "y", "x").agg(F.count("*").alias("n"))
@@ -57,14 +57,15 @@ def volume_from_counts(rows: DataFrame, scan: str, z: str, y: str, x: str, side:
     )
     n = F.coalesce("n", F.lit(0))
     whole = grid.join(filled, ["scan_id", "z", "y", "x"], "left")
-    return whole.select("scan_id", "z", "y", "x", (n * side**3 <= F.col("total")).alias("is_pore"))
+    return whole.select("scan_id", "z", "y", "x", (n * side**3 <= F.col("total") * times).alias("is_pore"))
 
 
-def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary volumes of 16 voxels a side, one for each 2000 order keys."""
+def volumes(spark: SparkSession, sf_dir: str, times: int = 1) -> DataFrame:
+    """Binary volumes of 16 voxels a side, one for each 2000 order keys; solid are cells with more than so many times
+    the rows of the average cell."""
     side = SIDE
     return volume_from_counts(
-        table(spark, sf_dir, "lineitem"), "l_orderkey div 2000", f"l_orderkey % {side}", f"l_suppkey % {side}", f"l_partkey % {side}", side
+        table(spark, sf_dir, "lineitem"), "l_orderkey div 2000", f"l_orderkey % {side}", f"l_suppkey % {side}", f"l_partkey % {side}", side, times
     )
 
 
@@ -82,3 +83,8 @@ VOL_SQL = """filled AS (SELECT l_orderkey // 2000 AS scan_id, l_orderkey % 16 AS
  vol AS (SELECT s.scan_id, a.i AS z, b.i AS y, c.i AS x, coalesce(f.n, 0) * 4096 <= s.total AS is_pore
  FROM sums s, range(0, 16) a(i), range(0, 16) b(i), range(0, 16) c(i)
  LEFT JOIN filled f ON f.scan_id = s.scan_id AND f.z = a.i AND f.y = b.i AND f.x = c.i)"""
+
+
+def wide(sql: str, times: int) -> str:
+    """SQL over the volumes as SQL over those of volumes(..., times)."""
+    return sql.replace("<= s.total AS is_pore", f"<= s.total * {times} AS is_pore")

@@ -13,11 +13,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from . import codecs
 
-EXTENSIONS = ("png", "jpg", "jpeg", "tif", "tiff", "bmp")
+EXTENSIONS = ("png", "tif", "tiff", "npy")  # what the codecs read
 SLICES = "scan_id string, z long, path string, height long, width long, dtype string, data binary, problem string"
 
 
-def list_slices(spark: SparkSession, path: str, extensions=("png", "tif", "tiff"), number: str | None = None) -> DataFrame:
+def list_slices(spark: SparkSession, path: str, extensions=("png", "tif", "tiff", "npy"), number: str | None = None) -> DataFrame:
     """(scan_id, z, path): files of a folder with one of the extensions, whatever their case.
 
     scan_id is the folder's name. z is the rank of the path, or with a pattern the number that its first group finds;
@@ -37,27 +37,41 @@ def list_slices(spark: SparkSession, path: str, extensions=("png", "tif", "tiff"
     return found
 
 
-def read_stack(spark: SparkSession, path: str, extensions=("png", "tif", "tiff"), number: str | None = None, channel: str = "first") -> DataFrame:
+def read_stack(spark: SparkSession, path: str, extensions=("png", "tif", "tiff", "npy"), number: str | None = None, channel: str = "first") -> DataFrame:
     """Decoded slices (scan_id, z, path, height, width, dtype, data, problem).
 
-    Spark's binaryFile source reads the files, so any store that it knows will do. channel: first, or mean, of slices
-    with several. A file that cannot be decoded keeps its row, with problem set and no data."""
+    Spark's binaryFile source reads the files, so any store that it knows will do. A file may hold several slices (pages
+    of a TIFF, a volume in NPY): they follow one another, and the files after them are counted on. channel: first, or
+    mean, of slices with several. A file that cannot be decoded keeps its row, with problem set and no data."""
     listed = list_slices(spark, path, extensions, number)
     content = spark.read.format("binaryFile").load(path).select("path", "content")
+    if number is None and {e.lower().lstrip(".") for e in extensions} & {"tif", "tiff", "npy"}:
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = [codecs.slice_count(x) for x in batch.column("content").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(n, pa.int64())], names=["path", "n"])
+
+        before = Window.partitionBy("scan_id").orderBy("z").rowsBetween(Window.unboundedPreceding, -1)
+        held = content.join(listed.select("path"), "path", "left_semi").mapInArrow(count, "path string, n long")
+        listed = listed.join(held, "path").withColumn("z", F.coalesce(F.sum("n").over(before), F.lit(0))).select("scan_id", "z", "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for scan, z, name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
-                    a = codecs.decode(content)
-                    if a.ndim == 3:
-                        a = a[:, :, 0] if channel == "first" else np.rint(a.mean(axis=2)).astype(a.dtype)
-                    if a.ndim != 2:
-                        raise ValueError(f"a slice of {a.ndim} dimensions")
-                    row = (scan, z, name, *a.shape, str(a.dtype), np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes(), None)
+                    rows = []
+                    for k, a in enumerate(codecs.slices(content)):
+                        if a.ndim == 3:
+                            a = a[:, :, 0] if channel == "first" else np.rint(a.mean(axis=2)).astype(a.dtype)
+                        if a.ndim != 2:
+                            raise ValueError(f"a slice of {a.ndim} dimensions")
+                        a = a.astype(np.uint8) if a.dtype == np.bool_ else a
+                        rows.append((scan, z + k, name, *a.shape, str(a.dtype), np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes(), None))
                 except (ValueError, TypeError, KeyError, IndexError, OSError) as e:
-                    row = (scan, z, name, None, None, None, None, f"{type(e).__name__}: {e}")
-                yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=schema)
+                    rows = [(scan, z, name, None, None, None, None, f"{type(e).__name__}: {e}")]
+                for row in rows:
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=schema)
 
     names = ["scan_id", "z", "path", "height", "width", "dtype", "data", "problem"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]

@@ -1,4 +1,4 @@
-"""Slices that keep arriving: thresholds of each new slice, and z metrics of a scan's slices as they come."""
+"""Slices that keep arriving: thresholds and classes of each new slice."""
 
 from __future__ import annotations
 

@@ -138,6 +138,72 @@ def test_pipeline_and_resume(spark, tmp_path):
     assert sorted(p.stat().st_mtime_ns for p in tmp_path.rglob("binary-*/part-*")) == stamp
 
 
+def blob(side=12):
+    """A dark ball in a bright block, with some noise, as fractions."""
+    z, y, x = np.indices((side,) * 3)
+    f = np.where((z - 6) ** 2 + (y - 6) ** 2 + (x - 6) ** 2 <= 9, 0.2, 0.7)
+    return np.clip(f + np.random.default_rng(8).normal(0, 0.02, f.shape), 0, 1)
+
+
+@pytest.mark.parametrize("kind", ["uint16 slices", "npy volume", "tiff pages", "two files of pages"])
+@pytest.mark.parametrize("preprocessing", [True, False])
+def test_files_to_distribution(spark, tmp_path, kind, preprocessing):
+    a = (blob() * 65535).astype(np.uint16)
+    place = tmp_path / "scan"
+    place.mkdir()
+    if kind == "uint16 slices":
+        for z, page in enumerate(a):
+            (place / f"s{z:03d}.png").write_bytes(codecs.png_encode(page))
+    elif kind == "npy volume":
+        (place / "volume.npy").write_bytes(codecs.npy_encode(a))
+    else:
+        cut = 12 if kind == "tiff pages" else 5
+        (place / "a.tif").write_bytes(codecs.tiff_encode([*a[:cut]]))
+        if cut < 12:
+            (place / "b.tif").write_bytes(codecs.tiff_encode([*a[cut:]]))
+    stages = {"preprocessing": {"enabled": preprocessing}, "segmentation": {"n_classes": 2}, "z_stability": {"enabled": False}, "binary_builder": {"mask_variant": "original"}}
+    c = config.parse({"scan_dir": str(place), "stages": RAW["stages"] | stages})
+    out = pipeline.run(spark, c, str(tmp_path / "out"))
+    assert set(out) == set(pipeline.planned(c))
+    got = {(r.z, r.y, r.x): r.v for r in out["gray"].collect()}
+    assert got == {i: int(a[i]) for i in np.ndindex(a.shape)}
+    assert out["psd"].agg(F.sum("Volume_Count")).first()[0] > 50
+    if not preprocessing:
+        pores = {(r.z, r.y, r.x) for r in out["binary"].where("is_pore").collect()}
+        ball = {tuple(i) for i in np.argwhere(blob() < 0.45).tolist()}
+        assert len(ball & pores) > 0.8 * len(ball)  # a value equal to a threshold goes up
+
+
+def test_damaged_slices_stop_the_pipeline(spark, tmp_path):
+    place = tmp_path / "scan"
+    place.mkdir()
+    for z, page in enumerate((blob() * 255).astype(np.uint8)):
+        (place / f"s{z:03d}.png").write_bytes(codecs.png_encode(page))
+    (place / "s999.png").write_bytes(b"broken")
+    raw = config.merge(RAW, {"scan_dir": str(place)})
+    with pytest.raises(ValueError, match="1 slices cannot be read"):
+        pipeline.run(spark, config.parse(raw), str(tmp_path / "out"))
+    raw = config.merge(raw, {"stages": {"preprocessing": {"skip_damaged": True}}})
+    assert pipeline.run(spark, config.parse(raw), str(tmp_path / "out"))["gray"].count() == 12**3
+
+
+def test_too_many_levels_are_refused(spark):
+    from stackgrain.operators import otsu
+
+    many = volume(spark, np.arange(2000).reshape(1, 40, 50))
+    with pytest.raises(Exception, match="too many levels"):
+        otsu.thresholds(many, 3).collect()
+
+
+def test_peaks_of_plateaus(spark):
+    from stackgrain.operators import psd
+
+    counts = [5, 1, 4, 4, 4, 2, 3, 3, 7, 0, 6, 6, 1, 9]
+    df = spark.createDataFrame([("s", i, n) for i, n in enumerate(counts)], "scan_id string, bin long, Volume_Count long")
+    assert sorted(r.bin for r in psd.peaks(df).collect()) == [3, 8, 10]
+    assert sorted(r.bin for r in psd.peaks(df, 5).collect()) == [8, 10]
+
+
 def test_streaming_segmentation(spark, tmp_path):
     gray = volume(spark, np.random.default_rng(6).integers(0, 256, (4, 6, 6)))
     gray.repartition(4, "z").write.parquet(str(tmp_path / "in"))
@@ -158,6 +224,29 @@ def duck():
     return con
 
 
+def test_contrast_of_a_slice_larger_than_a_tile():
+    from stackgrain.operators import filters
+
+    a = np.random.default_rng(5).integers(0, 256, (70, 130))
+    tile, clip = 61, 0.01
+    maps = {}
+    for i in range(2):
+        for j in range(3):
+            own = a[i * tile : (i + 1) * tile, j * tile : (j + 1) * tile]
+            hist = [int((own == v).sum()) for v in range(256)]
+            limit = max(1.0, clip * own.size)
+            spare = sum(max(0, n - limit) for n in hist) / 256
+            maps[i, j] = np.cumsum([min(n, limit) + spare for n in hist]) / own.size
+    got = filters.clahe_array(a / 255.0, tile, clip)
+    for y, x in ((0, 0), (30, 30), (31, 92), (69, 129), (60, 61), (45, 110)):
+        ay, ax = (y + 0.5) / tile - 0.5, (x + 0.5) / tile - 0.5
+        want = 0
+        for i, wy in ((int(np.floor(ay)), 1 - ay % 1), (int(np.floor(ay)) + 1, ay % 1)):
+            for j, wx in ((int(np.floor(ax)), 1 - ax % 1), (int(np.floor(ax)) + 1, ax % 1)):
+                want += wy * wx * maps[min(max(i, 0), 1), min(max(j, 0), 2)][a[y, x]]
+        assert abs(got[y, x] - want) < 1e-12
+
+
 @pytest.mark.parametrize("name", [*catalogue.QUERIES])
 def test_query_equals_its_sql(spark, duck, name):
     got = catalogue.QUERIES[name](spark, DATA).toPandas()
