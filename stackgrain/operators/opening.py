@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +38,19 @@ def ball_centres(distances: DataFrame) -> DataFrame:
     return df.where("best <= k").drop("best")
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """df computed once for its several uses: checkpointed where the session has a checkpoint folder, else kept by the
+    executors and on their disks (Spark computes again what is lost)."""
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def opening(distances: DataFrame) -> DataFrame:
-    """(scan_id, z, y, x, edt2, diameter) of the pore voxels; distances as edt() gives them."""
+    """(scan_id, z, y, x, edt2, diameter) of the pore voxels; distances as edt() gives them, used four times and so
+    computed once and kept."""
     spark = distances.sparkSession
+    distances = _once(distances)
     top = distances.agg(F.max("edt2")).first()[0]
     radius = math.isqrt(int(top)) if top else 0
     runs = ball_runs(spark, max(radius, 1))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import _boundary, _box_mean, _sobel
@@ -46,8 +46,10 @@ def slice_identifier(name: Column) -> Column:
 
 
 def _last(df: DataFrame, key: str, order: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return df.withColumn("rank_", F.row_number().over(w)).where("rank_ = 1").drop("rank_")
+    """The row of each key with the largest order; partly aggregated before the shuffle, so a frequent key does no harm."""
+    rest = F.struct(*(c for c in df.columns if c != key))
+    best = df.groupBy(key).agg(F.max_by(rest, F.struct(F.col(order).isNotNull(), order)).alias("best_"))
+    return best.select(key, "best_.*")
 
 
 def pair(a: DataFrame, b: DataFrame, key: str, order_a: str, order_b: str) -> DataFrame:
