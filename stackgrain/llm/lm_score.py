@@ -321,7 +321,7 @@ def score_texts(
                 columns = [pa.array([ids[i] for i in own], pa.int64()), pa.array([held[i] for i in own], pa.bool_()), pa.array(some, pa.binary())]
                 batch_here = pa.RecordBatch.from_arrays(columns, names=["ids", "held", "texts"])
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch_here.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, batch_here.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
                     out.write_batch(batch_here)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(number[0] << 32) + done], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "rows"]
