@@ -7,13 +7,13 @@ and each axis costs one shuffle by line. Outside the volume is not solid. A scan
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import whole_lines
+
 FAR = 1 << 60
 
 
@@ -32,28 +32,18 @@ def least_along(g: np.ndarray, weight: float = 1) -> np.ndarray:
 def _line_pass(df: DataFrame, axis: str, weight: float) -> DataFrame:
     keys = [c for c in ("scan_id", "z", "y", "x") if c != axis]
     kinds = dict(df.dtypes)
-    kind = kinds["g"]
-    lines = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(axis, "g"))).alias("line"))
-    lines = lines.select(*keys, F.col(f"line.{axis}").alias("at"), F.col("line.g").alias("g"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, values = batch.column("at").to_pylist(), batch.column("g").to_pylist()
-            if not at:
-                continue
-            low = [a[0] for a in at]
-            width = max(a[-1] - a[0] for a in at) + 1
-            g = np.full((len(at), width), FAR, np.float64 if kind == "double" else np.int64)
-            for i, (a, v) in enumerate(zip(at, values, strict=True)):
-                g[i, np.array(a) - low[i]] = [FAR if x is None else x for x in v]
-            best = least_along(g, weight)
-            found = [[None if x >= FAR else x for x in best[i, np.array(a) - low[i]].tolist()] for i, a in enumerate(at)]
-            columns = [batch.column(k) for k in keys]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column("at"), pa.array(found, pa.list_(pa.float64() if kind == "double" else pa.int64()))], names=[*keys, "at", "g"])
-
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", at array<{kinds[axis]}>, g array<{kind}>"
-    done = lines.mapInArrow(run, schema)
-    return done.select(*keys, F.explode(F.arrays_zip("at", "g")).alias("p")).select(*keys, F.col("p.at").alias(axis), F.col("p.g").alias("g"))
+    kind = np.float64 if kinds["g"] == "double" else np.int64
+
+    def run(t: pa.RecordBatch, line: np.ndarray) -> pa.RecordBatch:
+        at = t.column(axis).to_numpy()
+        start = np.nonzero(np.append(True, line[1:] != line[:-1]))[0]
+        at = at - np.minimum.reduceat(at, start)[line]
+        g = np.full((len(start), int(at.max()) + 1), FAR, kind)
+        g[line, at] = t.column("g").fill_null(kind(FAR)).to_numpy()
+        best = least_along(g, weight)[line, at]
+        return pa.RecordBatch.from_arrays([*(t.column(k) for k in keys), t.column(axis), pa.array(best, mask=best >= FAR)], names=[*keys, axis, "g"])
+
+    return whole_lines(df, keys, run, ", ".join(f"{c} {kinds[c]}" for c in (*keys, axis, "g")))
 
 
 def edt(volume: DataFrame, spacing: tuple[float, float, float] = (1, 1, 1)) -> DataFrame:

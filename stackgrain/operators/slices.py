@@ -2,11 +2,13 @@
 
 One task holds one slice, which is how big a slice may be; a shuffle brings its voxels together. Missing voxels are
 filled. Results have one row for each voxel of the input.
+
+Kernels over whole lines, by sorting on their keys: a task reads its lines one after another, in batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,3 +42,33 @@ def per_slice(df: DataFrame, columns: list[str], kernel: Kernel, out: dict[str,
         return pa.table(own)
 
     return df.select("scan_id", "z", "y", "x", *columns).groupBy("scan_id", "z").applyInArrow(run, schema)
+
+
+def line_numbers(rows: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """The number, from 0, of each row's line: rows with equal keys that stand together."""
+    new = np.zeros(rows.num_rows, np.int64)
+    for k in keys:
+        code = rows.column(k).dictionary_encode("encode").indices.to_numpy()
+        new[1:] |= code[1:] != code[:-1]
+    return np.cumsum(new)
+
+
+def whole_lines(df: DataFrame, keys: list[str], kernel: Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """kernel gets rows of whole lines (rows with equal keys, in no order inside a line) with their line numbers, and
+    returns rows of the schema. About one Arrow batch is held at a time, or the longest line if that is larger."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            line = line_numbers(rows, keys)
+            cut = int(np.searchsorted(line, line[-1]))  # the last line may go on
+            if cut:
+                yield kernel(rows.slice(0, cut), line[:cut])
+            held = rows.slice(cut)
+        if held is not None:
+            yield kernel(held, np.zeros(held.num_rows, np.int64))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -298,3 +298,41 @@ def test_weak_labels_switches(spark):
     assert off.where("weak = 255").count() == 0
     some = weak.weak_labels(both, variance_percentile=90, gradient_percentile=0, distance=0)
     assert 0 < some.where("weak = 255").count() <= 15
+
+
+def test_openings_of_large_balls(spark):
+    """Radii of 15 and 25, and balls that overlap: those of few solid voxels, against a plain search."""
+    volume = balls(spark, 128, [(39, 64, 64, 15), (89, 64, 64, 25)]).where("z between 20 and 118 and y between 34 and 94 and x between 34 and 94")
+    found = {r.diameter: r.n for r in psd.diameter_histogram(opening.opening(edt.edt(volume))).collect()}
+    assert found == {30: 14147, 50: 65267}
+    n, solid = 26, np.array([(2, 3, 4), (20, 22, 5), (9, 13, 21), (24, 4, 19)])
+    pore = np.ones((n, n, n), bool)
+    pore[tuple(solid.T)] = False
+    thick = opening.opening(edt.edt(from_array(spark, pore, "is_pore").withColumn("scan_id", F.lit("a"))))
+    grid = np.stack(np.indices(pore.shape), -1).reshape(-1, 3)
+    k = np.floor(np.sqrt(((grid[:, None] - solid) ** 2).sum(-1).min(1))).astype(int)
+    want = np.zeros(len(grid), int)
+    for c, r in zip(grid, k, strict=True):
+        near = ((grid - c) ** 2).sum(1) <= r * r
+        want[near] = np.maximum(want[near], 2 * r)
+    assert k.max() > 12 and (to_array(thick, "diameter", pore.shape)[pore] == want.reshape(pore.shape)[pore]).all()
+
+
+def test_voxels_without_a_row_are_no_obstacle(spark):
+    volume = balls(spark, 16, [(8, 8, 8, 5)])
+    holes = opening.opening(edt.edt(volume)).where("x <> 9 and y <> 7")
+    gone = opening.opening(edt.edt(volume).where("(x <> 9 and y <> 7) or (x = 8 and y = 8 and z = 8)")).where("y <> 7 and x <> 9")
+    assert sorted(map(tuple, holes.collect())) == sorted(map(tuple, gone.collect()))
+
+
+def test_unbeaten_balls():
+    place, k, room = (np.array(a) for a in ([1, 0, 0, 0, 0, 1], [3, 2, 4, 3, 4, 3], [9, 4, 1, 4, 0, 9]))
+    got = opening.unbeaten(place, k, room)
+    assert [*zip(*(a.tolist() for a in got), strict=True)] == [(0, 4, 1), (0, 3, 4), (1, 3, 9)]
+    r = np.random.default_rng(4)
+    line = np.sort(r.integers(0, 5, 40))
+    at, k = r.integers(0, 12, 40), r.integers(1, 6, 40)
+    low, high = np.zeros(40, int), np.full(40, 11)
+    whole, parts = (opening.along(line, at, k, k * k, low, high, most) for most in (1 << 20, 1))
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert all(len(a) == 0 for a in opening.along(*(a[:0] for a in (line, at, k, k, low, high))))
