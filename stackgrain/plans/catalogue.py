@@ -374,6 +374,12 @@ def opening_map(spark, sf_dir):
     return opening.opening(edt.edt(derive.volumes(spark, sf_dir)))
 
 
+#: With few solid voxels: larger balls, of which many overlap.
+@query(derive.wide(f"WITH {OPEN_SQL} SELECT scan_id, z, y, x, CAST(edt2 AS BIGINT) AS edt2, diameter FROM o", 3))
+def opening_map_wide(spark, sf_dir):
+    return opening.opening(edt.edt(derive.volumes(spark, sf_dir, 3)))
+
+
 @query(f"WITH {HIST_SQL} SELECT scan_id, diameter, n FROM h")
 def diameter_hist(spark, sf_dir):
     return psd.analysed_histogram(derive.volumes(spark, sf_dir))
