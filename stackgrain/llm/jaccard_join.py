@@ -363,24 +363,30 @@ def jaccard_components(
 
     class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
     n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the
-    bounds above are made for that. salts: a component's rows are dealt to so many keys to be given its id."""
+    bounds above are made for that. salts: a component's rows are dealt to so many keys to be given its id. Classes that
+    hold over a thousandth of all rows, a thousand at most, are dealt to parts of about that size and broadcast for it."""
     summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
-    classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"))
+    classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("m"))
+    least_hot = summary.count() // 1000 + 1
+    parts = F.ceil(F.col("m") / least_hot)
+    hot = F.broadcast(classes.where(F.col("m") >= least_hot).select("fp", parts.alias("parts")))
     linked = (
-        labels.withColumnRenamed("node", "fp").join(classes, "fp").join(degrees(sets, labels, percent), "fp", "left")
+        labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp").join(degrees(sets, labels, percent), "fp", "left")
         .withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(salts)))
     )
     linked = stored(linked, "linked")
     least = linked.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     linked = linked.join(least, ["comp", "salt"]).select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    by_class = classes.join(linked, "fp", "left").select("fp", "class_id", "component_id", "n_links")
+    part = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
+    by_class = classes.join(linked, "fp", "left").select("fp", "class_id", "component_id", "n_links", part)
     alone = F.col("fp").isNull()
     # Rows without a set get a key of their own, so that they do not meet in one task.
     spread = F.coalesce("fp", F.xxhash64("doc_id", "row", F.lit("alone")))
     return (
-        summary.select("doc_id", "n", "fp", spread.alias("key"))
-        .join(by_class.withColumnRenamed("fp", "key"), "key", "left")
+        summary.join(hot, "fp", "left")
+        .select("doc_id", "n", "fp", spread.alias("key"), F.coalesce(F.pmod(F.col("row"), "parts"), F.lit(0)).alias("part"))
+        .join(by_class.withColumnRenamed("fp", "key"), ["key", "part"], "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component_id", "class_id")).alias("component_id"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
