@@ -227,6 +227,15 @@ def _pairs_with_leaders(here: DataFrame, turn: int, leaders: int) -> DataFrame:
     return met.withColumn("rank", F.row_number().over(few)).where(F.col("rank") <= leaders).select(F.col("fp").alias("a"), "b")
 
 
+def _dealt(rows: DataFrame, groups: DataFrame, key: str, by: Column, least: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on (key, part): groups holds one row a key with its size m. Keys of `least` rows or more have
+    m / least parts; there are few of them by the choice of least, so they are broadcast to deal their rows by hash."""
+    parts = F.ceil(F.col("m") / least)
+    hot = F.broadcast(groups.where(F.col("m") >= least).select(key, parts.alias("parts")))
+    spread = rows.join(hot, key, "left").withColumn("part", F.coalesce(F.pmod(by, "parts"), F.lit(0).cast("long"))).drop("parts")
+    return spread, groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("m")
+
+
 def _tiled(rows: DataFrame, group: str, slots: Column, by: str) -> DataFrame:
     """The rows of each group dealt by hash to slots, once for each pair of slots (lo <= hi) that they belong to."""
     own = rows.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64(by, group), "slots"))
@@ -273,10 +282,13 @@ def degrees(sets: DataFrame, labels: DataFrame, percent: int, most: int = 512, m
     component are compared: its classes are dealt by hash to slots of about `most` sets or most_bytes, and each pair of
     slots is one tile. Degrees leave a task, not links."""
     sized = labels.join(sets.select(F.col("fp").alias("node"), "n"), "node").groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
-    parts = F.ceil(F.greatest(F.col("m") / most, F.col("all") * 8 / most_bytes))
-    sized = sized.where("m > 1").select("comp", parts.alias("parts"), (F.col("all") * 8 * parts).alias("bytes"))
-    groups = int((sized.agg(F.sum("bytes")).first()[0] or 0) // (2 * most_bytes)) + 1
-    here = _tiled(labels.join(sized, "comp").withColumnRenamed("node", "fp"), "comp", F.col("parts"), "fp")
+    slots = F.ceil(F.greatest(F.col("m") / most, F.col("all") * 8 / most_bytes))
+    sized = stored(sized.where("m > 1").select("comp", "m", slots.alias("slots"), (F.col("all") * 8 * slots).alias("bytes")), "sized")
+    rows, size = sized.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    groups = int(size // (2 * most_bytes)) + 1
+    own, sized = _dealt(labels, sized.drop("bytes"), "comp", F.xxhash64("node"), rows // 1000 + 1)
+    here = own.join(sized, ["comp", "part"]).select("comp", F.col("node").alias("fp"), "slots")
+    here = _tiled(here, "comp", F.col("slots"), "fp")
 
     def run(t: pa.Table) -> pa.Table:
         comp, slot, lo, hi, n, fp = (t.column(c).to_numpy() for c in ("comp", "slot", "lo", "hi", "n", "fp"))
@@ -357,36 +369,28 @@ def jaccard_components(
     overlap: int = 16,
     rounds: int = 2,
     leaders: int = 2,
-    salts: int = 16,
 ) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
 
     class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
     n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the
-    bounds above are made for that. salts: a component's rows are dealt to so many keys to be given its id. Classes that
-    hold over a thousandth of all rows, a thousand at most, are dealt to parts of about that size and broadcast for it."""
+    bounds above are made for that. Classes and components that hold over a thousandth of all rows, a thousand at most,
+    are dealt to parts of about that size in the joins on them."""
     summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
     classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("m"))
     least_hot = summary.count() // 1000 + 1
-    parts = F.ceil(F.col("m") / least_hot)
-    hot = F.broadcast(classes.where(F.col("m") >= least_hot).select("fp", parts.alias("parts")))
-    linked = (
-        labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp").join(degrees(sets, labels, percent), "fp", "left")
-        .withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(salts)))
-    )
+    linked = labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp").join(degrees(sets, labels, percent), "fp", "left")
     linked = stored(linked, "linked")
-    least = linked.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    linked = linked.join(least, ["comp", "salt"]).select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    part = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
-    by_class = classes.join(linked, "fp", "left").select("fp", "class_id", "component_id", "n_links", part)
+    least = stored(linked.groupBy("comp").agg(F.min("class_id").alias("component_id"), F.count("*").alias("m")), "least")
+    own, least = _dealt(linked, least, "comp", F.xxhash64("fp"), least_hot)
+    linked = own.join(least, ["comp", "part"]).select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     alone = F.col("fp").isNull()
     # Rows without a set get a key of their own, so that they do not meet in one task.
     spread = F.coalesce("fp", F.xxhash64("doc_id", "row", F.lit("alone")))
+    by_class = classes.join(linked, "fp", "left").select(F.col("fp").alias("key"), "class_id", "component_id", "n_links", "m")
+    rows, by_class = _dealt(summary.select("doc_id", "n", "fp", "row", spread.alias("key")), by_class, "key", F.col("row"), least_hot)
     return (
-        summary.join(hot, "fp", "left")
-        .select("doc_id", "n", "fp", spread.alias("key"), F.coalesce(F.pmod(F.col("row"), "parts"), F.lit(0)).alias("part"))
-        .join(by_class.withColumnRenamed("fp", "key"), ["key", "part"], "left")
+        rows.join(by_class, ["key", "part"], "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component_id", "class_id")).alias("component_id"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
