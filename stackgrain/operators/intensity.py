@@ -63,6 +63,23 @@ def as_grey(gray: DataFrame, dtype: str, value: str = "v") -> DataFrame:
     return gray.withColumn(value, F.rint(f * 255).cast("long"))
 
 
+def shades(maps: DataFrame, value: str, lo: float | None = None, hi: float | None = None) -> DataFrame:
+    """With a column shade: the value as a level 0..255 between lo and hi, where left out the scan's least and greatest
+    value; 0 where they are equal. NaN and null give a null shade and count for no limit."""
+    v = F.nullif(F.col(value).cast("double"), F.lit(float("nan")))
+    ends = maps.groupBy("scan_id").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    low, high = (F.col(c) if x is None else F.lit(float(x)) for c, x in (("_lo", lo), ("_hi", hi)))
+    part = F.when(high > low, (v - low) / F.nullif(high - low, F.lit(0.0))).otherwise(F.when(v.isNotNull(), 0.0))
+    shade = F.when(part.isNotNull(), F.floor(F.least(F.greatest(part, F.lit(0.0)), F.lit(1.0)) * 255))
+    return maps.join(ends, "scan_id", "left").withColumn("shade", shade).drop("_lo", "_hi")
+
+
+def finite(gray: DataFrame, lo: float, hi: float, value: str = "v") -> DataFrame:
+    """Null and NaN become 0, then values are clipped to lo..hi."""
+    v = F.coalesce(F.nanvl(F.col(value).cast("double"), F.lit(0.0)), F.lit(0.0))
+    return gray.withColumn(value, F.least(F.greatest(v, F.lit(float(lo))), F.lit(float(hi))))
+
+
 def mode_in_band(gray: DataFrame, low: int = 100, high: int = 254, value: str = "v") -> DataFrame:
     """(scan_id, z, mode): the most frequent level of low..high, the lowest of ties, 0 without any."""
     inside = F.when(F.col("v").between(low, high), F.struct("n", (-F.col("v")).alias("v")))

@@ -1,4 +1,4 @@
-"""python -m stackgrain.plans.cli CONFIG ROOT [--scan-dir DIR] [--scan-id ID]"""
+"""python -m stackgrain.plans.cli CONFIG ROOT [--scan-dir DIR] [--scan-id ID] [--until STAGE] [--export FOLDER]"""
 
 from __future__ import annotations
 
@@ -16,14 +16,20 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--scan-dir")
     p.add_argument("--scan-id")
     p.add_argument("--check", action="store_true", help="check the configuration and name the stages only")
+    p.add_argument("--until", metavar="STAGE", help="the last stage to make")
+    p.add_argument("--export", metavar="FOLDER", help="also write the stages' slices as PNG files below this mounted folder")
+    p.add_argument("--overwrite", action="store_true", help="replace exported files that are there")
     a = p.parse_args(args)
     c = config.parse(config.load(a.config), a.scan_dir, a.scan_id)
     if a.check:
         print(c)
         print("stages:", ", ".join(pipeline.planned(c)))
         return
-    out = pipeline.run(SparkSession.builder.appName("stackgrain").getOrCreate(), c, a.root)
-    out["psd"].where("Volume_Count > 0").orderBy("scan_id", "bin").show(100, truncate=False)
+    out = pipeline.run(SparkSession.builder.appName("stackgrain").getOrCreate(), c, a.root, until=a.until)
+    if a.export:
+        print("exported:", ", ".join(pipeline.export(out, a.export, a.overwrite)))
+    if "psd" in out:
+        out["psd"].where("Volume_Count > 0").orderBy("scan_id", "bin").show(100, truncate=False)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+import warnings
+from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,11 +67,9 @@ def planned(config: Config) -> list[str]:
     return ["gray", *["preprocessed"] * config.preprocessing, "labels", *["stability"] * config.z_stability, "binary", "psd"]
 
 
-def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All stages by name. gray: voxels (scan_id, z, y, x, v) in place of the scan's folder, 8-bit unless a column dtype
-    names another kind. Slices that cannot be read fail the first stage, unless skip_damaged is set."""
+def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | None = None) -> Iterator[tuple[str, DataFrame]]:
+    """(name, table) of each stage, made when it is asked for."""
     store = Store(spark, root, config)
-    out: dict[str, DataFrame] = {}
 
     def raw() -> DataFrame:
         if gray is not None:
@@ -86,28 +85,71 @@ def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None =
         v = F.col("v").cast("double") if kinds[0].startswith("float") else F.col("v").cast("long")
         return stack.voxels(slices).withColumn("v", v).withColumn("dtype", F.lit(kinds[0]))
 
-    out["gray"] = store.stage("gray", ("scan_dir", "scan_id", "extensions", "skip_damaged"), raw)
-    image, kind = out["gray"], "uint8"
+    image, kind = store.stage("gray", ("scan_dir", "scan_id", "extensions", "skip_damaged"), raw), "uint8"
+    yield "gray", image
     if "dtype" in image.columns:
         first = image.select("dtype").first()
         image, kind = image.drop("dtype"), first[0] if first else kind
     if config.preprocessing:
-        out["preprocessed"] = store.stage(
+        read, was = image, kind
+        image = store.stage(
             "preprocessed", ("preprocessing",),
-            lambda: filters.preprocess(intensity.norm200(image, kind).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
+            lambda: filters.preprocess(intensity.norm200(read, was).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
         )
-        image, kind = out["preprocessed"], "uint8"
-    out["labels"] = labels = store.stage("labels", ("n_classes",), lambda: segment_volume(intensity.as_grey(image, kind), config))
+        kind = "uint8"
+        yield "preprocessed", image
+    labels = store.stage("labels", ("n_classes",), lambda: segment_volume(intensity.as_grey(image, kind), config))
+    yield "labels", labels
     final = labels
     if config.z_stability:
-        out["stability"] = store.stage("stability", ("short", "long", "target", "conservative", "aggressive"), lambda: stabilise(labels, config))
+        stable = store.stage("stability", ("short", "long", "target", "conservative", "aggressive"), lambda: stabilise(labels, config))
+        yield "stability", stable
         if config.variant != "original":
-            final = out["stability"].select(*KEY, F.col(config.variant).alias("label"))
-    out["binary"] = volume = store.stage("binary", ("variant", "z_stability"), lambda: binary.collapse(final))
+            final = stable.select(*KEY, F.col(config.variant).alias("label"))
+    elif config.variant != "original":
+        warnings.warn(f"no stage z_stability: its {config.variant} labels are replaced by those of the segmentation", stacklevel=2)
+    volume = store.stage("binary", ("variant", "z_stability"), lambda: binary.collapse(final))
+    yield "binary", volume
     edges = list(config.edges_um) if config.edges_um else None
-    out["psd"] = store.stage(
+    sizes = store.stage(
         "psd", ("spacing", "border_width", "min_reliable", "edges_um"),
         lambda: psd.compute_psd(volume, config.spacing, edges, config.border_width, config.min_reliable),
     )
-    psd_table.save(out["psd"], f"{store.root}/psd_tables", list(config.formats), config.metadata | {"scan_id": config.scan_id})
+    psd_table.save(sizes, f"{store.root}/psd_tables", list(config.formats), config.metadata | {"scan_id": config.scan_id})
+    yield "psd", sizes
+
+
+def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None = None, until: str | None = None) -> dict[str, DataFrame]:
+    """All stages by name, or those up to one. gray: voxels (scan_id, z, y, x, v) in place of the scan's folder, 8-bit
+    unless a column dtype names another kind. Slices that cannot be read fail the first stage, unless skip_damaged is
+    set. Without the stage z_stability its variants fall back to the labels of the segmentation, with a warning."""
+    if until and until not in planned(config):
+        raise ValueError(f"no stage {until} among {', '.join(planned(config))}")
+    out = {}
+    for name, made in stages(spark, config, root, gray):
+        out[name] = made
+        if name == until:
+            break
     return out
+
+
+def export(out: dict[str, DataFrame], folder: str, overwrite: bool = False) -> list[str]:
+    """Writes the slices of the stages as PNG files in folders of their own under a mounted folder, and returns their
+    names. Files that are there stay, unless overwrite is set."""
+    files: dict[str, DataFrame] = {}
+    if "preprocessed" in out:
+        files["preprocessed"] = stack.slices_of(out["preprocessed"], "v", name="slice_%06d_clahe61_med5")
+    if "labels" in out:
+        masks = otsu.class_masks(out["labels"].withColumn("class", F.col("label")))
+        files["classmap"] = stack.slices_of(out["labels"], "label", name="slice_%06d_classmap")
+        files |= {"mask0": stack.slices_of(masks, "pores0", name="slice_%06d_mask0"), "mask01": stack.slices_of(masks, "pores01", name="slice_%06d_mask01")}
+    if "stability" in out:
+        for name in ("conservative", "aggressive"):
+            files[f"mask_{name}"] = stack.slices_of(binary.encode_labels(out["stability"], name), name)
+    if "binary" in out:
+        shade = lambda c: F.when(c, 255).otherwise(0)
+        both = out["binary"].withColumns({"pores": shade(F.col("is_pore")), "solids": shade(~F.col("is_pore"))})
+        files |= {f"binary_{c}": stack.slices_of(both, c) for c in ("pores", "solids")}
+    for name, slices in files.items():
+        stack.write_slices(slices, f"{folder.rstrip('/')}/{name}", overwrite)
+    return [*files]

@@ -17,12 +17,17 @@ EXTENSIONS = ("png", "tif", "tiff", "npy")  # what the codecs read
 SLICES = "scan_id string, z long, path string, height long, width long, dtype string, data binary, problem string"
 
 
-def list_slices(spark: SparkSession, path: str, extensions=("png", "tif", "tiff", "npy"), number: str | None = None) -> DataFrame:
-    """(scan_id, z, path): files of a folder with one of the extensions, whatever their case.
+def _folders(path: str | list[str]) -> list[str]:
+    """One folder or several, each once, in the order of their first mention."""
+    return [*dict.fromkeys(p.rstrip("/") or "/" for p in ([path] if isinstance(path, str) else path))]
+
+
+def list_slices(spark: SparkSession, path: str | list[str], extensions=("png", "tif", "tiff", "npy"), number: str | None = None) -> DataFrame:
+    """(scan_id, z, path): files of a folder, or of several, with one of the extensions, whatever their case.
 
     scan_id is the folder's name. z is the rank of the path, or with a pattern the number that its first group finds;
     files without it are left out. A folder without such files fails."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(path).select("path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(_folders(path)).select("path")
     kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     found = files.where(kind.isin(*(e.lower().lstrip(".") for e in extensions)))
     scan = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("scan_id")
@@ -37,14 +42,14 @@ def list_slices(spark: SparkSession, path: str, extensions=("png", "tif", "tiff"
     return found
 
 
-def read_stack(spark: SparkSession, path: str, extensions=("png", "tif", "tiff", "npy"), number: str | None = None, channel: str = "first") -> DataFrame:
+def read_stack(spark: SparkSession, path: str | list[str], extensions=("png", "tif", "tiff", "npy"), number: str | None = None, channel: str = "first") -> DataFrame:
     """Decoded slices (scan_id, z, path, height, width, dtype, data, problem).
 
     Spark's binaryFile source reads the files, so any store that it knows will do. A file may hold several slices (pages
     of a TIFF, a volume in NPY): they follow one another, and the files after them are counted on. channel: first, or
     mean, of slices with several. A file that cannot be decoded keeps its row, with problem set and no data."""
     listed = list_slices(spark, path, extensions, number)
-    content = spark.read.format("binaryFile").load(path).select("path", "content")
+    content = spark.read.format("binaryFile").load(_folders(path)).select("path", "content")
     if number is None and {e.lower().lstrip(".") for e in extensions} & {"tif", "tiff", "npy"}:
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,8 +102,8 @@ def voxels(slices: DataFrame, value: str = "v") -> DataFrame:
     return good.mapInArrow(run, f"scan_id string, z long, y long, x long, {value} double")
 
 
-def slices_of(df: DataFrame, value: str, dtype: str = "uint8", file_format: str = "png") -> DataFrame:
-    """(scan_id, z, name, content): each slice of voxels encoded as a file."""
+def slices_of(df: DataFrame, value: str, dtype: str = "uint8", file_format: str = "png", name: str = "slice_%06d") -> DataFrame:
+    """(scan_id, z, name, content): each slice of voxels encoded as a file. name: a pattern for z, without the suffix."""
     encode = {"png": codecs.png_encode, "tif": codecs.tiff_encode, "npy": codecs.npy_encode}[file_format]
     scan_kind = dict(df.dtypes)["scan_id"]
 
@@ -107,11 +112,28 @@ def slices_of(df: DataFrame, value: str, dtype: str = "uint8", file_format: str
         a = np.zeros((y.max() + 1, x.max() + 1), dtype)
         a[y, x] = t.column(value).to_numpy()
         z = t.column("z")[0].as_py()
-        return pa.table({"scan_id": t.column("scan_id")[:1], "z": pa.array([z], pa.int64()), "name": [f"slice_{z:06d}.{file_format}"], "content": pa.array([encode(a)], pa.binary())})
+        return pa.table({"scan_id": t.column("scan_id")[:1], "z": pa.array([z], pa.int64()), "name": [f"{name % z}.{file_format}"], "content": pa.array([encode(a)], pa.binary())})
 
     return df.select("scan_id", "z", "y", "x", value).groupBy("scan_id", "z").applyInArrow(run, f"scan_id {scan_kind}, z long, name string, content binary")
 
 
+def grey8_as_png(slices: DataFrame) -> DataFrame:
+    """(scan_id, z, name, content): decoded 8-bit slices as PNG under their own names, values as they are. Slices of other
+    kinds give no row; ``pending`` names them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = zip(batch.column("height").to_pylist(), batch.column("width").to_pylist(), batch.column("data").to_pylist(), strict=True)
+            files = [codecs.png_encode(np.frombuffer(data, np.uint8).reshape(h, w)) for h, w, data in shapes]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("scan_id", "z", "name")), pa.array(files, pa.binary())], names=["scan_id", "z", "name", "content"])
+
+    stem = F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)
+    pages = F.count("*").over(Window.partitionBy("path"))
+    plain = slices.where("problem is null and dtype = 'uint8'")
+    named = plain.withColumn("name", F.concat(stem, F.when(pages > 1, F.concat(F.lit("_"), F.lpad(F.col("z").cast("string"), 4, "0"))).otherwise(""), F.lit(".png")))
+    return named.select("scan_id", "z", "name", "height", "width", "data").mapInArrow(run, "scan_id string, z long, name string, content binary")
+
+
 class _Writer(DataSourceArrowWriter):
     """Writes (name, content) rows under a mounted folder; each file appears whole, under its name, or not at all."""
 

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stackgrain.operators import intensity
 from stackgrain.plans import catalogue, config, pipeline
 from stackgrain.sources import codecs, psd_table, stack
 from stackgrain.streaming.slices import segment_stream
@@ -174,6 +175,54 @@ def test_files_to_distribution(spark, tmp_path, kind, preprocessing):
         assert len(ball & pores) > 0.8 * len(ball)  # a value equal to a threshold goes up
 
 
+def test_stages_alone_fallback_and_export(spark, tmp_path):
+    gray = volume(spark, np.random.default_rng(6).integers(0, 256, (3, 8, 8)))
+    raw = config.merge(RAW, {"stages": {"z_stability": {"enabled": False}}})
+    c = config.parse(raw)
+    assert [*pipeline.run(spark, c, str(tmp_path / "out"), gray, until="labels")] == ["gray", "labels"]
+    with pytest.raises(ValueError, match="no stage"):
+        pipeline.run(spark, c, str(tmp_path / "out"), gray, until="stability")
+    with pytest.warns(UserWarning, match="replaced by those of the segmentation"):
+        out = pipeline.run(spark, c, str(tmp_path / "out"), gray, until="binary")
+    place = tmp_path / "files"
+    made = pipeline.export(out, str(place))
+    assert made == ["classmap", "mask0", "mask01", "binary_pores", "binary_solids"] and all(len([*(place / m).iterdir()]) == 3 for m in made)
+    read = lambda m: {(r.z, r.y, r.x): int(r.v) for r in stack.voxels(stack.read_stack(spark, str(place / m), ("png",))).collect()}
+    labels = {(r.z, r.y, r.x): r.label for r in out["labels"].collect()}
+    assert read("classmap") == labels
+    pores, solids = read("binary_pores"), read("binary_solids")
+    assert pores == {k: 255 * (v == 0) for k, v in labels.items()} == read("mask0") and all(pores[k] + solids[k] == 255 for k in pores)
+    first = place / "mask0" / "slice_000000_mask0.png"
+    first.write_bytes(b"kept")
+    pipeline.export(out, str(place))
+    assert first.read_bytes() == b"kept"
+    pipeline.export(out, str(place), overwrite=True)
+    assert first.read_bytes() != b"kept"
+
+
+def test_folders_and_conversion(spark, tmp_path):
+    a = np.random.default_rng(9).integers(0, 256, (2, 3, 4)).astype(np.uint8)
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.tif").write_bytes(codecs.tiff_encode([*a]))
+        (tmp_path / name / "b.tif").write_bytes(codecs.tiff_encode(a[0].astype(np.uint16)))
+    slices = stack.read_stack(spark, [str(tmp_path / n) for n in ("one", "two", "one/")])
+    assert slices.groupBy("scan_id").count().collect() and {(r.scan_id, r.z) for r in slices.collect()} == {(s, z) for s in ("one", "two") for z in range(3)}
+    files = {(r.scan_id, r.name): codecs.slices(r.content) for r in stack.grey8_as_png(slices).collect()}
+    assert {n for _, n in files} == {"a_0000.png", "a_0001.png"} and len(files) == 4
+    assert all(np.array_equal([*v][0], a[int(n[2:6])]) for (_, n), v in files.items())
+
+
+def test_shades_and_finite(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("s", 0, 2.0), ("s", 1, 4.0), ("s", 2, 3.0), ("s", 3, nan), ("s", 4, None), ("t", 0, 5.0)], "scan_id string, x int, v double")
+    got = lambda d, c: [r[0] for r in d.orderBy("scan_id", "x").select(c).collect()]
+    assert got(intensity.shades(df, "v"), "shade") == [0, 255, 127, None, None, 0]
+    assert got(intensity.shades(df, "v", 0, 3), "shade") == [170, 255, 255, None, None, 255]
+    assert got(intensity.finite(df, 0, 3.5), "v") == [2.0, 3.5, 3.0, 0.0, 0.0, 3.5]
+    assert intensity.shades(df.limit(0), "v").count() == 0
+
+
 def test_damaged_slices_stop_the_pipeline(spark, tmp_path):
     place = tmp_path / "scan"
     place.mkdir()
