@@ -53,22 +53,33 @@ def line_numbers(rows: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.cumsum(new)
 
 
+#: Rows that are gathered before a kernel over lines is called, unless a single line has more.
+ROWS = 1 << 17
+
+
 def whole_lines(df: DataFrame, keys: list[str], kernel: Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
     """kernel gets rows of whole lines (rows with equal keys, in no order inside a line) with their line numbers, and
-    returns rows of the schema. About one Arrow batch is held at a time, or the longest line if that is larger."""
+    returns rows of the schema. About ROWS rows are held at a time, or the longest line if that is larger."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, wait, size = None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = batch if held is None else pa.concat_batches([held, batch])
+            wait.append(batch)
+            size += batch.num_rows
+            if size < ROWS:
+                continue
+            rows = pa.concat_batches(wait if held is None else [held, *wait])
+            held, wait, size = None, [], 0
             line = line_numbers(rows, keys)
             cut = int(np.searchsorted(line, line[-1]))  # the last line may go on
             if cut:
                 yield kernel(rows.slice(0, cut), line[:cut])
             held = rows.slice(cut)
-        if held is not None:
-            yield kernel(held, np.zeros(held.num_rows, np.int64))
+        rest = wait if held is None else [held, *wait]
+        if rest:
+            rows = pa.concat_batches(rest)
+            yield kernel(rows, line_numbers(rows, keys))
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -18,6 +18,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--check", action="store_true", help="check the configuration and name the stages only")
     p.add_argument("--until", metavar="STAGE", help="the last stage to make")
     p.add_argument("--export", metavar="FOLDER", help="also write the stages' slices as PNG files below this mounted folder")
+    p.add_argument("--volumes", choices=("npy", "tif"), help="export one file a scan in place of slices")
     p.add_argument("--overwrite", action="store_true", help="replace exported files that are there")
     a = p.parse_args(args)
     c = config.parse(config.load(a.config), a.scan_dir, a.scan_id)
@@ -27,7 +28,7 @@ def main(args: list[str] | None = None) -> None:
         return
     out = pipeline.run(SparkSession.builder.appName("stackgrain").getOrCreate(), c, a.root, until=a.until)
     if a.export:
-        print("exported:", ", ".join(pipeline.export(out, a.export, a.overwrite)))
+        print("exported:", ", ".join(pipeline.export(out, a.export, a.overwrite, a.volumes)))
     if "psd" in out:
         out["psd"].where("Volume_Count > 0").orderBy("scan_id", "bin").show(100, truncate=False)
 

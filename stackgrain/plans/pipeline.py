@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackgrain.operators import binary, components, correct, filters, intensity, otsu, psd, zmetrics
-from stackgrain.sources import psd_table, stack
+from stackgrain.sources import psd_table, stack, volume
 
 from .config import Config
 
@@ -74,7 +74,7 @@ def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | Non
     def raw() -> DataFrame:
         if gray is not None:
             return gray
-        slices = stack.read_stack(spark, config.scan_dir, config.extensions)
+        slices = volume.read_volumes(spark, config.scan_dir) if config.by_ranges else stack.read_stack(spark, config.scan_dir, config.extensions)
         state = slices.groupBy("dtype").agg(F.count("problem").alias("broken"), F.first("path").alias("path"), F.first("problem").alias("problem")).collect()
         broken = [r for r in state if r["broken"]]
         if broken and not config.skip_damaged:
@@ -85,7 +85,7 @@ def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | Non
         v = F.col("v").cast("double") if kinds[0].startswith("float") else F.col("v").cast("long")
         return stack.voxels(slices).withColumn("v", v).withColumn("dtype", F.lit(kinds[0]))
 
-    image, kind = store.stage("gray", ("scan_dir", "scan_id", "extensions", "skip_damaged"), raw), "uint8"
+    image, kind = store.stage("gray", ("scan_dir", "scan_id", "extensions", "skip_damaged", "by_ranges"), raw), "uint8"
     yield "gray", image
     if "dtype" in image.columns:
         first = image.select("dtype").first()
@@ -108,12 +108,12 @@ def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | Non
             final = stable.select(*KEY, F.col(config.variant).alias("label"))
     elif config.variant != "original":
         warnings.warn(f"no stage z_stability: its {config.variant} labels are replaced by those of the segmentation", stacklevel=2)
-    volume = store.stage("binary", ("variant", "z_stability"), lambda: binary.collapse(final))
-    yield "binary", volume
+    pores = store.stage("binary", ("variant", "z_stability"), lambda: binary.collapse(final))
+    yield "binary", pores
     edges = list(config.edges_um) if config.edges_um else None
     sizes = store.stage(
         "psd", ("spacing", "border_width", "min_reliable", "edges_um"),
-        lambda: psd.compute_psd(volume, config.spacing, edges, config.border_width, config.min_reliable),
+        lambda: psd.compute_psd(pores, config.spacing, edges, config.border_width, config.min_reliable),
     )
     psd_table.save(sizes, f"{store.root}/psd_tables", list(config.formats), config.metadata | {"scan_id": config.scan_id})
     yield "psd", sizes
@@ -133,23 +133,32 @@ def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None =
     return out
 
 
-def export(out: dict[str, DataFrame], folder: str, overwrite: bool = False) -> list[str]:
-    """Writes the slices of the stages as PNG files in folders of their own under a mounted folder, and returns their
-    names. Files that are there stay, unless overwrite is set."""
-    files: dict[str, DataFrame] = {}
+def maps_of(out: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
+    """(voxels, column, pattern of slice names) of each map of 8-bit levels that the stages hold, by its name."""
+    maps: dict[str, tuple[DataFrame, str, str]] = {}
+    plain = "slice_%06d"
     if "preprocessed" in out:
-        files["preprocessed"] = stack.slices_of(out["preprocessed"], "v", name="slice_%06d_clahe61_med5")
+        maps["preprocessed"] = out["preprocessed"], "v", "slice_%06d_clahe61_med5"
     if "labels" in out:
         masks = otsu.class_masks(out["labels"].withColumn("class", F.col("label")))
-        files["classmap"] = stack.slices_of(out["labels"], "label", name="slice_%06d_classmap")
-        files |= {"mask0": stack.slices_of(masks, "pores0", name="slice_%06d_mask0"), "mask01": stack.slices_of(masks, "pores01", name="slice_%06d_mask01")}
+        maps |= {"classmap": (out["labels"], "label", "slice_%06d_classmap"), "mask0": (masks, "pores0", "slice_%06d_mask0"), "mask01": (masks, "pores01", "slice_%06d_mask01")}
     if "stability" in out:
-        for name in ("conservative", "aggressive"):
-            files[f"mask_{name}"] = stack.slices_of(binary.encode_labels(out["stability"], name), name)
+        maps |= {f"mask_{n}": (binary.encode_labels(out["stability"], n), n, plain) for n in ("conservative", "aggressive")}
     if "binary" in out:
         shade = lambda c: F.when(c, 255).otherwise(0)
         both = out["binary"].withColumns({"pores": shade(F.col("is_pore")), "solids": shade(~F.col("is_pore"))})
-        files |= {f"binary_{c}": stack.slices_of(both, c) for c in ("pores", "solids")}
-    for name, slices in files.items():
-        stack.write_slices(slices, f"{folder.rstrip('/')}/{name}", overwrite)
-    return [*files]
+        maps |= {f"binary_{c}": (both, c, plain) for c in ("pores", "solids")}
+    return maps
+
+
+def export(out: dict[str, DataFrame], folder: str, overwrite: bool = False, volumes: str | None = None) -> list[str]:
+    """Writes the maps of the stages in folders of their own under a mounted folder, and returns their names: a PNG a
+    slice, or with volumes (npy or tif) one file a scan. PNG files that are there stay, unless overwrite is set."""
+    maps = maps_of(out)
+    for name, (voxels, column, pattern) in maps.items():
+        place = f"{folder.rstrip('/')}/{name}"
+        if volumes:
+            volume.write_volumes(volume.planes(voxels, column), place, volumes)
+        else:
+            stack.write_slices(stack.slices_of(voxels, column, name=pattern), place, overwrite)
+    return [*maps]

@@ -1,4 +1,4 @@
-"""Slices as bytes: PNG, baseline TIFF and NPY, in numpy and zlib."""
+"""Slices as bytes: PNG, TIFF and NPY, in numpy and zlib."""
 
 from __future__ import annotations
 
@@ -8,12 +8,11 @@ import zlib
 
 import numpy as np
 
-# Signatures, and the numbers that the TIFF format gives to its tags and types.
+from . import tiff
+
+# The signature, and the channels of PNG's colour types.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 PNG_CHANNELS = {0: 1, 2: 3, 4: 2, 6: 4}
-TIFF_TYPES = {1: "B", 3: "H", 4: "I"}
-WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_SIZES, PLANAR, PREDICTOR, SAMPLE_FORMAT = (
-    256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317, 339)
 
 
 def png_encode(a: np.ndarray) -> bytes:
@@ -83,62 +82,12 @@ def png_decode(data: bytes) -> np.ndarray:
 
 def tiff_encode(pages: list[np.ndarray] | np.ndarray, compress: bool = True) -> bytes:
     """One grey page, or several as a multi-page file; 8 or 16 bit or 32-bit float."""
-    pages = [pages] if isinstance(pages, np.ndarray) and pages.ndim == 2 else list(pages)
-    out = bytearray(b"II*\0\0\0\0\0")
-    link = 4
-    for a in pages:
-        if a.ndim != 2 or a.dtype not in (np.uint8, np.uint16, np.float32):
-            raise TypeError(f"cannot write {a.dtype} {a.shape} as TIFF")
-        raw = np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes()
-        raw = zlib.compress(raw) if compress else raw
-        start = len(out)
-        out += raw + b"\0" * (len(raw) % 2)
-        tags = {WIDTH: a.shape[1], HEIGHT: a.shape[0], BITS: 8 * a.dtype.itemsize, COMPRESSION: 8 if compress else 1, PHOTOMETRIC: 1,
-                STRIP_OFFSETS: start, SAMPLES: 1, ROWS_PER_STRIP: a.shape[0], STRIP_SIZES: len(raw), PLANAR: 1,
-                SAMPLE_FORMAT: 3 if a.dtype == np.float32 else 1}
-        struct.pack_into("<I", out, link, len(out))
-        out += struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", k, 4, 1, v) for k, v in sorted(tags.items()))
-        link = len(out)
-        out += b"\0\0\0\0"
-    return bytes(out)
+    return tiff.encode([pages] if isinstance(pages, np.ndarray) and pages.ndim == 2 else list(pages), compress)
 
 
 def tiff_pages(data: bytes) -> list[np.ndarray]:
-    """All pages of a baseline TIFF: plain or deflated strips, with or without horizontal differencing."""
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
-        raise ValueError("not a TIFF")
-    (at,) = struct.unpack_from(order + "I", data, 4)
-    pages = []
-    while at:
-        (n,) = struct.unpack_from(order + "H", data, at)
-        tags = {}
-        for k in range(n):
-            tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-            if kind in TIFF_TYPES:
-                form = order + str(count) + TIFF_TYPES[kind]
-                place = at + 10 + 12 * k
-                if struct.calcsize(form) > 4:
-                    (place,) = struct.unpack_from(order + "I", data, place)
-                tags[tag] = struct.unpack_from(form, data, place)
-        (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * n)
-        pages.append(_page(data, tags, order))
-    return pages
-
-
-def _page(data: bytes, tags: dict, order: str) -> np.ndarray:
-    one = lambda tag, other=1: tags.get(tag, (other,))[0]
-    how, samples, bits = one(COMPRESSION), one(SAMPLES), one(BITS)
-    kind = {(8, 1): "u1", (16, 1): "u2", (32, 3): "f4"}.get((bits, one(SAMPLE_FORMAT)))
-    if kind is None or how not in (1, 8, 32946) or one(PLANAR) != 1:
-        raise ValueError(f"unsupported TIFF: {bits} bits, compression {how}")
-    strips = [data[s : s + n] for s, n in zip(tags[STRIP_OFFSETS], tags[STRIP_SIZES], strict=True)]
-    raw = b"".join(s if how == 1 else zlib.decompress(s) for s in strips)
-    a = np.frombuffer(raw, np.dtype(kind).newbyteorder(order)).reshape(one(HEIGHT), one(WIDTH), samples)
-    a = a.astype(np.dtype(kind))
-    if one(PREDICTOR) == 2:
-        a = a.cumsum(axis=1, dtype=a.dtype)
-    return a[:, :, 0] if samples == 1 else a
+    """All pages of a TIFF that lies in memory."""
+    return list(tiff.pages(tiff.bytes_of(data)))
 
 
 def npy_encode(a: np.ndarray) -> bytes:
@@ -178,13 +127,6 @@ def slice_count(data: bytes) -> int:
             version = np.lib.format.read_magic(head)
             shape = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(head)[0]
             return shape[0] if len(shape) == 3 else 1
-        order = {b"II": "<", b"MM": ">"}.get(data[:2])
-        if order is None:
-            return 1
-        n, (at,) = 0, struct.unpack_from(order + "I", data, 4)
-        while at:
-            n += 1
-            (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * struct.unpack_from(order + "H", data, at)[0])
-        return max(1, n)
+        return max(1, sum(1 for _ in tiff.directories(tiff.bytes_of(data))))
     except (ValueError, struct.error):
         return 1

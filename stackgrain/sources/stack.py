@@ -72,7 +72,7 @@ def read_stack(spark: SparkSession, path: str | list[str], extensions=("png", "t
                         if a.ndim != 2:
                             raise ValueError(f"a slice of {a.ndim} dimensions")
                         a = a.astype(np.uint8) if a.dtype == np.bool_ else a
-                        rows.append((scan, z + k, name, *a.shape, str(a.dtype), np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes(), None))
+                        rows.append((scan, z + k, name, *a.shape, a.dtype.newbyteorder("=").name, np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes(), None))
                 except (ValueError, TypeError, KeyError, IndexError, OSError) as e:
                     rows = [(scan, z, name, None, None, None, None, f"{type(e).__name__}: {e}")]
                 for row in rows:

@@ -146,7 +146,7 @@ def blob(side=12):
     return np.clip(f + np.random.default_rng(8).normal(0, 0.02, f.shape), 0, 1)
 
 
-@pytest.mark.parametrize("kind", ["uint16 slices", "npy volume", "tiff pages", "two files of pages"])
+@pytest.mark.parametrize("kind", ["uint16 slices", "npy volume", "npy by ranges", "tiff pages", "two files of pages"])
 @pytest.mark.parametrize("preprocessing", [True, False])
 def test_files_to_distribution(spark, tmp_path, kind, preprocessing):
     a = (blob() * 65535).astype(np.uint16)
@@ -155,14 +155,14 @@ def test_files_to_distribution(spark, tmp_path, kind, preprocessing):
     if kind == "uint16 slices":
         for z, page in enumerate(a):
             (place / f"s{z:03d}.png").write_bytes(codecs.png_encode(page))
-    elif kind == "npy volume":
+    elif kind.startswith("npy"):
         (place / "volume.npy").write_bytes(codecs.npy_encode(a))
     else:
         cut = 12 if kind == "tiff pages" else 5
         (place / "a.tif").write_bytes(codecs.tiff_encode([*a[:cut]]))
         if cut < 12:
             (place / "b.tif").write_bytes(codecs.tiff_encode([*a[cut:]]))
-    stages = {"preprocessing": {"enabled": preprocessing}, "segmentation": {"n_classes": 2}, "z_stability": {"enabled": False}, "binary_builder": {"mask_variant": "original"}}
+    stages = {"preprocessing": {"enabled": preprocessing, "by_ranges": "ranges" in kind}, "segmentation": {"n_classes": 2}, "z_stability": {"enabled": False}, "binary_builder": {"mask_variant": "original"}}
     c = config.parse({"scan_dir": str(place), "stages": RAW["stages"] | stages})
     out = pipeline.run(spark, c, str(tmp_path / "out"))
     assert set(out) == set(pipeline.planned(c))
@@ -192,6 +192,9 @@ def test_stages_alone_fallback_and_export(spark, tmp_path):
     assert read("classmap") == labels
     pores, solids = read("binary_pores"), read("binary_solids")
     assert pores == {k: 255 * (v == 0) for k, v in labels.items()} == read("mask0") and all(pores[k] + solids[k] == 255 for k in pores)
+    pipeline.export(out, str(tmp_path / "volumes"), volumes="npy")
+    (whole,) = (np.load(f) for f in (tmp_path / "volumes" / "classmap").iterdir())
+    assert {i: int(whole[i]) for i in np.ndindex(whole.shape)} == labels and whole.dtype == np.uint8
     first = place / "mask0" / "slice_000000_mask0.png"
     first.write_bytes(b"kept")
     pipeline.export(out, str(place))

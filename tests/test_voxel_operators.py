@@ -336,3 +336,44 @@ def test_unbeaten_balls():
     whole, parts = (opening.along(line, at, k, k * k, low, high, most) for most in (1 << 20, 1))
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
     assert all(len(a) == 0 for a in opening.along(*(a[:0] for a in (line, at, k, k, low, high))))
+
+
+@pytest.mark.parametrize("weight", [1, 2.25])
+def test_least_along_lines_of_every_kind(weight):
+    r = np.random.default_rng(4)
+    for k in range(120):
+        lines, n = r.integers(1, 9), r.integers(1, 70)
+        g = r.integers(0, r.choice([3, 50, 5000]), (lines, n)) ** (1 + k % 2)
+        g[r.random(g.shape) < r.random()] = edt.FAR
+        g = g if weight == 1 else np.where(g < edt.FAR, g * 0.7, edt.FAR)
+        i = np.arange(n)
+        want = np.minimum((g[:, None, :] + weight * (i[:, None] - i) ** 2).min(axis=2), edt.FAR)
+        got = np.minimum(edt.least_along(g, weight), edt.FAR)
+        assert (got == want).all() if weight == 1 else np.allclose(got, want, rtol=1e-12)
+        near = (g < edt.FAR).any(axis=1)
+        assert np.allclose(edt.lower_envelope(g[near], weight), want[near], rtol=0 if weight == 1 else 1e-12)
+
+
+def test_one_far_cell_costs_one_line():
+    import time
+
+    g = np.random.default_rng(5).integers(0, 20, (1000, 2000))
+    seconds = []
+    for far in (False, True):
+        g[0] = edt.FAR if far else 3
+        g[0, 0] = 0
+        start = time.process_time()
+        edt.least_along(g)
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 20 * seconds[0] + 1  # once a hundred times
+
+
+def test_distances_of_long_lines_and_scans_without_solid(spark):
+    r = np.random.default_rng(6)
+    cells = {(s, z, y, x): bool(r.random() < 0.997) or s == 2 for s in (1, 2) for z in range(3) for y in range(12) for x in range(90)}
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "scan_id long, z long, y long, x long, is_pore boolean")
+    solid = np.array([k[1:] for k, v in cells.items() if k[0] == 1 and not v])
+    got = {(row.scan_id, row.z, row.y, row.x): row.edt2 for row in edt.edt(df).collect()}
+    for k, v in got.items():
+        assert v == (None if k[0] == 2 else int(((solid - k[1:]) ** 2).sum(axis=1).min()))
+    assert got.keys() == cells.keys()
