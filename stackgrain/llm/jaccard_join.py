@@ -17,11 +17,12 @@ are then verified exactly on their sets of 64-bit shingle hashes.
 Texts with equal sets form one class beforehand. Within a block that several classes share, members are not paired
 with each other: in each round every class is compared with a few leaders of its blocks (first those that share most,
 then others by hash) that are not yet in its component, and components are formed anew; so a large group of near copies
-falls into few components in a number of pairs that grows with its size. Then every pair of a block that is still in
-different components, of fitting sizes and sketches, is compared once, at the least of the blocks that it shares, so
-that no component is split. The members of a large block are dealt to tiles, so that no task holds all of its pairs.
-Links are then counted inside the components, tile by tile, as products of 0/1 matrices of their shingles: no rows are
-made for pairs, but the arithmetic grows with the square of a component.
+falls into few components in a number of pairs that grows with its size. Then the pairs that still lie in different
+components, of fitting sizes and sketches, are compared, so that no component is split: all pairs of blocks of few rows, and in
+larger blocks those that share one of their rarest shingles, which all similar pairs do. A passage that many texts share
+fills large blocks, but is not among the rarest shingles of texts that are not similar.
+Where they are asked for, links are counted inside the components, tile by tile, as products of 0/1 matrices of their
+shingles: no rows are made for pairs, but the arithmetic grows with the square of a component.
 
 Null or empty text: an empty set, linked with nothing. Texts of fewer words than a shingle: the whole sequence is one
 shingle. Rows are known by the hash of their id and text, so rows with a repeated id and different texts are compared
@@ -243,18 +244,49 @@ def _tiled(rows: DataFrame, group: str, slots: Column, by: str) -> DataFrame:
     return own.withColumn("lo", F.least("slot", "other")).withColumn("hi", F.greatest("slot", "other")).drop("slots", "other")
 
 
-def _pairs_left(here: DataFrame, sets: DataFrame, percent: int, most: int = 512) -> DataFrame:
-    """(a, b): all pairs that share a block, lie in different components and may be similar by size and sketch, each at
-    the least of its shared blocks."""
-    keys = here.groupBy("fp").agg(F.collect_set("key").alias("keys"))  # a class has a bounded number of blocks
-    size = here.groupBy("key").agg(F.ceil(F.count("*") / most).alias("parts"))
-    rows = _tiled(here.select("key", "fp", "comp").join(size, "key"), "key", F.col("parts"), "fp").drop("parts")
-    full = stored(rows.join(keys, "fp").join(sets.drop("set"), "fp"), "full")
+def _pairs_left(here: DataFrame, sets: DataFrame, percent: int, most: int = 64) -> DataFrame:
+    """(a, b): pairs that share a block, lie in different components and may be similar by size and sketch. In blocks of
+    at most so many rows all pairs are made; rows of larger blocks meet by their rarest shingles."""
+    size = here.groupBy("key").agg(F.count("*").alias("m"))
+    rows = stored(here.join(size, "key").select("key", "fp", "comp", "m"), "sized")
+    light = sets.drop("set")
+    full = rows.where(F.col("m") <= most).select("key", "fp", "comp").join(light, "fp")
     a, b = _side("a", full), _side("b", full)
-    same = (a.a_key == b.b_key) & (a.a_lo == b.b_lo) & (a.a_hi == b.b_hi)
-    apart = (F.col("a_comp") < F.col("b_comp")) & ((F.col("a_lo") == F.col("a_hi")) | (F.col("a_slot") != F.col("b_slot")))
-    once = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("a_key")
-    return a.join(b, same & apart & sketches_fit("a", "b", percent) & once).select("a", "b")
+    few = a.join(b, (a.a_key == b.b_key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent))
+    hot = rows.where(F.col("m") > most).select("fp", "comp").distinct()
+    return few.select("a", "b").unionByName(_pairs_by_rare_shingles(hot, sets, percent)).distinct()
+
+
+def _pairs_by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of the classes (fp, comp) that share one of their rarest shingles, lie in different components and
+    may be similar by size and sketch.
+
+    Sets of n <= m shingles with a similarity of p per cent share at least 2 p / (100 + p) n and p m / 100. With shingles in
+    one order, rarest among these classes first, the first shingle that two sets share is then among the first n / 7 + 1
+    of the smaller and m / 4 + 1 of the larger one (for p = 75). So a passage that many texts share makes them meet only
+    where it leaves less than a seventh of a text its own, and such texts are similar and in one component by now."""
+    own = rows.join(sets.select("fp", "n", "set"), "fp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                s = np.frombuffer(batch.column("set")[i].as_buffer(), np.int64)
+                for at in range(0, len(s), 100_000):
+                    part = s[at : at + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), batch.column(c)[i].as_py())) for c in ("fp", "n")] + [pa.array(part)], names=["fp", "n", "h"])
+
+    shingle = own.select("fp", "n", "set").mapInArrow(run, "fp long, n long, h long")
+    often = shingle.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    met = shingle.join(often, "h")
+    mine = Window.partitionBy("fp")  # a set, which one task has made
+    place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "h"))  # after those that no other has
+    smaller = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    larger = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = met.withColumn("place", place).where(F.col("place") <= larger).select("fp", "h", (F.col("place") <= smaller).alias("early"))
+    first = stored(first.join(rows, "fp").join(sets.drop("set"), "fp"), "rare")
+    a, b = _side("a", first.where("early")), _side("b", first)
+    order = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
+    return a.join(b, (a.a_h == b.b_h) & order & (F.col("a_comp") != F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
 
 
 def common_counts(sets: list[np.ndarray], first: int, columns: int = 8192) -> np.ndarray:
@@ -369,32 +401,36 @@ def jaccard_components(
     overlap: int = 16,
     rounds: int = 2,
     leaders: int = 2,
+    count_links: bool = False,
 ) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, class_id, n_links.
+    """One row a document: doc_id, n_shingles, component_id, class_id and, with count_links, n_links.
 
     class_id is the smallest id of the texts with the same set, component_id that of all texts reachable by links.
-    n_links counts the other classes that its class is linked with. Similarities below 75 per cent are not supported: the
+    n_links counts the other classes that its class is linked with; the work for it grows with the square of a component. Similarities below 75 per cent are not supported: the
     bounds above are made for that. Classes and components that hold over a thousandth of all rows, a thousand at most,
     are dealt to parts of about that size in the joins on them."""
     summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
     classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("m"))
     least_hot = summary.count() // 1000 + 1
-    linked = labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp").join(degrees(sets, labels, percent), "fp", "left")
+    linked = labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp")
+    if count_links:
+        linked = linked.join(degrees(sets, labels, percent), "fp", "left")
+    links = ["n_links"] * count_links
     linked = stored(linked, "linked")
     least = stored(linked.groupBy("comp").agg(F.min("class_id").alias("component_id"), F.count("*").alias("m")), "least")
     own, least = _dealt(linked, least, "comp", F.xxhash64("fp"), least_hot)
-    linked = own.join(least, ["comp", "part"]).select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    linked = own.join(least, ["comp", "part"]).select("fp", "component_id", *links)
     alone = F.col("fp").isNull()
     # Rows without a set get a key of their own, so that they do not meet in one task.
     spread = F.coalesce("fp", F.xxhash64("doc_id", "row", F.lit("alone")))
-    by_class = classes.join(linked, "fp", "left").select(F.col("fp").alias("key"), "class_id", "component_id", "n_links", "m")
+    by_class = classes.join(linked, "fp", "left").select(F.col("fp").alias("key"), "class_id", "component_id", *links, "m")
     rows, by_class = _dealt(summary.select("doc_id", "n", "fp", "row", spread.alias("key")), by_class, "key", F.col("row"), least_hot)
     return (
         rows.join(by_class, ["key", "part"], "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component_id", "class_id")).alias("component_id"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.when(alone, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
+            *(F.when(alone, 0).otherwise(F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in links),
         )
     )
 

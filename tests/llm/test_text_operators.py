@@ -525,7 +525,7 @@ def test_jaccard_components(spark, hard, nothing):
 def test_every_link_is_counted(spark):
     group = prose(55, 60).split()  # of different near copies that all link, in more than one slot of a component
     docs = near_copies()[::2] + [(5000 + i, " ".join([*group[:-1], f"end{i}"])) for i in range(150)]
-    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), count_links=True).collect()}
     sets = {d: frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for d, w in ((d, words(t)) for d, t in docs)}
     distinct = set(sets.values())
     links = {s: sum(s != t and 4 * len(s & t) >= 3 * len(s | t) for t in distinct) for s in distinct}
@@ -539,10 +539,42 @@ def test_tiles_lose_no_pair(spark):
     _, sets, labels = jaccard_join.compare(df, "doc_id", "text", 5, 75, 64, 16, 1, 1)
     sizes = [rows(jaccard_join.degrees(sets, labels, 75, most), "fp", "n_links") for most in (7, 64, 512)]
     assert sizes[0] == sizes[1] == sizes[2]
+
+
+def links_of(docs):
+    """All pairs of different sets at or above the limit, as sets of fingerprints."""
+    sets = {jaccard_join.fingerprint(x): set(x.tolist()) for x in (jaccard_join.shingles(jaccard_join.WordHashes().of(words(t)), 5) for _, t in docs)}
+    return {(a, b) for a in sets for b in sets if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])}
+
+
+@pytest.mark.parametrize("most", [0, 3, 1000])
+def test_last_join_loses_no_link(spark, most):
+    """All classes in two blocks and in components of their own: blocks of every size find all links."""
+    group = prose(55, 60).split()
+    docs = [(i, " ".join([*group[: i % 30], f"own{i}", *group[i % 30 :]])) for i in range(40)] + near_copies()
+    docs += [(9000 + i, f"{prose(300, 50)} {prose(400 + i, n)}") for i, n in enumerate((5, 6, 9, 12, 14, 15, 16, 17, 18, 20, 25))]
+    _, sets, _ = jaccard_join.compare(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", 5, 75, 64, 16, 1, 1)
     fp = [r.fp for r in sets.select("fp").collect()]
     here = spark.createDataFrame([(k, f, f) for f in fp for k in (1, 2)], "key long, fp long, comp long")
-    every = [sorted(tuple(sorted(r)) for r in jaccard_join._pairs_left(here, sets, 75, most).collect()) for most in (7, 512)]
-    assert every[0] == every[1] and len(every[0]) == len(set(every[0]))
+    found = {tuple(sorted((r.a, r.b))) for r in jaccard_join._pairs_left(here, sets, 75, most).collect()}
+    want = {(a, b) for a, b in links_of(docs) if a in set(fp) and b in set(fp)}
+    assert want <= found and len(want) > 400
+
+
+def test_a_shared_passage_makes_no_pairs(spark):
+    """Texts that share 60 or 80 per cent of their words: the pairs of the last join grow with the texts at most."""
+    found = []
+    for n in (100, 400):
+        docs = [(i, f"{prose(1, 120)} {prose(100 + i, 80)}") for i in range(n)] + [(5000 + i, f"{prose(2, 160)} {prose(9000 + i, 40)}") for i in range(n)]
+        docs += [(10_000, f"{prose(1, 120)} {prose(100, 79)} another")]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        summary = jaccard_join.summarise(df.select("doc_id", jaccard_join._rows(df, "doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text")), 5, 64, 16)
+        met = jaccard_join.candidates(summary).withColumn("comp", F.col("fp")).cache()
+        _, sets, _ = jaccard_join.compare(df, "doc_id", "text", 5, 75, 64, 16, 0, 1)
+        found.append(jaccard_join._pairs_left(met, sets, 75).count())
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df).collect()}
+    assert got.pop(10_000) == 0 and all(k == v for k, v in got.items())
+    assert found[1] <= 4 * found[0] + 50 and found[1] < 2000
 
 
 def test_common_counts():
@@ -558,7 +590,7 @@ def test_repeated_and_missing_ids(spark):
     docs = [(1, prose(71, 60)), (1, a), (2, f"{a} three more words"), (None, f"{a} and here"), (None, prose(72, 60)), (None, f"{prose(72, 60)} so"), (3, f"{prose(72, 60)} so it"), (4, None), (4, "")]
     for order in (docs, docs[::-1]):
         df = spark.createDataFrame(order, "doc_id long, text string")
-        got = {(r.doc_id, r.n_shingles): (r.component_id, r.n_links) for r in jaccard_join.jaccard_components(df).collect()}
+        got = {(r.doc_id, r.n_shingles): (r.component_id, r.n_links) for r in jaccard_join.jaccard_components(df, count_links=True).collect()}
         assert got == {(1, 56): (1, 2), (2, 59): (1, 2), (None, 58): (1, 2), (None, 56): (3, 2), (None, 57): (3, 2), (3, 58): (3, 2), (4, 0): (4, 0)} | {(1, 56): got[1, 56]}
         kept = [(r.doc_id, r.text) for r in jaccard_join.drop_near_copies(df).collect()]
         assert sorted(kept, key=str) == sorted([(1, prose(71, 60)), (1, a), docs[6], (4, None), (4, "")], key=str)
