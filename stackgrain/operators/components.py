@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import per_slice
+from .slices import around as around_
+from .slices import once, per_slice, tile_of
+from .union import stars
 
 
 def label_components(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,8 +50,56 @@ def label_components(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
-def components(labels: DataFrame, target: int = 1) -> DataFrame:
-    """(scan_id, z, y, x, label, comp, comp_size); both null outside the target."""
+def _tile_components(labels: DataFrame, target: int, tile: int) -> DataFrame:
+    """(scan_id, z, y, x, label, node): node names a component inside one tile by its first pixel, (y << 32) + x, so that
+    nodes of a slice are ordered as their pixels are; null outside the target. Coordinates are not negative."""
+    kinds = dict(labels.dtypes)
+
+    def run(t: pa.Table) -> pa.Table:
+        y, x, label = (t.column(c).to_numpy() for c in ("y", "x", "label"))
+        top, left = y.min(), x.min()
+        mask = np.zeros((y.max() - top + 1, x.max() - left + 1), bool)
+        mask[y - top, x - left] = label == target
+        comp, _ = label_components(mask)
+        flat = comp.ravel()
+        number, first = np.unique(flat, return_index=True)
+        node = np.zeros(int(number[-1]) + 1, np.int64)
+        node[number] = ((top + first // mask.shape[1]) << 32) + left + first % mask.shape[1]
+        own = comp[y - top, x - left]
+        return pa.table({k: t.column(k) for k in ("scan_id", "z", "y", "x", "label")} | {"node": pa.array(node[own], mask=own == 0)})
+
+    tiles = [tile_of(F.col(c), tile).alias(f"t{c}") for c in "yx"]
+    schema = ", ".join(f"{k} {kinds[k]}" for k in ("scan_id", "z", "y", "x", "label")) + ", node long"
+    return labels.select("scan_id", "z", "y", "x", "label", *tiles).groupBy("scan_id", "z", "ty", "tx").applyInArrow(run, schema)
+
+
+def _tiled(labels: DataFrame, target: int, tile: int) -> DataFrame:
+    """components() of slices that no task shall hold: tiles are labelled alone, pixels that touch across their borders
+    give edges, edges are joined to components, and those are numbered by their first pixels."""
+    slice_ = ["scan_id", "z"]
+    found = once(_tile_components(labels, target, tile))
+    inside = found.where("node is not null")
+    at = lambda c: F.pmod(F.col(c), F.lit(tile))
+    rim = inside.where((at("y") == 0) | (at("y") == tile - 1) | (at("x") == 0) | (at("x") == tile - 1)).select(*slice_, *(F.col(c).cast("long").alias(c) for c in "yx"), "node")
+    # Four of the eight neighbours: the others are seen from the other side.
+    steps = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1))))
+    looks = rim.select(*slice_, "y", "x", F.col("node").alias("a"), F.explode(steps).alias("s")).select(
+        *slice_, "a", tile_of(F.col("y"), tile).alias("ty"), tile_of(F.col("x"), tile).alias("tx"), (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x")
+    )
+    across = looks.where((tile_of(F.col("y"), tile) != F.col("ty")) | (tile_of(F.col("x"), tile) != F.col("tx")))
+    edges = across.join(rim.withColumnRenamed("node", "b"), [*slice_, "y", "x"]).select(*slice_, "a", "b").distinct()
+    nodes = once(inside.groupBy(*slice_, "node").agg(F.count("*").alias("n")).join(stars(edges, slice_), [*slice_, "node"], "left").withColumn("root", F.coalesce("root", "node")))
+    whole = nodes.groupBy(*slice_, "root").agg(F.sum("n").alias("comp_size"))
+    numbered = whole.withColumn("comp", F.row_number().over(Window.partitionBy(*slice_).orderBy("root")).cast("long"))
+    named = nodes.join(numbered, [*slice_, "root"]).select(*slice_, "node", "comp", "comp_size")
+    return found.join(named, [*slice_, "node"], "left").select(*slice_, "y", "x", "label", "comp", "comp_size")
+
+
+def components(labels: DataFrame, target: int = 1, tile: int | None = None) -> DataFrame:
+    """(scan_id, z, y, x, label, comp, comp_size); both null outside the target. With tile no task holds more of a slice
+    than so many pixels a side."""
+    if tile is not None:
+        return _tiled(labels, target, tile)
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
         comp, size = label_components(a == target)
@@ -59,7 +110,7 @@ def components(labels: DataFrame, target: int = 1) -> DataFrame:
     return found.withColumns({"comp_size": F.when(inside, F.col("comp_size")), "comp": F.when(inside, F.col("comp"))})
 
 
-def neighbour_fractions(labels: DataFrame, target: int = 1) -> DataFrame:
+def neighbour_fractions(labels: DataFrame, target: int = 1, tile: int | None = None) -> DataFrame:
     """(scan_id, z, y, x, nb0, nb2) at target voxels: shares of classes 0 and 2 among the neighbours inside the slice."""
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
@@ -72,7 +123,8 @@ def neighbour_fractions(labels: DataFrame, target: int = 1) -> DataFrame:
         share = lambda c: np.where(there > 0, around(a == c) / np.maximum(there, 1), 0.0)
         return {"label": a, "nb0": share(0), "nb2": share(2)}
 
-    found = per_slice(labels, ["label"], kernel, {"label": "long", "nb0": "double", "nb2": "double"}, fill=-1)
+    shares = {"label": "long", "nb0": "double", "nb2": "double"}
+    found = around_(labels, ["label"], kernel, shares, 1, tile, fill=-1)
     return found.where(F.col("label") == target).drop("label")
 
 
@@ -104,7 +156,8 @@ def persistence(comps: DataFrame, mode: str = "compat", most: int = 40) -> DataF
             far = now.select(*(F.col(a).alias(b) for a, b in names.items()))
             j = now.join(far, F.expr("scan_id = scan2 and pz = z2 and prev = c2"), "left")
             deeper = F.col("depth") + F.coalesce("d2", F.lit(0))
-            now = j.select("scan_id", "z", "comp", F.col("pz2").alias("pz"), F.col("p2").alias("prev"), deeper.alias("depth")).checkpoint()
+            now = j.select("scan_id", "z", "comp", F.col("pz2").alias("pz"), F.col("p2").alias("prev"), deeper.alias("depth"))
+            now = once(now)
             if now.where("prev is not null").isEmpty():
                 break
         chosen = link.select("scan_id", F.col("pz").alias("z"), F.col("prev").alias("comp")).distinct()

@@ -1,12 +1,19 @@
-"""Neighbourhood filters on slices (scan_id, z, y, x, v): medians, contrast, variance, gradients, boundaries."""
+"""Neighbourhood filters on slices (scan_id, z, y, x, v): medians, contrast, variance, gradients, boundaries.
+
+With `tile` a slice is cut into tiles of so many voxels a side, for slices that a task cannot hold; without, it is
+worked on whole. Both give the same values (variances and blurs up to rounding)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .slices import per_slice
+from .slices import around, per_slice, tile_of
 
 
 def _windows(a: np.ndarray, size: int, mode: str) -> np.ndarray:
@@ -15,13 +22,13 @@ def _windows(a: np.ndarray, size: int, mode: str) -> np.ndarray:
     return sliding_window_view(np.pad(a, h, mode=mode), (size, size))
 
 
-def median(gray: DataFrame, size: int = 5, border: str = "symmetric") -> DataFrame:
+def median(gray: DataFrame, size: int = 5, border: str = "symmetric", tile: int | None = None) -> DataFrame:
     """Adds median. border: symmetric repeats the edge pixel and mirrors; edge repeats it alone."""
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
         return {"median": np.median(_windows(a.astype(np.float64), size, border), axis=(2, 3))}
 
-    return per_slice(gray, ["v"], kernel, {"median": "double"})
+    return around(gray, ["v"], kernel, {"median": "double"}, size // 2, tile)
 
 
 def _box_mean(a: np.ndarray, size: int) -> np.ndarray:
@@ -31,14 +38,14 @@ def _box_mean(a: np.ndarray, size: int) -> np.ndarray:
     return (area[size:, size:] - area[:-size, size:] - area[size:, :-size] + area[:-size, :-size]) / size**2
 
 
-def local_variance(gray: DataFrame, size: int = 7) -> DataFrame:
+def local_variance(gray: DataFrame, size: int = 7, tile: int | None = None) -> DataFrame:
     """Adds variance of v / 255 in windows with mirrored borders, at least 0."""
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
         f = a / 255.0
         return {"variance": np.maximum(_box_mean(f * f, size) - _box_mean(f, size) ** 2, 0)}
 
-    return per_slice(gray, ["v"], kernel, {"variance": "double"})
+    return around(gray, ["v"], kernel, {"variance": "double"}, size // 2, tile)
 
 
 def _sobel(f: np.ndarray) -> np.ndarray:
@@ -49,12 +56,12 @@ def _sobel(f: np.ndarray) -> np.ndarray:
     return np.sqrt(gx * gx + gy * gy)
 
 
-def gradient(gray: DataFrame) -> DataFrame:
+def gradient(gray: DataFrame, tile: int | None = None) -> DataFrame:
     """Adds gradient, the Sobel magnitude of v / 255 with mirrored borders."""
-    return per_slice(gray, ["v"], lambda a: {"gradient": _sobel(a / 255.0)}, {"gradient": "double"})
+    return around(gray, ["v"], lambda a: {"gradient": _sobel(a / 255.0)}, {"gradient": "double"}, 1, tile)
 
 
-def gaussian(gray: DataFrame, sigma: float, truncate: float = 4.0) -> DataFrame:
+def gaussian(gray: DataFrame, sigma: float, truncate: float = 4.0, tile: int | None = None) -> DataFrame:
     """Adds smooth: v blurred by a normal kernel cut off at truncate sigmas, borders mirrored; sigma 0 changes nothing."""
     h = int(truncate * sigma + 0.5)
     weights = np.exp(-0.5 * (np.arange(-h, h + 1) / sigma) ** 2) if sigma > 0 else np.ones(1)
@@ -64,7 +71,7 @@ def gaussian(gray: DataFrame, sigma: float, truncate: float = 4.0) -> DataFrame:
         pad = [(h, h) if k == axis else (0, 0) for k in (0, 1)]
         return sliding_window_view(np.pad(a, pad, mode="symmetric"), 2 * h + 1, axis=axis) @ weights
 
-    return per_slice(gray, ["v"], lambda a: {"smooth": along(along(a.astype(np.float64), 0), 1)}, {"smooth": "double"})
+    return around(gray, ["v"], lambda a: {"smooth": along(along(a.astype(np.float64), 0), 1)}, {"smooth": "double"}, h, tile)
 
 
 def _shift(mask: np.ndarray, dy: int, dx: int, outside: bool) -> np.ndarray:
@@ -93,10 +100,28 @@ def _boundary(pore: np.ndarray, distance: int) -> np.ndarray:
     return _dilate(zone, disk(distance)) if distance > 0 else zone
 
 
-def boundary_zone(labels: DataFrame, pore: int = 0, distance: int = 3) -> DataFrame:
+def boundary_zone(labels: DataFrame, pore: int = 0, distance: int = 3, tile: int | None = None) -> DataFrame:
     """Adds boundary: voxels on both sides of the pore surface, widened by a disk."""
     kernel = lambda a: {"boundary": _boundary(a == pore, distance)}
-    return per_slice(labels, ["label"], kernel, {"boundary": "boolean"}, fill=-1)
+    return around(labels, ["label"], kernel, {"boundary": "boolean"}, 1 + max(0, distance), tile, fill=-1)
+
+
+def _maps(hist: np.ndarray, clip: float) -> np.ndarray:
+    """For histograms in rows: the running sums of the clipped histograms, as fractions."""
+    total = hist.sum(axis=1, keepdims=True)
+    limit = np.maximum(1.0, clip * total)
+    over = np.maximum(hist - limit, 0).sum(axis=1, keepdims=True)
+    return (np.minimum(hist, limit) + over / hist.shape[1]).cumsum(axis=1) / np.maximum(total, 1)
+
+
+def _levels(f: np.ndarray, bins: int) -> np.ndarray:
+    return np.minimum((f * (bins - 1) + 0.5).astype(np.int64), bins - 1)
+
+
+def _mixed(own: Callable[[int, int], np.ndarray], wy: np.ndarray, wx: np.ndarray) -> np.ndarray:
+    """The values of a pixel's level in the four maps around it, mixed by their distances."""
+    top = own(0, 0) * (1 - wx) + own(0, 1) * wx
+    return top * (1 - wy) + (own(1, 0) * (1 - wx) + own(1, 1) * wx) * wy
 
 
 def clahe_array(f: np.ndarray, tile: int, clip: float, bins: int = 256) -> np.ndarray:
@@ -105,33 +130,77 @@ def clahe_array(f: np.ndarray, tile: int, clip: float, bins: int = 256) -> np.nd
     The slice is cut into tiles; each tile's histogram is clipped at clip times its pixels (at least one), the excess
     spread evenly, and its running sum taken as the map; each pixel mixes the maps of the four tile centres around it."""
     rows, cols = (max(1, -(-n // tile)) for n in f.shape)
-    level = np.minimum((f * (bins - 1) + 0.5).astype(np.int64), bins - 1)
+    level = _levels(f, bins)
     y, x = np.indices(f.shape)
     cell = (y // tile) * cols + x // tile
     hist = np.bincount((cell * bins + level).ravel(), minlength=rows * cols * bins).reshape(rows * cols, bins).astype(np.float64)
-    total = hist.sum(axis=1, keepdims=True)
-    limit = np.maximum(1.0, clip * total)
-    over = np.maximum(hist - limit, 0).sum(axis=1, keepdims=True)
-    maps = ((np.minimum(hist, limit) + over / bins).cumsum(axis=1) / np.maximum(total, 1)).reshape(rows, cols, bins)
+    maps = _maps(hist, clip).reshape(rows, cols, bins)
 
-    def around(place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def near(place: np.ndarray, n: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
         at = (place + 0.5) / tile - 0.5
         low = np.floor(at).astype(np.int64)
-        return np.clip(low, 0, n - 1), np.clip(low + 1, 0, n - 1), np.clip(at - low, 0, 1)
-
-    y0, y1, wy = around(y, rows)
-    x0, x1, wx = around(x, cols)
-    top = maps[y0, x0, level] * (1 - wx) + maps[y0, x1, level] * wx
-    return top * (1 - wy) + (maps[y1, x0, level] * (1 - wx) + maps[y1, x1, level] * wx) * wy
-
-
-def clahe(gray: DataFrame, tile: int = 61, clip: float = 0.01) -> DataFrame:
-    """Adds clahe, fractions of 0..1. An own form of the published method: no bit-wise parity with other libraries."""
+        return (np.clip(low, 0, n - 1), np.clip(low + 1, 0, n - 1)), np.clip(at - low, 0, 1)
+
+    ys, wy = near(y, rows)
+    xs, wx = near(x, cols)
+    return _mixed(lambda i, j: maps[ys[i], xs[j], level], wy, wx)
+
+
+def clahe_tiled(gray: DataFrame, tile: int, clip: float, scale: float = 255.0, bins: int = 256) -> DataFrame:
+    """clahe_array on v / scale without a task that holds a slice: histograms by tile, turned into maps, and pixels
+    grouped by the four tiles around them, which is at most a tile of pixels and four maps a task. Slices start at (0, 0)
+    and have no gaps longer than a tile."""
+    kinds = dict(gray.dtypes)
+    key = f"scan_id {kinds['scan_id']}, z {kinds['z']}"
+    level = F.least(F.floor(F.col("v") / scale * (bins - 1) + 0.5), F.lit(bins - 1)).cast("int")
+    cell = [tile_of(F.col(c), tile).alias(f"t{c}") for c in "yx"]
+    hist = gray.groupBy("scan_id", "z", *cell, level.alias("level")).agg(F.count("*").alias("n"))
+
+    def to_map(t: pa.Table) -> pa.Table:
+        h = np.zeros((1, bins))
+        h[0, t.column("level").to_numpy()] = t.column("n").to_numpy()
+        return pa.table({k: t.column(k)[:1] for k in ("scan_id", "z", "ty", "tx")} | {"map": pa.array([_maps(h, clip)[0].tolist()], pa.list_(pa.float64()))})
+
+    maps = hist.groupBy("scan_id", "z", "ty", "tx").applyInArrow(to_map, f"{key}, ty long, tx long, map array<double>")
+    last = gray.groupBy("scan_id", "z").agg(*(tile_of(F.max(c), tile).alias(f"m{c}") for c in "yx"))
+    # A region (ly, lx) lies between the centres of tiles ly, ly + 1 and lx, lx + 1; at the slice's border both are the same.
+    regions = maps.join(last, ["scan_id", "z"])
+    for c in "yx":
+        at, end = F.col(f"t{c}"), F.col(f"m{c}")
+        sides = F.array(F.struct(at.alias("low"), F.lit(0).alias("side")), F.struct((at - 1).alias("low"), F.lit(1).alias("side")))
+        first = F.when(at == 0, F.array(F.struct(F.lit(-1).cast("long").alias("low"), F.lit(0).alias("side")))).otherwise(F.array())
+        final = F.when(at == end, F.array(F.struct(at.alias("low"), F.lit(1).alias("side")))).otherwise(F.array())
+        regions = regions.withColumn("s", F.explode(F.concat(sides, first, final))).withColumns({f"l{c}": F.col("s.low"), f"s{c}": F.col("s.side")}).drop("s")
+    regions = regions.select("scan_id", "z", "ly", "lx", "sy", "sx", "map")
+    low = [tile_of(F.col(c) - tile / 2 + 0.5, tile).alias(f"l{c}") for c in "yx"]
+    pixels = gray.select("scan_id", "z", "y", "x", "v", *low)
+
+    def run(p: pa.Table, m: pa.Table) -> pa.Table:
+        own = {(i, j): np.array(v) for i, j, v in zip(m.column("sy").to_pylist(), m.column("sx").to_pylist(), m.column("map").to_pylist(), strict=True)}
+        level = _levels(p.column("v").to_numpy() / scale, bins)
+        wy, wx = ((p.column(c).to_numpy() + 0.5) / tile - 0.5 - p.column(f"l{c}").to_numpy() for c in "yx")
+        got = _mixed(lambda i, j: own[i, j][level], wy, wx) if p.num_rows else np.zeros(0)
+        return pa.table({k: p.column(k) for k in ("scan_id", "z", "y", "x")} | {"clahe": pa.array(got)})
+
+    by = ["scan_id", "z", "ly", "lx"]
+    return pixels.groupBy(*by).cogroup(regions.groupBy(*by)).applyInArrow(run, f"{key}, y {kinds['y']}, x {kinds['x']}, clahe double")
+
+
+def clahe(gray: DataFrame, tile: int = 61, clip: float = 0.01, by_tiles: bool = False) -> DataFrame:
+    """Adds clahe, fractions of 0..1. An own form of the published method: no bit-wise parity with other libraries.
+    by_tiles: no task holds a whole slice."""
+    if by_tiles:
+        return clahe_tiled(gray, tile, clip)
     return per_slice(gray, ["v"], lambda a: {"clahe": clahe_array(a / 255.0, tile, clip)}, {"clahe": "double"})
 
 
-def preprocess(gray: DataFrame, tile: int = 61, clip: float = 0.01, size: int = 5) -> DataFrame:
-    """The preprocessing of a slice: contrast, median, back to 0..255. Adds pre."""
+def preprocess(gray: DataFrame, tile: int = 61, clip: float = 0.01, size: int = 5, part: int | None = None) -> DataFrame:
+    """The preprocessing of a slice: contrast, median, back to 0..255. Adds pre. part: the side of the tiles of the
+    median, for slices that no task shall hold."""
+    if part is not None:
+        inside = gray.withColumn("v", F.least(F.greatest(F.col("v").cast("double"), F.lit(0.0)), F.lit(255.0)))
+        m = median(clahe_tiled(inside, tile, clip).withColumnRenamed("clahe", "v"), size, tile=part)
+        return m.select("scan_id", "z", "y", "x", F.rint(F.round(F.col("median") * 255, 9)).cast("long").alias("pre"))
 
     def kernel(a: np.ndarray) -> dict[str, np.ndarray]:
         f = clahe_array(np.clip(a / 255.0, 0, 1), tile, clip)

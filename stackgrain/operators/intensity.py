@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .radix import percentiles
+
 SLICE = ["scan_id", "z"]
 
 
@@ -17,8 +19,12 @@ def histogram(gray: DataFrame, value: str = "v") -> DataFrame:
     return gray.groupBy(*SLICE, F.col(value).alias("v")).agg(F.count("*").alias("n"))
 
 
-def slice_stats(gray: DataFrame, quantiles: list[float], value: str = "v") -> DataFrame:
-    """(scan_id, z, lo, hi, q): extremes and exact linear percentiles of each slice, from its histogram."""
+def slice_stats(gray: DataFrame, quantiles: list[float], value: str = "v", by: str = "histogram") -> DataFrame:
+    """(scan_id, z, lo, hi, q): extremes and exact linear percentiles of each slice, from its histogram, or by radix for
+    floats, which have about as many levels as pixels."""
+    if by == "radix":
+        ends = gray.groupBy(*SLICE).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+        return ends.join(percentiles(gray, quantiles, value), SLICE)
     q = F.percentile("v", F.array(*map(F.lit, quantiles)), F.col("n"))
     return histogram(gray, value).groupBy(*SLICE).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), q.alias("q"))
 
@@ -39,15 +45,15 @@ def stretch(value: Column, lo: Column, hi: Column) -> Column:
     return F.when(hi <= lo, 0).otherwise(u).cast("long")
 
 
-def to_uint8(gray: DataFrame, method: str = "percentile", p_low: float = 0.5, p_high: float = 99.5, value: str = "v") -> DataFrame:
-    """8-bit levels by the slice's percentiles, its extremes, or a division by 256.
+def to_uint8(gray: DataFrame, method: str = "percentile", p_low: float = 0.5, p_high: float = 99.5, value: str = "v", by: str = "histogram") -> DataFrame:
+    """8-bit levels by the slice's percentiles (found by `by`, see slice_stats), its extremes, or a division by 256.
 
     Percentiles are rounded to nine decimals, so that truncation does not hang on how they were interpolated."""
     if method == "divide256":
         return gray.withColumn(value, F.floor(F.least(F.col(value) / 256, F.lit(255.0))).cast("long"))
     if method not in ("percentile", "minmax"):
         raise ValueError(f"unknown method {method}")
-    stats = slice_stats(gray, [p_low / 100, p_high / 100], value)
+    stats = slice_stats(gray, [p_low / 100, p_high / 100], value, by if method == "percentile" else "histogram")
     lo, hi = (F.round(F.col("q")[0], 9), F.round(F.col("q")[1], 9)) if method == "percentile" else (F.col("lo").cast("double"), F.col("hi").cast("double"))
     joined = gray.join(stats, SLICE)
     return joined.withColumn(value, stretch(F.col(value).cast("double"), lo, hi)).select(*gray.columns)
@@ -96,6 +102,6 @@ def scale_to_mode(value: Column, mode: Column, target: int = 200) -> Column:
 def norm200(gray: DataFrame, dtype: str = "uint8") -> DataFrame:
     """The whole chain: fractions, percentile stretch, mode of the upper band moved to 200. Adds u and f = u / 255."""
     s = normalise_dtype(gray, dtype).withColumn("v", F.least(F.greatest(F.col("v") * 255, F.lit(0.0)), F.lit(255.0)))
-    u = to_uint8(s)
+    u = to_uint8(s, by="radix" if dtype.startswith("float") else "histogram")
     out = u.join(mode_in_band(u), SLICE).withColumn("u", scale_to_mode(F.col("v"), F.col("mode")))
     return out.select("scan_id", "z", "y", "x", "u", (F.col("u") / 255.0).alias("f"))

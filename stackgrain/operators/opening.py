@@ -12,11 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import whole_lines
+from .slices import once, whole_lines
 
 VOXEL = ["scan_id", "z", "y", "x"]
 
@@ -111,20 +110,12 @@ def _largest(rows: DataFrame, kind: str) -> DataFrame:
     return whole_lines(rows, ["scan_id", "z", "y"], run, f"scan_id {scan}, z long, y long, x long, edt2 {kind}, diameter long")
 
 
-def _once(df: DataFrame) -> DataFrame:
-    """df computed once for its several uses: checkpointed where the session has a checkpoint folder, else kept by the
-    executors and on their disks (Spark computes again what is lost)."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def opening(distances: DataFrame) -> DataFrame:
     """(scan_id, z, y, x, edt2, diameter) of the pore voxels; distances as edt() gives them, used three times and so
     computed once and kept. Voxels that have no row are no obstacle. Scans without solid, whose distances are null, have
     no rows."""
     kind = dict(distances.dtypes)["edt2"]
-    distances = _once(distances)
+    distances = once(distances)
     box = distances.groupBy("scan_id").agg(*(f(c).cast("long").alias(f"{c}_{n}") for c in "zyx" for f, n in ((F.min, "lo"), (F.max, "hi"))))
     place = [F.col("scan_id"), *(F.col(c).cast("long").alias(c) for c in "zyx")]
     balls = ball_centres(distances).select(*place, "k", (F.col("k") * F.col("k")).alias("room")).join(box, "scan_id")

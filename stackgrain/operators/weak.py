@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import _boundary, _box_mean, _sobel
-from .intensity import SLICE
 from .slices import per_slice
 
 
@@ -21,22 +20,31 @@ def weak_labels(
 
     def kernel(v: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
         f = v / 255.0
-        variance = np.maximum(_box_mean(f * f, window) - _box_mean(f, window) ** 2, 0)
-        return {"label": label, "variance": variance, "gradient": _sobel(f), "boundary": _boundary(label == pore, distance)}
-
-    out = {"label": "long", "variance": "double", "gradient": "double", "boundary": "boolean"}
-    found = per_slice(gray_and_labels, ["v", "label"], kernel, out)
-    q = lambda c, p: F.percentile(F.round(c, 9), F.lit(max(p, 0) / 100)).alias(f"{c}_limit")
-    limits = found.groupBy(*SLICE).agg(q("variance", variance_percentile), q("gradient", gradient_percentile))
-    uncertain = F.lit(False)
-    if variance_percentile > 0:
-        uncertain = uncertain | (F.round("variance", 9) > F.col("variance_limit"))
-    if gradient_percentile > 0:
-        uncertain = uncertain | (F.round("gradient", 9) > F.col("gradient_limit"))
-    if distance > 0:
-        uncertain = uncertain | F.col("boundary")
-    j = found.join(limits, SLICE)
-    return j.select("scan_id", "z", "y", "x", "variance", "gradient", "boundary", F.when(uncertain, ignore).otherwise(F.col("label")).cast("long").alias("weak"))
+        there = label != ABSENT
+        variance, slope = np.maximum(_box_mean(f * f, window) - _box_mean(f, window) ** 2, 0), _sobel(f)
+        boundary = _boundary(label == pore, distance)
+        uncertain = boundary if distance > 0 else np.zeros_like(there)
+        for values, p in ((variance, variance_percentile), (slope, gradient_percentile)):
+            if p > 0:
+                own = np.round(values, 9)
+                uncertain = uncertain | (own > linear_percentile(own[there], p / 100))
+        return {"variance": variance, "gradient": slope, "boundary": boundary, "weak": np.where(uncertain, ignore, label)}
+
+    out = {"variance": "double", "gradient": "double", "boundary": "boolean", "weak": "long"}
+    return per_slice(gray_and_labels, ["v", "label"], kernel, out, {"v": 0, "label": ABSENT})
+
+
+#: What stands for a voxel without a row in a dense slice of labels.
+ABSENT = -(1 << 31)
+
+
+def linear_percentile(values: np.ndarray, share: float) -> float:
+    """The percentile between the two nearest ranks, as Spark's percentile has it."""
+    at = share * (len(values) - 1)
+    low = int(at)
+    part = np.partition(values, [low, min(low + 1, len(values) - 1)])
+    a, b = part[low], part[min(low + 1, len(values) - 1)]
+    return float(a if a == b else a * (low + 1 - at) + b * (at - low))
 
 
 def slice_identifier(name: Column) -> Column:

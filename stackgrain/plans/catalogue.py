@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackgrain.operators import binary, components, correct, edt, filters, intensity, opening, otsu, psd, roi, weak, zmetrics
+from stackgrain.operators import binary, components, correct, edt, filters, intensity, opening, otsu, psd, radix, roi, weak, zmetrics
 from stackgrain.sources import derive
 from stackgrain.sources.derive import GRAY_SQL, LAB_SQL, LINE_SQL, VOL_SQL
 
@@ -52,6 +52,14 @@ def slice_minmax_percentile(spark, sf_dir):
     return rounded(s.select("scan_id", "z", "lo", "hi", F.col("q")[0].alias("p_low"), F.col("q")[1].alias("p_high")))
 
 
+@query("""SELECT vec_id // 50 AS scan_id, vec_id % 50 AS z, round(quantile_cont(CAST(embedding[i] AS DOUBLE), 0.005), 6) AS p_low,
+ round(quantile_cont(CAST(embedding[i] AS DOUBLE), 0.5), 6) AS p_mid, round(quantile_cont(CAST(embedding[i] AS DOUBLE), 0.995), 6) AS p_high
+ FROM embeddings, range(1, 65) t(i) GROUP BY ALL""")
+def float_percentiles(spark, sf_dir):
+    q = radix.percentiles(derive.raw(spark, sf_dir), [0.005, 0.5, 0.995])
+    return rounded(q.select("scan_id", "z", *(F.col("q")[i].alias(c) for i, c in enumerate(("p_low", "p_mid", "p_high")))))
+
+
 MODE_SQL = """counts AS (SELECT scan_id, z, v, count(*) AS n FROM {t} WHERE v BETWEEN 100 AND 254 GROUP BY scan_id, z, v),
  best AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY scan_id, z ORDER BY n DESC, v) = 1),
  modes AS (SELECT s.scan_id, s.z, coalesce(b.v, 0) AS mode FROM (SELECT DISTINCT scan_id, z FROM {t}) s LEFT JOIN best b USING (scan_id, z))"""
@@ -104,6 +112,15 @@ def otsu3(spark, sf_dir):
     return otsu.thresholds(derive.gray(spark, sf_dir), 3).select("scan_id", "z", F.col("t")[0].alias("t1"), F.col("t")[1].alias("t2"))
 
 
+@query(f"""WITH {GRAY_SQL}, {PREFIX_SQL}, pair AS (SELECT a.scan_id, a.z, a.v AS t1, b.v AS t2, b.p AS p, b.s AS s, a.s * a.s / a.p AS f1,
+ (b.s - a.s) * (b.s - a.s) / (b.p - a.p) AS f2 FROM cand a JOIN cand b ON a.scan_id = b.scan_id AND a.z = b.z AND a.v < b.v)
+ SELECT a.scan_id, a.z, a.t1, a.t2, c.v AS t3 FROM pair a JOIN cand c ON a.scan_id = c.scan_id AND a.z = c.z AND a.t2 < c.v QUALIFY row_number() OVER (PARTITION BY a.scan_id, a.z
+ ORDER BY round(f1 + f2 + (c.s - a.s) * (c.s - a.s) / (c.p - a.p) + (c.st - c.s) * (c.st - c.s) / (c.pt - c.p), 6) DESC, a.t1, a.t2, c.v) = 1""")
+def otsu4(spark, sf_dir):
+    t = otsu.thresholds(derive.gray(spark, sf_dir), 4)
+    return t.select("scan_id", "z", *(F.col("t")[i].alias(f"t{i + 1}") for i in range(3)))
+
+
 @query(f"WITH {OTSU3_SQL} SELECT scan_id, count(*) AS slices, round(avg(t1), 6) AS mean_t1, round(avg(t2), 6) AS mean_t2 FROM three GROUP BY scan_id")
 def otsu_stats(spark, sf_dir):
     return rounded(otsu.threshold_stats(otsu.thresholds(derive.gray(spark, sf_dir), 3)))
@@ -259,6 +276,11 @@ def components8(spark, sf_dir):
     return components.components(derive.labels(spark, sf_dir)).where("comp is not null").drop("label")
 
 
+@query(f"WITH RECURSIVE {LAB_SQL}, {COMP_SQL} SELECT scan_id, z, y, x, comp, comp_size FROM comp")
+def components8_tiled(spark, sf_dir):
+    return components.components(derive.labels(spark, sf_dir), tile=3).where("comp is not null").drop("label")
+
+
 OVERLAP_SQL = f"""{LAB_SQL}, {COMP_SQL}, ov AS (SELECT a.scan_id, a.z, a.comp, b.comp AS prev, count(*) AS n FROM comp a JOIN comp b
  ON a.scan_id = b.scan_id AND a.z = b.z + 1 AND a.y = b.y AND a.x = b.x GROUP BY ALL),
  pick AS (SELECT scan_id, z, comp, prev FROM ov QUALIFY row_number() OVER (PARTITION BY scan_id, z, comp ORDER BY n DESC, prev) = 1)"""
@@ -444,6 +466,11 @@ def median5(spark, sf_dir):
     return filters.median(derive.gray(spark, sf_dir), 5)
 
 
+@query(_near_sql(2) + " SELECT scan_id, z, y, x, median(v)::DOUBLE AS median FROM near GROUP BY scan_id, z, y, x")
+def median5_tiled(spark, sf_dir):
+    return filters.median(derive.gray(spark, sf_dir), 5, tile=3)
+
+
 @query(_near_sql(3) + " SELECT scan_id, z, y, x, round(greatest(avg(f * f) - avg(f) * avg(f), 0), 6) AS variance FROM near GROUP BY scan_id, z, y, x")
 def local_variance(spark, sf_dir):
     return rounded(filters.local_variance(derive.gray(spark, sf_dir)))
@@ -485,9 +512,8 @@ WEAK_SQL = f"""{_near_sql(3)}, var AS (SELECT scan_id, z, y, x, greatest(avg(f *
 
 @query(WEAK_SQL)
 def weak_labels(spark, sf_dir):
-    key = ["scan_id", "z", "y", "x"]
-    both = derive.gray(spark, sf_dir).join(derive.labels(spark, sf_dir), key)
-    return rounded(weak.weak_labels(both))
+    gray = derive.gray(spark, sf_dir)
+    return rounded(weak.weak_labels(gray.withColumn("label", derive.cut(F.col("v")))))
 
 
 def _clahe_sql(tile: int, clip: float) -> str:
@@ -513,13 +539,19 @@ def clahe(spark, sf_dir):
     return rounded(filters.clahe(derive.gray(spark, sf_dir), tile=4, clip=0.05))
 
 
-# Shares of 64 pixels lie just between two numbers of six decimals: a little is added before they are rounded.
+# Shares of a tile's pixels lie just between two numbers of six decimals: a little is added before they are rounded.
 @query(_clahe_sql(61, 0.01) + " SELECT scan_id, z, y, x, round(clahe + 1e-9::DOUBLE, 6) AS clahe FROM eq")
 def clahe_default(spark, sf_dir):
     f = filters.clahe(derive.gray(spark, sf_dir))
     return rounded(f.withColumn("clahe", F.col("clahe") + 1e-9))
 
 
+@query(_clahe_sql(3, 0.05) + " SELECT scan_id, z, y, x, round(clahe + 1e-9::DOUBLE, 6) AS clahe FROM eq")
+def clahe_tiled(spark, sf_dir):
+    f = filters.clahe(derive.gray(spark, sf_dir), tile=3, clip=0.05, by_tiles=True)
+    return rounded(f.withColumn("clahe", F.col("clahe") + 1e-9))
+
+
 def _preprocess_sql() -> str:
     near = _near_sql(2).partition("near AS ")[2].replace("v / 255.0::DOUBLE AS f", "s.f").replace(
         "(SELECT scan_id, z, y AS sy, x AS sx, v FROM gray)", "(SELECT scan_id, z, y AS sy, x AS sx, clahe AS f, 0 AS v FROM eq)"

@@ -5,7 +5,7 @@ Work on them grows with the tables: the number of scans follows the number of ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SIDE = 16
@@ -29,10 +29,20 @@ def gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(scan_id, z, y, x, v): the slices of gray() with their values as they are, 32-bit floats."""
+    cell = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "e"))
+    return cell.select(long("vec_id div 50", "scan_id"), long("vec_id % 50", "z"), long("i div 8", "y"), long("i % 8", "x"), F.col("e").cast("float").alias("v"))
+
+
+def cut(v: Column, low: int = 108, high: int = 142) -> Column:
+    """The label of a grey level: below, between or above two fixed levels."""
+    return F.when(v < low, 0).when(v < high, 1).otherwise(2).cast("long")
+
+
 def labels(spark: SparkSession, sf_dir: str, low: int = 108, high: int = 142) -> DataFrame:
     """(scan_id, z, y, x, label): the grey slices cut at two fixed levels."""
-    label = F.when(F.col("v") < low, 0).when(F.col("v") < high, 1).otherwise(2).cast("long")
-    return gray(spark, sf_dir).select("scan_id", "z", "y", "x", label.alias("label"))
+    return gray(spark, sf_dir).select("scan_id", "z", "y", "x", cut(F.col("v"), low, high).alias("label"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

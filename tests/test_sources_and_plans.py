@@ -239,14 +239,6 @@ def test_damaged_slices_stop_the_pipeline(spark, tmp_path):
     assert pipeline.run(spark, config.parse(raw), str(tmp_path / "out"))["gray"].count() == 12**3
 
 
-def test_too_many_levels_are_refused(spark):
-    from stackgrain.operators import otsu
-
-    many = volume(spark, np.arange(2000).reshape(1, 40, 50))
-    with pytest.raises(Exception, match="too many levels"):
-        otsu.thresholds(many, 3).collect()
-
-
 def test_peaks_of_plateaus(spark):
     from stackgrain.operators import psd
 
