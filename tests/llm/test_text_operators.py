@@ -177,7 +177,7 @@ def test_secrets(spark):
         spans += [(m.start(), k, m.end()) for m in re.finditer(p, text) if fine(m)]
     base = ",".join(f"{k}:{s}:{e}" for s, k, e in sorted(spans))
     assert got[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
-    assert (got[1].n_assign, got[1].n_access, got[1].n_hex, got[1].n_novel) == (1, 1, 1, 2)
+    assert (got[1].n_assign, got[1].n_access, got[1].n_hex, got[1].n_novel, got[1].n_confirmed) == (1, 1, 1, 1, 1)
     assert set(base.split(",")) < set(got[1].spans.split(","))
     assert got[2].spans == got[3].spans == ""
 
@@ -205,6 +205,38 @@ def test_planted_secrets_are_found_and_decoys_are_not():
     assert found >= 0.95 * n and wrong <= 0.02 * n, (found, wrong, n)
 
 
+UNSPACED = ["AWS_SECRET_ACCESS_KEY={}", "SECRET_KEY_BASE={}", "private_key={}", "encryption_key={}", "signing_key={}", "passphrase={}", "pwd={}", "credentials={}",
+            "https://x.example.org/a?access_key={}&page=2", "client_secret_id={}", "encryption_key:{}", "PRIVATE_KEY='{}'"]
+
+
+@pytest.mark.parametrize("form", UNSPACED)
+def test_unspaced_assignments(form):
+    r = np.random.default_rng(len(form))
+    letters = [*"abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ"]
+    found = wrong = 0
+    for i in range(40):
+        own = "".join(r.choice([letters + [*"0123456789"], letters, [*"abcdef0123456789"], letters + [*"0123456789+/"]][i % 4], int(r.integers(16, 33)))) + "==" * (i % 4 == 3)
+        text = f"{prose(i, 20)} {form.format(own)} {prose(i + 50, 20)}"
+        found += any(k != 2 and text[s:e].endswith(own) for s, k, e in secrets.find_spans(text))
+        for word in ("production", "the_default_value", "settings.configuration", "strawberries"):
+            wrong += sum(k == 3 for _, k, _ in secrets.find_spans(f"{prose(i, 20)} {form.format(word)} {prose(i + 50, 20)}"))
+    assert found >= 38 and wrong <= 3, (found, wrong)
+
+
+def test_identifiers_are_learned(spark):
+    lines = [f"my_vault_reader token for reader{i} q8Zx71LmPw02RtYv4Kd9 handler_of_sessions\nother line of prose_words" for i in range(6)]
+    rare = ["password seldom_seen_name"] * 2
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lines, *rare, None, ""])], "doc_id long, text string")
+    known = secrets.learn_identifiers(docs).removeprefix(secrets.IDENTIFIERS).split()
+    assert {b"my_vault_reader", b"handler_of_sessions", b"token"} <= set(known)
+    assert not {b"seldom_seen_name", b"prose_words"} & set(known) and not any(b"Zx71" in k for k in known)
+    assert len(secrets.learn_identifiers(docs, most_bytes=20)) < len(secrets.IDENTIFIERS) + 20
+    assert secrets.learn_identifiers(docs.where("false")) == secrets.IDENTIFIERS
+    text = f"token: my_vault_reader_handler_of_sessions {prose(3, 9)}"
+    assert secrets.novelty("my_vault_reader_handler_of_sessions", "", "", secrets.learn_identifiers(docs)) < secrets.novelty("my_vault_reader_handler_of_sessions", "", "")
+    assert not [k for _, k, _ in secrets.find_spans(text, identifiers=secrets.learn_identifiers(docs)) if k == 3]
+
+
 def test_secrets_edges(hard, nothing):
     assert secrets.scan_secrets(hard).count() == len(HARD)
     assert secrets.scan_secrets(nothing).count() == 0
