@@ -8,9 +8,9 @@ agree on all but so many of their non-empty blocks. Sketches are compared within
 enters the next band if its partners may lie there.
 
 Blocks are joined rarest first (prefix filtering), so that passages which many texts share produce no candidates.
-Of long texts only the first `blocks` non-empty blocks in hash order are used, and `overlap` of them have to agree:
-shingle hashes are random, a pair at the limit of the similarity agrees on 41 of 64 in the mean, and on fewer than 16
-with a probability below 1e-9; for texts of up to `blocks` blocks the pigeonhole bound itself is used and nothing is
+Of long texts only the first `blocks` non-empty blocks in hash order are used. Shingle hashes are random, so the number
+of them on which a pair at the limit of the similarity agrees is binomial: its quantile for a probability of `loss` is how
+many have to agree (23 to 26 of 64 for 1e-6); for texts of up to `blocks` blocks the pigeonhole bound itself is used and nothing is
 left to chance. Candidates pass a 512-bit parity sketch, whose Hamming distance is a lower bound in the same way, and
 are then verified exactly on their sets of 64-bit shingle hashes.
 
@@ -32,7 +32,9 @@ there is none. An empty table gives an empty result. Only the id and text column
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +60,23 @@ def bands(n: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def block_keys(s: np.ndarray, blocks: int = 64, overlap: int = 16) -> list[tuple[np.ndarray, int]]:
+@cache
+def least_agreeing(blocks: int, load: float, loss: float) -> int:
+    """How many of so many non-empty blocks of a text a partner at the limit of the similarity has as well, but for a
+    probability of `loss`; load: shingles for each block of the sketch, in hundredths rounded up.
+
+    A block agrees if it holds none of the differing shingles. The worst partner is a part of the text, three quarters of
+    it: of the shingles, a quarter differs. (A larger one, and one as large, leave more blocks as they are.)"""
+    same = (1 - math.exp(-0.75 * load)) * math.exp(-0.25 * load) / (1 - math.exp(-load))
+    below = 0.0
+    for k in range(blocks + 1):
+        below += math.comb(blocks, k) * same**k * (1 - same) ** (blocks - k)
+        if below > loss:
+            break
+    return k
+
+
+def block_keys(s: np.ndarray, blocks: int = 64, loss: float = 1e-6) -> list[tuple[np.ndarray, int]]:
     """For each band of a sorted set of shingle hashes: keys of its first non-empty blocks, and how many of them a
     linked text has at least."""
     out = []
@@ -68,9 +86,10 @@ def block_keys(s: np.ndarray, blocks: int = 64, overlap: int = 16) -> list[tuple
         start = np.nonzero(np.concatenate(([True], block[1:] != block[:-1])))[0]
         value = np.bitwise_xor.reduceat(mix(s), start)
         keys = mix(value ^ mix(block[start] + np.uint64(band << 48)))
-        full = len(keys)
-        keys = keys[:blocks]
-        out.append((keys, max(1, min(overlap, full - differ))))
+        least = len(keys[:blocks]) - differ
+        if len(keys) > blocks:
+            keys, least = keys[:blocks], max(least, least_agreeing(blocks, math.ceil(100 * len(s) / m) / 100, loss))
+        out.append((keys, max(1, least)))
     return out
 
 
@@ -90,7 +109,7 @@ def _sets(texts: list[bytes | None], hashes: WordHashes, k: int) -> Iterator[np.
         yield shingles(hashes.of(words(text)), k)
 
 
-def summarise(docs: DataFrame, k: int, blocks: int, overlap: int) -> DataFrame:
+def summarise(docs: DataFrame, k: int, blocks: int, loss: float) -> DataFrame:
     """doc_id, row (the row's hash), n, fp and the block keys by band. A task gives the blocks of equal sets once."""
     longs = pa.list_(pa.int64())
 
@@ -103,7 +122,7 @@ def summarise(docs: DataFrame, k: int, blocks: int, overlap: int) -> DataFrame:
                 for s in _sets(some, hashes, k):
                     n.append(len(s))
                     fp.append(fingerprint(s) if len(s) else None)
-                    found = block_keys(s, blocks, overlap) if len(s) and fp[-1] not in seen else []
+                    found = block_keys(s, blocks, loss) if len(s) and fp[-1] not in seen else []
                     seen.add(fp[-1])
                     for i in range(2):
                         keys[2 * i].append(found[i][0].view(np.int64) if i < len(found) else None)
@@ -356,12 +375,12 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
 
 
-def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, blocks: int, overlap: int, rounds: int, leaders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, blocks: int, loss: float, rounds: int, leaders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """summary of all rows; sets of the classes that share a block; labels (node, comp) of the classes with a link."""
     if percent < 75:
         raise ValueError("the bands and bounds hold for a similarity of 75 per cent or more")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), _rows(docs, id_col, text_col).alias("row"), F.col(text_col).cast("binary").alias("text"))
-    summary = stored(summarise(docs, k, blocks, overlap), "summary")
+    summary = stored(summarise(docs, k, blocks, loss), "summary")
     met = stored(candidates(summary), "blocks")
     wanted = summary.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")).join(met.select("fp").distinct(), "fp", "left_semi").select("row")
     sets = class_sets(docs, wanted, k)
@@ -398,7 +417,7 @@ def jaccard_components(
     k: int = 5,
     percent: int = 75,
     blocks: int = 64,
-    overlap: int = 16,
+    loss: float = 1e-6,
     rounds: int = 2,
     leaders: int = 2,
     count_links: bool = False,
@@ -409,7 +428,7 @@ def jaccard_components(
     n_links counts the other classes that its class is linked with; the work for it grows with the square of a component. Similarities below 75 per cent are not supported: the
     bounds above are made for that. Classes and components that hold over a thousandth of all rows, a thousand at most,
     are dealt to parts of about that size in the joins on them."""
-    summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
+    summary, sets, labels = compare(docs, id_col, text_col, k, percent, blocks, loss, rounds, leaders)
     classes = summary.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("m"))
     least_hot = summary.count() // 1000 + 1
     linked = labels.withColumnRenamed("node", "fp").join(classes.drop("m"), "fp")
@@ -436,11 +455,11 @@ def jaccard_components(
 
 
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, blocks: int = 64, overlap: int = 16, rounds: int = 2, leaders: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, blocks: int = 64, loss: float = 1e-6, rounds: int = 2, leaders: int = 2
 ) -> DataFrame:
     """The documents (any columns), one of each component: a row with the smallest id, or one without an id if none has
     one; of rows with the same id and text any. Rows without a word stay."""
-    summary, _, labels = compare(docs, id_col, text_col, k, percent, blocks, overlap, rounds, leaders)
+    summary, _, labels = compare(docs, id_col, text_col, k, percent, blocks, loss, rounds, leaders)
     first = summary.where("fp is not null").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
     first = first.join(labels, first.fp == labels.node, "left").groupBy(F.coalesce("comp", "fp").alias("comp")).agg(F.min("best").alias("best"))
     best = first.select(F.col("best.row").alias("row"))
