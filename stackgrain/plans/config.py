@@ -52,6 +52,7 @@ class Config:
     extensions: tuple[str, ...] = ("png", "tif", "tiff", "npy")
     skip_damaged: bool = False
     by_ranges: bool = False  # volumes in one file are read by ranges of slices
+    slices_per_commit: int = 0  # stages that treat slices alone are committed in parts of so many; 0: in one
     preprocessing: bool = True
     z_stability: bool = True
     short: int = 3
@@ -69,7 +70,7 @@ class Config:
 
 
 KNOWN = {
-    "preprocessing": {"enabled", "overwrite", "skip_damaged", "by_ranges"},
+    "preprocessing": {"enabled", "overwrite", "skip_damaged", "by_ranges", "slices_per_commit"},
     "segmentation": {"enabled", "method", "n_classes", "save_overlay", "extensions"},
     "z_stability": {"enabled", "config_path", "definition"},
     "binary_builder": {"enabled", "mask_variant"},
@@ -115,7 +116,7 @@ def parse(raw: dict, scan_dir: str | None = None, scan_id: str | None = None) ->
         scan_dir=place, scan_id=scan_id or raw.get("scan_id") or os.path.basename(place.rstrip("/")), n_classes=seg.get("n_classes", 3),
         overwrite=bool((stages["preprocessing"] or {}).get("overwrite", False)), extensions=tuple(e.lstrip(".") for e in seg.get("extensions", ("png", "tif", "tiff", "npy"))),
         skip_damaged=bool((stages["preprocessing"] or {}).get("skip_damaged", False)), by_ranges=bool((stages["preprocessing"] or {}).get("by_ranges", False)),
-        preprocessing=(stages["preprocessing"] or {}).get("enabled", True), z_stability=z.get("enabled", True), short=windows.get("short", 3), long=windows.get("long", 7),
+        slices_per_commit=int((stages["preprocessing"] or {}).get("slices_per_commit", 0)), preprocessing=(stages["preprocessing"] or {}).get("enabled", True), z_stability=z.get("enabled", True), short=windows.get("short", 3), long=windows.get("long", 7),
         target=d.get("target_class", 1), conservative=limits.get("conservative", CONSERVATIVE), aggressive=limits.get("aggressive", AGGRESSIVE),
         variant=(stages["binary_builder"] or {}).get("mask_variant", "aggressive"), spacing=tuple(map(float, (psd.get("image_params") or {}).get("voxel_spacing", (1, 1, 1)))),
         border_width=params.get("border_width", 1), min_reliable=params.get("min_reliable_diameter_voxels", 5), edges_um=tuple(params["bin_edges_um"]) if params.get("bin_edges_um") else None,

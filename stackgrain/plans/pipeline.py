@@ -2,13 +2,15 @@
 
 Each stage is a lazy DataFrame plan, written once under root/scan_id/stage with the hash of its configuration and of the
 stages before it in the path, so that a second run with the same settings reads it again and one with others does not.
-A stage counts as done when Spark has committed it (its _SUCCESS file is there).
+A stage counts as done when Spark has committed it (its _SUCCESS file is there). Stages that treat each slice alone can be committed in parts
+of a number of slices, so that a run which was stopped half way goes on with the slices that are left.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import asdict
@@ -34,16 +36,58 @@ class Store:
         place = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
 
-    def stage(self, name: str, settings: tuple, make: Callable[[], DataFrame]) -> DataFrame:
-        """The stage's table, made unless it is there."""
+    def path(self, name: str, settings: tuple) -> str:
+        """Where the next stage is: its folder carries the hash of its settings and of the stages before."""
         used = {k: v for k, v in asdict(self.config).items() if k in settings}
         self.chain = hashlib.sha256(f"{self.chain}{name}{json.dumps(used, sort_keys=True, default=str)}".encode()).hexdigest()[:12]
-        path = f"{self.root}/{name}-{self.chain}"
+        return f"{self.root}/{name}-{self.chain}"
+
+    def stage(self, name: str, settings: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+        """The stage's table, made unless it is there."""
+        path = self.path(name, settings)
         if self.config.overwrite or not self.done(path):
             make().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
 
+    def by_units(self, name: str, settings: tuple, source: DataFrame, make: Callable[[DataFrame], DataFrame], units: list[str], size: int) -> DataFrame:
+        """stage() for a make() that treats each unit (a slice, a scan) of source alone, in parts of about so many units.
+
+        A part is written, then named in the manifest with its units; only parts that the manifest names are read, so a run
+        that was stopped leaves whole parts behind, and the next one makes the units that no part has. Size 0: one part."""
+        if not size:
+            return self.stage(name, settings, lambda: make(source))
+        path = self.path(name, settings)
+        present = source.select(*units).distinct()
+        done = self.parts(path)
+        left = present
+        if done and not self.config.overwrite:
+            left = present.join(self.spark.read.parquet(*(f"{path}/manifest/{p}" for p in done)), units, "left_anti")
+        elif done:
+            done = []
+        n = left.count()
+        number = F.pmod(F.xxhash64(*units), F.lit(max(1, -(-n // size))))
+        for k in range(-(-n // size)):
+            now = left.where(number == k)
+            part = uuid.uuid4().hex
+            make(source.join(now, units, "left_semi")).write.parquet(f"{path}/parts/{part}")
+            now.write.parquet(f"{path}/manifest/{part}")
+            done.append(part)
+        if not done:  # nothing to make: an empty part keeps the schema
+            done = [uuid.uuid4().hex]
+            make(source).write.parquet(f"{path}/parts/{done[0]}")
+            left.write.parquet(f"{path}/manifest/{done[0]}")
+        return self.spark.read.parquet(*(f"{path}/parts/{p}" for p in done))
+
+    def parts(self, path: str) -> list[str]:
+        """The parts that the manifest names: those whose own file there has been committed."""
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+        return sorted(n for n in names if self.done(f"{path}/manifest/{n}"))
+
+
 KEY = ["scan_id", "z", "y", "x"]
 
 
@@ -91,14 +135,17 @@ def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | Non
         first = image.select("dtype").first()
         image, kind = image.drop("dtype"), first[0] if first else kind
     if config.preprocessing:
-        read, was = image, kind
-        image = store.stage(
-            "preprocessed", ("preprocessing",),
-            lambda: filters.preprocess(intensity.norm200(read, was).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
+        was = kind
+        image = store.by_units(
+            "preprocessed", ("preprocessing",), image,
+            lambda read: filters.preprocess(intensity.norm200(read, was).select(*KEY, F.col("u").alias("v"))).withColumnRenamed("pre", "v"),
+            ["scan_id", "z"], config.slices_per_commit,
         )
         kind = "uint8"
         yield "preprocessed", image
-    labels = store.stage("labels", ("n_classes",), lambda: segment_volume(intensity.as_grey(image, kind), config))
+    labels = store.by_units(
+        "labels", ("n_classes",), image, lambda read: segment_volume(intensity.as_grey(read, kind), config), ["scan_id", "z"], config.slices_per_commit
+    )
     yield "labels", labels
     final = labels
     if config.z_stability:

@@ -139,6 +139,42 @@ def test_pipeline_and_resume(spark, tmp_path):
     assert sorted(p.stat().st_mtime_ns for p in tmp_path.rglob("binary-*/part-*")) == stamp
 
 
+def test_a_stage_goes_on_where_it_was_stopped(spark, tmp_path, monkeypatch):
+    gray = volume(spark, np.random.default_rng(4).integers(0, 256, (12, 8, 8)))
+    whole = pipeline.run(spark, config.parse(RAW), str(tmp_path / "whole"), gray, until="labels")["labels"]
+    c = config.parse(config.merge(RAW, {"stages": {"preprocessing": {"slices_per_commit": 3}}}))
+    real, calls = pipeline.segment_volume, []
+
+    def breaks(read, config):
+        calls.append(read.select("z").distinct().count())
+        if len(calls) == 3:
+            raise RuntimeError("stopped")
+        return real(read, config)
+
+    monkeypatch.setattr(pipeline, "segment_volume", breaks)
+    with pytest.raises(RuntimeError, match="stopped"):
+        pipeline.run(spark, c, str(tmp_path / "parts"), gray, until="labels")
+    made = {p: p.stat().st_mtime_ns for p in tmp_path.glob("parts/*/labels-*/parts/*/part-*")}
+    (folder,) = tmp_path.glob("parts/*/labels-*")
+    (folder / "parts" / "lost").mkdir()  # written, but not named before the run ended
+    spark.range(3).write.mode("overwrite").parquet(str(folder / "parts" / "lost"))
+    before = calls[:2]
+    out = pipeline.run(spark, c, str(tmp_path / "parts"), gray, until="labels")["labels"]
+    assert sum(before) + sum(calls[3:]) == 12 and sum(calls[3:]) < 12
+    assert sorted(map(tuple, out.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    assert all(p.stat().st_mtime_ns == t for p, t in made.items()) and made
+    n = len(calls)
+    pipeline.run(spark, c, str(tmp_path / "parts"), gray, until="labels")
+    assert len(calls) == n  # all there
+    more = volume(spark, np.random.default_rng(4).integers(0, 256, (12, 8, 8))).unionByName(volume(spark, np.ones((1, 8, 8), int), "t"))
+    store = pipeline.Store(spark, str(tmp_path / "more"), c)
+    first = store.by_units("x", (), gray, lambda df: df, ["scan_id", "z"], 5)
+    again = pipeline.Store(spark, str(tmp_path / "more"), c).by_units("x", (), more, lambda df: df, ["scan_id", "z"], 5)
+    assert first.count() == 12 * 64 and again.count() == 13 * 64
+    none = pipeline.Store(spark, str(tmp_path / "none"), c).by_units("x", (), gray.where("false"), lambda df: df, ["scan_id", "z"], 5)
+    assert none.count() == 0 and none.columns == gray.columns
+
+
 def blob(side=12):
     """A dark ball in a bright block, with some noise, as fractions."""
     z, y, x = np.indices((side,) * 3)
