@@ -32,3 +32,11 @@ def trim_slices(voxels: DataFrame, first: int, last: int) -> DataFrame:
 
 def extract_roi(voxels: DataFrame, size: int = 650, first: int = 75, last: int = 75) -> DataFrame:
     return centre_crop(trim_slices(voxels, first, last), size)
+
+
+def roi_stems(voxels: DataFrame, first: int = 75, last: int = 75) -> DataFrame:
+    """(scan_id, z, stem) of what extract_roi gives: a slice's new number and the number that it had, as in
+    ``roi_0000_slice0075``, for names of files."""
+    slices = voxels.select("scan_id", F.col("z").alias("y"), F.lit(0).alias("x"), "z").distinct()
+    kept = trim_slices(slices, first, last)
+    return kept.select("scan_id", "z", F.format_string("roi_%04d_slice%04d", F.col("z"), F.col("y").cast("long")).alias("stem"))

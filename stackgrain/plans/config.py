@@ -8,6 +8,7 @@ import warnings
 from dataclasses import dataclass, field
 
 from stackgrain.operators.correct import AGGRESSIVE, CONSERVATIVE, Thresholds
+from stackgrain.sources.stack import EXTENSIONS
 
 STAGES = ("preprocessing", "segmentation", "z_stability", "binary_builder", "psd")
 
@@ -49,7 +50,7 @@ class Config:
     scan_id: str
     n_classes: int = 3
     overwrite: bool = False
-    extensions: tuple[str, ...] = ("png", "tif", "tiff", "npy")
+    extensions: tuple[str, ...] = EXTENSIONS
     skip_damaged: bool = False
     by_ranges: bool = False  # volumes in one file are read by ranges of slices
     slices_per_commit: int = 0  # stages that treat slices alone are committed in parts of so many; 0: in one
@@ -114,7 +115,7 @@ def parse(raw: dict, scan_dir: str | None = None, scan_id: str | None = None) ->
         warnings.warn("with two classes the bright class has label 1, which the z stage treats as uncertain", stacklevel=2)
     out = Config(
         scan_dir=place, scan_id=scan_id or raw.get("scan_id") or os.path.basename(place.rstrip("/")), n_classes=seg.get("n_classes", 3),
-        overwrite=bool((stages["preprocessing"] or {}).get("overwrite", False)), extensions=tuple(e.lstrip(".") for e in seg.get("extensions", ("png", "tif", "tiff", "npy"))),
+        overwrite=bool((stages["preprocessing"] or {}).get("overwrite", False)), extensions=tuple(e.lstrip(".") for e in seg.get("extensions", EXTENSIONS)),
         skip_damaged=bool((stages["preprocessing"] or {}).get("skip_damaged", False)), by_ranges=bool((stages["preprocessing"] or {}).get("by_ranges", False)),
         slices_per_commit=int((stages["preprocessing"] or {}).get("slices_per_commit", 0)), preprocessing=(stages["preprocessing"] or {}).get("enabled", True), z_stability=z.get("enabled", True), short=windows.get("short", 3), long=windows.get("long", 7),
         target=d.get("target_class", 1), conservative=limits.get("conservative", CONSERVATIVE), aggressive=limits.get("aggressive", AGGRESSIVE),

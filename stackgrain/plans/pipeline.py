@@ -118,7 +118,7 @@ def stages(spark: SparkSession, config: Config, root: str, gray: DataFrame | Non
     def raw() -> DataFrame:
         if gray is not None:
             return gray
-        slices = volume.read_volumes(spark, config.scan_dir) if config.by_ranges else stack.read_stack(spark, config.scan_dir, config.extensions)
+        slices = source_slices(spark, config)
         state = slices.groupBy("dtype").agg(F.count("problem").alias("broken"), F.first("path").alias("path"), F.first("problem").alias("problem")).collect()
         broken = [r for r in state if r["broken"]]
         if broken and not config.skip_damaged:
@@ -180,15 +180,22 @@ def run(spark: SparkSession, config: Config, root: str, gray: DataFrame | None =
     return out
 
 
-def maps_of(out: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
-    """(voxels, column, pattern of slice names) of each map of 8-bit levels that the stages hold, by its name."""
-    maps: dict[str, tuple[DataFrame, str, str]] = {}
+def maps_of(out: dict[str, DataFrame], overlays: bool = False) -> dict[str, tuple[DataFrame, str | list[str], str]]:
+    """(voxels, columns, pattern of slice names) of each map of 8-bit levels that the stages hold, by its name. overlays:
+    also the pores in red on the image that was segmented, which has to be 8-bit."""
+    maps: dict[str, tuple[DataFrame, str | list[str], str]] = {}
     plain = "slice_%06d"
     if "preprocessed" in out:
-        maps["preprocessed"] = out["preprocessed"], "v", "slice_%06d_clahe61_med5"
+        maps["preprocessed"] = out["preprocessed"], "v", f"{plain}_clahe61_med5"
     if "labels" in out:
         masks = otsu.class_masks(out["labels"].withColumn("class", F.col("label")))
-        maps |= {"classmap": (out["labels"], "label", "slice_%06d_classmap"), "mask0": (masks, "pores0", "slice_%06d_mask0"), "mask01": (masks, "pores01", "slice_%06d_mask01")}
+        maps |= {"classmap": (out["labels"], "label", f"{plain}_classmap"), "mask0": (masks, "pores0", f"{plain}_mask0"), "mask01": (masks, "pores01", f"{plain}_mask01")}
+        if overlays:
+            image = out.get("preprocessed", out["gray"])
+            both = masks.join(image.select(*KEY, "v"), KEY)
+            for mask, name in (("pores0", "ov0"), ("pores01", "ov01")):
+                shown = both.select(*KEY, otsu.overlay(F.col("v"), F.col(mask)).alias("o")).select(*KEY, "o.r", "o.g", "o.b")
+                maps[f"overlay_{name}"] = shown, ["r", "g", "b"], f"{plain}_{name}"
     if "stability" in out:
         maps |= {f"mask_{n}": (binary.encode_labels(out["stability"], n), n, plain) for n in ("conservative", "aggressive")}
     if "binary" in out:
@@ -198,14 +205,20 @@ def maps_of(out: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
     return maps
 
 
-def export(out: dict[str, DataFrame], folder: str, overwrite: bool = False, volumes: str | None = None) -> list[str]:
+def export(out: dict[str, DataFrame], folder: str, overwrite: bool = False, volumes: str | None = None, overlays: bool = False, stems: DataFrame | None = None) -> list[str]:
     """Writes the maps of the stages in folders of their own under a mounted folder, and returns their names: a PNG a
-    slice, or with volumes (npy or tif) one file a scan. PNG files that are there stay, unless overwrite is set."""
-    maps = maps_of(out)
-    for name, (voxels, column, pattern) in maps.items():
+    slice, named by its number or with stems (stack.stems) by its source file, or with volumes (npy or tif) one file a
+    scan, of grey maps only. PNG files that are there stay, unless overwrite is set."""
+    maps = {k: m for k, m in maps_of(out, overlays).items() if not volumes or isinstance(m[1], str)}
+    for name, (voxels, columns, pattern) in maps.items():
         place = f"{folder.rstrip('/')}/{name}"
         if volumes:
-            volume.write_volumes(volume.planes(voxels, column), place, volumes)
+            volume.write_volumes(volume.planes(voxels, columns), place, volumes)
         else:
-            stack.write_slices(stack.slices_of(voxels, column, name=pattern), place, overwrite)
+            stack.write_slices(stack.slices_of(voxels, columns, name=pattern, stems=stems), place, overwrite)
     return [*maps]
+
+
+def source_slices(spark: SparkSession, config: Config) -> DataFrame:
+    """The slices that the first stage reads."""
+    return volume.read_volumes(spark, config.scan_dir) if config.by_ranges else stack.read_stack(spark, config.scan_dir, config.extensions)

@@ -1,4 +1,4 @@
-"""Slices as bytes: PNG, TIFF and NPY, in numpy and zlib."""
+"""Slices as bytes: PNG, TIFF, BMP, JPEG and NPY, in numpy and zlib."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ import zlib
 
 import numpy as np
 
-from . import tiff
+from . import jpeg, tiff
 
-# The signature, and the channels of PNG's colour types.
+# The signature, the channels of PNG's colour types, and its seven passes.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
-PNG_CHANNELS = {0: 1, 2: 3, 4: 2, 6: 4}
+PNG_CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+ADAM7 = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1))  # first row, column; steps
 
 
 def png_encode(a: np.ndarray) -> bytes:
@@ -60,24 +61,62 @@ def _unfilter(rows: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
 
 
 def png_decode(data: bytes) -> np.ndarray:
+    """Grey as (height, width), others with a last axis of channels, palettes as RGB. Grey of less than 8 bits is spread over 0..255."""
     if data[:8] != PNG_SIGNATURE:
         raise ValueError("not a PNG")
-    at, body, head = 8, [], None
-    while at < len(data):
+    at, body, head, palette = 8, [], None, None
+    while at + 8 <= len(data):
         n, kind = struct.unpack_from(">I4s", data, at)
         if kind == b"IHDR":
             head = struct.unpack_from(">IIBBBBB", data, at + 8)
+        elif kind == b"PLTE":
+            palette = np.frombuffer(data, np.uint8, n, at + 8).reshape(-1, 3)
         elif kind == b"IDAT":
             body.append(data[at + 8 : at + 8 + n])
         at += 12 + n
+    if head is None:
+        raise ValueError("a PNG without a header")
     width, height, depth, colour, _, _, interlaced = head
-    if depth not in (8, 16) or colour not in PNG_CHANNELS or interlaced:
-        raise ValueError("only plain 8 and 16 bit PNGs without palette")
-    step = PNG_CHANNELS[colour] * depth // 8
-    raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, 1 + width * step)
-    rows = np.ascontiguousarray(_unfilter(raw[:, 1:], raw[:, 0], step))
-    values = rows.view(">u2").astype(np.uint16) if depth == 16 else rows
-    return values.reshape((height, width) if colour == 0 else (height, width, -1))
+    if depth not in (1, 2, 4, 8, 16) or colour not in PNG_CHANNELS or colour == 3 and palette is None:
+        raise ValueError(f"unsupported PNG: {depth} bits, colour type {colour}")
+    channels, raw = PNG_CHANNELS[colour], zlib.decompress(b"".join(body))
+    out, used = np.zeros((height, width, channels), np.uint16 if depth == 16 else np.uint8), 0
+    for top, left, down, across in ADAM7 if interlaced else ((0, 0, 1, 1),):
+        h, w = -(-(height - top) // down), -(-(width - left) // across)
+        if h <= 0 or w <= 0:
+            continue
+        line = -(-w * channels * depth // 8)
+        part = np.frombuffer(raw, np.uint8, h * (1 + line), used).reshape(h, 1 + line)
+        used += h * (1 + line)
+        rows = np.ascontiguousarray(_unfilter(part[:, 1:], part[:, 0], max(1, channels * depth // 8)))
+        if depth < 8:
+            bits = np.unpackbits(rows, axis=1)[:, : w * depth].reshape(h, w, depth)
+            values = (bits << np.arange(depth - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8) * (1 if colour == 3 else 255 // (2**depth - 1))
+        else:
+            values = rows.view(">u2").astype(np.uint16) if depth == 16 else rows
+        out[top::down, left::across] = values.reshape(h, w, channels)
+    if colour == 3:
+        return palette[out[:, :, 0]]
+    return out[:, :, 0] if colour == 0 else out
+
+
+def bmp_decode(data: bytes) -> np.ndarray:
+    """An uncompressed BMP: palettes and 24 or 32 bits as RGB, a palette of greys as grey."""
+    if data[:2] != b"BM":
+        raise ValueError("not a BMP")
+    start, head, width, height, _, bits, how = struct.unpack_from("<IIiiHHI", data, 10)
+    if how not in (0, 3) or bits not in (1, 4, 8, 24, 32):
+        raise ValueError(f"unsupported BMP: {bits} bits, compression {how}")
+    rows, line = abs(height), -(-width * bits // 32) * 4
+    raw = np.frombuffer(data, np.uint8, rows * line, start).reshape(rows, line)[:: -1 if height > 0 else 1]
+    if bits >= 24:
+        return np.ascontiguousarray(raw[:, : width * bits // 8].reshape(rows, width, bits // 8)[:, :, 2::-1])
+    (used,) = struct.unpack_from("<I", data, 46)
+    palette = np.frombuffer(data, np.uint8, 4 * (used or 1 << bits), 14 + head).reshape(-1, 4)[:, 2::-1]
+    parts = np.unpackbits(raw, axis=1).reshape(rows, -1, bits)[:, :width]
+    index = (parts << np.arange(bits - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8)
+    rgb = palette[index]
+    return np.ascontiguousarray(rgb[:, :, 0]) if (palette == palette[:, :1]).all() else rgb
 
 
 def tiff_encode(pages: list[np.ndarray] | np.ndarray, compress: bool = True) -> bytes:
@@ -106,6 +145,8 @@ def decode(data: bytes) -> np.ndarray:
         return png_decode(data)
     if data[:6] == b"\x93NUMPY":
         return npy_decode(data)
+    if data[:2] in (b"BM", b"\xff\xd8"):
+        return slices(data)[0]
     pages = tiff_pages(data)
     return pages[0] if len(pages) == 1 else np.stack(pages)
 
@@ -116,6 +157,10 @@ def slices(data: bytes) -> list[np.ndarray]:
     if data[:6] == b"\x93NUMPY":
         a = npy_decode(data)
         return [*a] if a.ndim == 3 else [a]
+    if data[:2] == b"BM":
+        return [bmp_decode(data)]
+    if data[:2] == b"\xff\xd8":
+        return [jpeg.decode(data)]
     return [png_decode(data)] if data[:8] == PNG_SIGNATURE else tiff_pages(data)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from . import codecs
 
-EXTENSIONS = ("png", "tif", "tiff", "npy")  # what the codecs read
+EXTENSIONS = ("png", "tif", "tiff", "npy", "jpg", "jpeg", "bmp")  # what the codecs read
 SLICES = "scan_id string, z long, path string, height long, width long, dtype string, data binary, problem string"
 
 
@@ -22,7 +22,7 @@ def _folders(path: str | list[str]) -> list[str]:
     return [*dict.fromkeys(p.rstrip("/") or "/" for p in ([path] if isinstance(path, str) else path))]
 
 
-def list_slices(spark: SparkSession, path: str | list[str], extensions=("png", "tif", "tiff", "npy"), number: str | None = None) -> DataFrame:
+def list_slices(spark: SparkSession, path: str | list[str], extensions=EXTENSIONS, number: str | None = None) -> DataFrame:
     """(scan_id, z, path): files of a folder, or of several, with one of the extensions, whatever their case.
 
     scan_id is the folder's name. z is the rank of the path, or with a pattern the number that its first group finds;
@@ -42,7 +42,7 @@ def list_slices(spark: SparkSession, path: str | list[str], extensions=("png", "
     return found
 
 
-def read_stack(spark: SparkSession, path: str | list[str], extensions=("png", "tif", "tiff", "npy"), number: str | None = None, channel: str = "first") -> DataFrame:
+def read_stack(spark: SparkSession, path: str | list[str], extensions=EXTENSIONS, number: str | None = None, channel: str = "first") -> DataFrame:
     """Decoded slices (scan_id, z, path, height, width, dtype, data, problem).
 
     Spark's binaryFile source reads the files, so any store that it knows will do. A file may hold several slices (pages
@@ -85,7 +85,7 @@ def read_stack(spark: SparkSession, path: str | list[str], extensions=("png", "t
 
 
 def voxels(slices: DataFrame, value: str = "v") -> DataFrame:
-    """(scan_id, z, y, x, v) of decoded slices, whole numbers as long and floats as double; undecoded ones give none."""
+    """(scan_id, z, y, x, v) of decoded slices, v as double whatever the kind; undecoded ones give none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,19 +102,37 @@ def voxels(slices: DataFrame, value: str = "v") -> DataFrame:
     return good.mapInArrow(run, f"scan_id string, z long, y long, x long, {value} double")
 
 
-def slices_of(df: DataFrame, value: str, dtype: str = "uint8", file_format: str = "png", name: str = "slice_%06d") -> DataFrame:
-    """(scan_id, z, name, content): each slice of voxels encoded as a file. name: a pattern for z, without the suffix."""
+def slices_of(df: DataFrame, value: str | list[str], dtype: str = "uint8", file_format: str = "png", name: str = "slice_%06d", stems: DataFrame | None = None) -> DataFrame:
+    """(scan_id, z, name, content): each slice of voxels encoded as a file; three columns make one in colour. name: a
+    pattern for z, without the suffix. stems: (scan_id, z, stem), what stands in names for ``slice_%06d``; slices without one are left out."""
     encode = {"png": codecs.png_encode, "tif": codecs.tiff_encode, "npy": codecs.npy_encode}[file_format]
     scan_kind = dict(df.dtypes)["scan_id"]
+    values = [value] if isinstance(value, str) else list(value)
+    numbered = stems is None
 
     def run(t: pa.Table) -> pa.Table:
         y, x = t.column("y").to_numpy(), t.column("x").to_numpy()
-        a = np.zeros((y.max() + 1, x.max() + 1), dtype)
-        a[y, x] = t.column(value).to_numpy()
+        a = np.zeros((y.max() + 1, x.max() + 1, len(values)), dtype)
+        for k, c in enumerate(values):
+            a[y, x, k] = t.column(c).to_numpy()
+        content = encode(a[:, :, 0] if len(values) == 1 else a)
         z = t.column("z")[0].as_py()
-        return pa.table({"scan_id": t.column("scan_id")[:1], "z": pa.array([z], pa.int64()), "name": [f"{name % z}.{file_format}"], "content": pa.array([encode(a)], pa.binary())})
+        own = name % z if numbered else name
+        return pa.table({"scan_id": t.column("scan_id")[:1], "z": pa.array([z], pa.int64()), "name": [f"{own}.{file_format}"], "content": pa.array([content], pa.binary())})
 
-    return df.select("scan_id", "z", "y", "x", value).groupBy("scan_id", "z").applyInArrow(run, f"scan_id {scan_kind}, z long, name string, content binary")
+    made = df.select("scan_id", "z", "y", "x", *values).groupBy("scan_id", "z").applyInArrow(run, f"scan_id {scan_kind}, z long, name string, content binary")
+    if stems is None:
+        return made
+    own = stems.select("scan_id", F.col("z").cast("long").alias("z"), "stem")
+    return made.join(own, ["scan_id", "z"]).select("scan_id", "z", F.replace("name", F.lit("slice_%06d"), "stem").alias("name"), "content")
+
+
+def stems(slices: DataFrame) -> DataFrame:
+    """(scan_id, z, stem) of decoded slices: the name of a slice's file without its suffix, with the number of the slice
+    behind it if the file holds several."""
+    stem = F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)
+    pages = F.count("*").over(Window.partitionBy("path"))
+    return slices.select("scan_id", "z", "path").select("scan_id", "z", F.concat(stem, F.when(pages > 1, F.concat(F.lit("_"), F.lpad(F.col("z").cast("string"), 4, "0"))).otherwise("")).alias("stem"))
 
 
 def grey8_as_png(slices: DataFrame) -> DataFrame:
@@ -127,10 +145,8 @@ def grey8_as_png(slices: DataFrame) -> DataFrame:
             files = [codecs.png_encode(np.frombuffer(data, np.uint8).reshape(h, w)) for h, w, data in shapes]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("scan_id", "z", "name")), pa.array(files, pa.binary())], names=["scan_id", "z", "name", "content"])
 
-    stem = F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)
-    pages = F.count("*").over(Window.partitionBy("path"))
     plain = slices.where("problem is null and dtype = 'uint8'")
-    named = plain.withColumn("name", F.concat(stem, F.when(pages > 1, F.concat(F.lit("_"), F.lpad(F.col("z").cast("string"), 4, "0"))).otherwise(""), F.lit(".png")))
+    named = plain.join(stems(plain), ["scan_id", "z"]).withColumn("name", F.concat("stem", F.lit(".png")))
     return named.select("scan_id", "z", "name", "height", "width", "data").mapInArrow(run, "scan_id string, z long, name string, content binary")
 
 

@@ -283,3 +283,74 @@ def test_a_task_that_fails_is_run_again(tmp_path):
     assert not (tmp_path / "v.npy").exists()
     writer.commit(done)
     assert (tmp_path / "v.npy").read_bytes() == whole and [p.name for p in tmp_path.iterdir()] == ["v.npy"]
+
+
+# --- names, overlays, folders of files ---
+
+
+def test_names_of_sources_and_overlays(spark, tmp_path):
+    from stackgrain.plans import config, pipeline
+
+    from .test_sources_and_plans import RAW
+
+    place = tmp_path / "scan"
+    place.mkdir()
+    a = np.random.default_rng(3).integers(0, 256, (3, 6, 7)).astype(np.uint8)
+    (place / "first.png").write_bytes(codecs.png_encode(a[0]))
+    (place / "pages.tif").write_bytes(tiff.encode([*a[1:]]))
+    c = config.parse(RAW | {"scan_dir": str(place)})
+    out = pipeline.run(spark, c, str(tmp_path / "out"), until="labels")
+    made = pipeline.export(out, str(tmp_path / "files"), overlays=True, stems=stack.stems(pipeline.source_slices(spark, c)))
+    assert made == ["classmap", "mask0", "mask01", "overlay_ov0", "overlay_ov01"]
+    names = lambda m: sorted(p.name for p in (tmp_path / "files" / m).iterdir())
+    assert names("mask0") == ["first_mask0.png", "pages_0001_mask0.png", "pages_0002_mask0.png"]
+    assert names("overlay_ov01") == ["first_ov01.png", "pages_0001_ov01.png", "pages_0002_ov01.png"]
+    mask = codecs.decode((tmp_path / "files" / "mask0" / "first_mask0.png").read_bytes()) > 0
+    rgb = codecs.decode((tmp_path / "files" / "overlay_ov0" / "first_ov0.png").read_bytes()).astype(int)
+    v = a[0].astype(float)
+    assert np.array_equal(rgb[:, :, 0], np.where(mask, np.rint(v * 0.65 + 255 * 0.35), v)) and np.array_equal(rgb[:, :, 2], np.where(mask, np.rint(v * 0.65), v))
+
+
+def test_region_files(spark, tmp_path):
+    from stackgrain.operators import roi
+
+    a = np.random.default_rng(3).integers(0, 60_000, (6, 8, 9))
+    df = spark.createDataFrame([("s", 10 + z, y, x, int(a[z, y, x])) for z, y, x in np.ndindex(a.shape)], "scan_id string, z long, y long, x long, v long")
+    files = stack.slices_of(roi.extract_roi(df, 4, 2, 1), "v", "uint16", "tif", stems=roi.roi_stems(df, 2, 1))
+    stack.write_slices(files, str(tmp_path / "roi"))
+    got = {p.name: codecs.decode(p.read_bytes()) for p in (tmp_path / "roi").iterdir()}
+    assert sorted(got) == ["roi_0000_slice0012.tif", "roi_0001_slice0013.tif", "roi_0002_slice0014.tif"]
+    top, left = 8 // 2 - 2, 9 // 2 - 2
+    assert all(np.array_equal(got[n], a[2 + k, top : top + 4, left : left + 4]) and got[n].dtype == np.uint16 for k, n in enumerate(sorted(got)))
+
+
+@pytest.mark.parametrize("method", ["percentile", "minmax", "divide256"])
+def test_normalised_folders(spark, tmp_path, method):
+    from stackgrain.plans import normalise
+
+    r = np.random.default_rng(5)
+    stacks = {"a.tif": r.normal(30_000, 4_000, (3, 20, 21)).clip(0, 65_535).astype(np.uint16), "b.tiff": r.integers(90, 250, (1, 9, 8)).astype(np.uint8),
+              "c.TIF": np.zeros((2, 4, 4), np.uint16), "d.tif": r.random((2, 12, 13)).astype(np.float32)}
+    if method == "divide256":
+        stacks.pop("d.tif")
+    (tmp_path / "in").mkdir()
+    for name, a in stacks.items():
+        (tmp_path / "in" / name).write_bytes(tiff.encode([*a]))
+    normalise.normalise_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), method=method)
+    got = {p.name: np.stack(codecs.tiff_pages(p.read_bytes())) for p in (tmp_path / "out").iterdir()}
+    assert sorted(got) == sorted(f"{n.rpartition('.')[0]}_norm8.{n.rpartition('.')[2]}" for n in stacks)
+    for name, a in stacks.items():
+        u = a.astype(np.float64)
+        if a.dtype == np.uint8:
+            pass
+        elif method == "divide256":
+            u = np.floor(u / 256)
+        else:
+            lo, hi = (u.min(), u.max()) if method == "minmax" else np.round(np.percentile(u, [0.5, 99.5]), 9)
+            u = np.floor(np.clip((u - lo) * 255 / (hi - lo), 0, 255)) if hi > lo else u * 0
+        band = np.bincount(u.astype(int).ravel(), minlength=256)[100:255]
+        mode = int(band.argmax()) + 100 if band.any() else 0
+        want = np.floor(np.clip(u * 200 / mode, 0, 255)) if mode else u
+        stem, _, kind = name.rpartition(".")
+        assert np.abs(got[f"{stem}_norm8.{kind}"] - want).max() <= (1 if method == "percentile" else 0), name
+        assert got[f"{stem}_norm8.{kind}"].dtype == np.uint8
