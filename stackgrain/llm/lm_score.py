@@ -5,7 +5,9 @@ Counts of all words and all word pairs of all training documents are quantised t
 mean), and each n-gram is entered at all levels up to its own. A lookup probes level 1, 2, ... until a probe fails; the
 last level that was found gives the count. The filter is made of segments by the leading bits of the key. Their number
 follows the training tokens and the bits of each its entries, so that no n-gram is left out and none of them grows with
-the corpus. The whole filter is never gathered in one place: keys are sent to the segment that they belong to.
+the corpus. While the filter, with the exact counts of words beside it, is of at most `broadcast_bytes` (its size is summed up
+first), it is broadcast and texts are scored where they are read. Beyond, keys are sent to the segment that they belong to,
+with the same results.
 
 The model's probability of word w after context h is ``(q(h w) + prior * u(w)) / (c(h) + prior)`` with
 ``u(w) = (q(w) + 1) / (Q + V + 1)``: q are counts from the filter, Q the sum of all words' q, and c(h) the exact count
@@ -13,8 +15,8 @@ of the context, which a segment holds for the base score. u sums to one over the
 whole, as far as the pairs' quantised counts add up to c(h): exactly where they are quantised without loss, in the mean
 otherwise. After a word that training lacks, the probability is u(w). A pair or word that training lacks is found at
 level 1 by chance with a probability below 0.4 per cent (eight probes at half load). The context of the first word is
-the end token. The counts of the most frequent words and pairs (bounded tables, with the same values from the filter)
-are broadcast; all other keys are joined by segment, once for each chunk of texts. N-grams are keyed by 64-bit hashes.
+the end token. The counts of the most frequent words and pairs of all (so many rows, with the same values from the filter)
+are broadcast in either case; all other keys are looked up once for each chunk of texts. N-grams are keyed by 64-bit hashes.
 
 Tokens are words (A-Z in lower case, split at ASCII white space) and one end a document. Null text counts as empty: its
 end token alone is scored. A very long text is one chunk of its own. A null id belongs to no held-out fold. Repeated
@@ -206,7 +208,7 @@ def segments(counted: DataFrame, words_each: int, pairs_each: int) -> DataFrame:
         top, top_pair = most(word, n, words_each), most(pair, pair_n, pairs_each)
         blobs = {
             "data": part.data, "keys": word, "n": n, "top": word[top], "top_n": n[top], "top_level": part.levels(word[top]).astype(np.int8),
-            "top_pair": pair[top_pair], "top_pair_level": part.levels(pair[top_pair]).astype(np.int8),
+            "top_pair": pair[top_pair], "top_pair_n": pair_n[top_pair], "top_pair_level": part.levels(pair[top_pair]).astype(np.int8),
         }
         return pa.table(
             {"segment": t.column("segment")[:1], "total": [int(n.sum())], "distinct": [len(word)], "mass": [float(VALUES[part.levels(word)].sum())]}
@@ -214,7 +216,23 @@ def segments(counted: DataFrame, words_each: int, pairs_each: int) -> DataFrame:
         )
 
     schema = "segment int, total long, distinct long, mass double, data binary, keys binary, n binary, top binary, top_n binary, top_level binary, "
-    return counted.groupBy("segment").applyInArrow(build, schema + "top_pair binary, top_pair_level binary")
+    return counted.groupBy("segment").applyInArrow(build, schema + "top_pair binary, top_pair_n binary, top_pair_level binary")
+
+
+def most_frequent(parts: DataFrame, name: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys in order, counts, levels) of the k most frequent of what the segments hand over as `name`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = [np.frombuffer(x, t) for x, t in zip(row, (np.int64, np.int64, np.int8), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], names=["key", "n", "level"])
+
+    packed = parts.select(name, f"{name}_n", f"{name}_level").mapInArrow(run, "key long, n long, level byte")
+    found = packed.orderBy(F.desc("n"), "key").limit(k).toArrow()
+    keys, n, level = (found.column(c).to_numpy() for c in ("key", "n", "level"))
+    order = np.argsort(keys.view(np.uint64))
+    return keys.view(np.uint64)[order], n[order], level[order]
 
 
 class Segments:
@@ -291,11 +309,12 @@ def score_texts(
     pair_words: int = 500_000,
     bits: int = 21,
     prior: float = 4.0,
+    broadcast_bytes: int = 128 << 20,
 ) -> DataFrame:
     """Scores of every text of docs under the model of train's texts. held_out: a boolean column of docs to carry.
 
     frequent_words and pair_words: so many words and word pairs, about, have their counts broadcast. bits: a segment has
-    about 2 ** bits bits. None of them changes what is counted. prior: how many counts the words' own probabilities weigh
+    about 2 ** bits bits. broadcast_bytes: up to which size the filter itself is broadcast. None of them changes what is counted. prior: how many counts the words' own probabilities weigh
     beside those of the pairs of a context."""
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -304,14 +323,63 @@ def score_texts(
     lead = leading_bits(size // 8, bits)  # about 8 bytes of text an entry
     each = [-(-most >> lead) for most in (frequent_words, pair_words)]
     parts = stored(segments(count_keys(learn, lead), *each), "segments")
-    row = parts.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v"), F.sum("mass").alias("q")).first()
+    weight = sum((F.octet_length(c) for c in ("data", "keys", "n")), F.lit(0))
+    row = parts.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v"), F.sum("mass").alias("q"), F.sum(weight).alias("bytes")).first()
     n_all, n_distinct = row["n"] or 0, row["v"] or 0
     total, mass = float(n_all + n_distinct + 1), (row["q"] or 0.0) + n_distinct + 1
-    tops = parts.select("top", "top_n", "top_level", "top_pair", "top_pair_level").toArrow()
-    kinds = zip(tops.columns, (np.uint64, np.int64, np.int8, np.uint64, np.int8), strict=True)
-    top, top_n, top_level, top_pair, top_pair_level = (np.frombuffer(b"".join(c.to_pylist()), kind) for c, kind in kinds)
-    order, pair_order = np.argsort(top), np.argsort(top_pair)
-    common = sc.broadcast((top[order], top_n[order], top_level[order], top_pair[pair_order], top_pair_level[pair_order]))
+    top, top_n, top_level = most_frequent(parts, "top", frequent_words)
+    top_pair, _, top_pair_level = most_frequent(parts, "top_pair", pair_words)
+    common = sc.broadcast((top, top_n, top_level, top_pair, top_pair_level))
+
+    def scored(chunk: Chunk) -> dict[str, np.ndarray]:
+        """The columns of the texts of a chunk that has learned its counts."""
+        alone = (VALUES[chunk.level] + 1) / mass
+        context = chunk.n[chunk.context].astype(np.float64)
+        joint = np.where(context > 0, np.minimum(VALUES[chunk.joint], context), 0)
+        score = np.log10((joint + prior * alone[chunk.word]) / (context + prior))
+        base = np.log10((chunk.n + 1) / total)
+        return {
+            "n_tokens": chunk.sizes, "n_known": chunk.sums((chunk.n > 0).astype(np.int64)[chunk.at]),
+            "train_tokens": np.full(len(chunk.sizes), n_all, np.int64),
+            "base_score": chunk.sums(base[chunk.at]), "score": chunk.sums(score[chunk.which]),
+        }
+
+    def looked_up(data: bytes, table: bytes, n: bytes, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Levels of keys in their segment, and exact counts of words."""
+        table, n = np.frombuffer(table, np.uint64), np.frombuffer(n, np.int64)
+        count = np.zeros(len(keys), np.int64)
+        place, found = _inside(table, keys)
+        count[found] = n[place[found]]
+        return LogFrequencyFilter.read(data).levels(keys), count
+
+    source = docs.select(
+        F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(False)).alias("held_out"),
+        F.col(text_col).cast("binary").alias("text"),
+    )
+    result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+    if (row["bytes"] or 0) <= broadcast_bytes:
+        held = parts.select("segment", "data", "keys", "n").toArrow().to_pydict()
+        whole = sc.broadcast({x: (d, k, c) for x, d, k, c in zip(*held.values(), strict=True)})
+        del held
+
+        def score_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens = Tokens()
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                for own, some in chunks([*range(len(texts))], texts, 4 * CHUNK_CHARS):
+                    chunk = Chunk(tokens, some, common.value)
+                    levels, n = np.zeros(len(chunk.keys), np.int64), np.zeros(len(chunk.keys), np.int64)
+                    for x, at in by_segment(chunk.keys, lead):
+                        if x in whole.value:
+                            levels[at], n[at] = looked_up(*whole.value[x], chunk.keys[at])
+                    chunk.learn(levels, n)
+                    found = scored(chunk)
+                    ids = batch.select(["doc_id", "held_out"]).slice(own[0], len(own))
+                    yield pa.RecordBatch.from_arrays([*ids.columns, *map(pa.array, found.values())], names=["doc_id", "held_out", *found])
+
+        return source.drop("part").mapInArrow(score_here, result)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = 0
@@ -343,15 +411,11 @@ def score_texts(
                 )
 
     def tell(asking: pa.Table, part: pa.Table) -> pa.Table:
-        """Levels of the keys in their segment, and exact counts of words."""
         packed = asking.column("asked").to_pylist()
         keys, at = np.unique(np.frombuffer(b"".join(packed), np.uint64), return_inverse=True)
         level, count = np.zeros(len(keys), np.int8), np.zeros(len(keys), np.int64)
         if part.num_rows:
-            level[:] = LogFrequencyFilter.read(part.column("data")[0].as_py()).levels(keys)
-            table, n = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("n", np.int64)))
-            place, found = _inside(table, keys)
-            count[found] = n[place[found]]
+            level[:], count[:] = looked_up(*(part.column(c)[0].as_py() for c in ("data", "keys", "n")), keys)
         ends = np.cumsum([len(x) // 8 for x in packed], dtype=np.int64)[:-1]
         levels, counts = ([x.tobytes() for x in np.split(y[at], ends)] if packed else [] for y in (level, count))
         return pa.table({
@@ -367,23 +431,8 @@ def score_texts(
         chunk.learn(
             np.frombuffer(b"".join(level[i] for i in order), np.int8), np.frombuffer(b"".join(n[i] for i in order), np.int64)
         )
-        alone = (VALUES[chunk.level] + 1) / mass
-        context = chunk.n[chunk.context].astype(np.float64)
-        joint = np.where(context > 0, np.minimum(VALUES[chunk.joint], context), 0)
-        score = np.log10((joint + prior * alone[chunk.word]) / (context + prior))
-        base = np.log10((chunk.n + 1) / total)
-        return pa.table({
-            "doc_id": own.column("ids"), "held_out": own.column("held"),
-            "n_tokens": chunk.sizes, "n_known": chunk.sums((chunk.n > 0).astype(np.int64)[chunk.at]),
-            "train_tokens": np.full(len(chunk.sizes), n_all, np.int64),
-            "base_score": chunk.sums(base[chunk.at]), "score": chunk.sums(score[chunk.which]),
-        })
+        return pa.table({"doc_id": own.column("ids"), "held_out": own.column("held")} | scored(chunk))
 
-    source = docs.select(
-        F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(False)).alias("held_out"),
-        F.col(text_col).cast("binary").alias("text"),
-    )
     packed = stored(source.mapInArrow(pack, "chunk long, rows binary"), "chunks")
     asking = packed.mapInArrow(ask, "segment int, chunk long, asked binary")
     answers = (
@@ -394,9 +443,7 @@ def score_texts(
     return (
         packed.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(
-            add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-        )
+        .applyInArrow(add_up, result)
     )
 
 
