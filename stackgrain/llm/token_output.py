@@ -100,8 +100,10 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, (rest + low[:, None]).reshape(-1)[:n]
 
 
-def token_ids(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, wide, ids): each document's ids with the end id, as 32-bit integers if wide and as 16-bit ones if not."""
+def token_ids(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, bounds: list[int]) -> DataFrame:
+    """(doc_id, part, wide, ids): each document's ids with the end id, as 32-bit integers if wide and as 16-bit ones if
+    not. part: how many of the sorted bounds are below the document's id, 0 for a null one."""
+    limits = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_ids(tokenizer)
@@ -112,10 +114,12 @@ def token_ids(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
                 data = ids if wide else ids.astype("<u2")
                 bounds = np.concatenate(([0], np.cumsum(sizes))) * data.itemsize
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array([wide] * (b - a)), packed.cast(pa.binary())], names=["doc_id", "wide", "ids"])
+                own = batch.column("doc_id").slice(a, b - a)
+                part = np.searchsorted(limits, own.fill_null(NULL_ID).to_numpy()).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([own, pa.array(part), pa.array([wide] * (b - a)), packed.cast(pa.binary())], names=["doc_id", "part", "wide", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, wide boolean, ids binary")
+    return source.mapInArrow(run, "doc_id long, part int, wide boolean, ids binary")
 
 
 def write_tokens(
@@ -160,11 +164,9 @@ def write_tokens(
         F.percentile_approx("doc_id", F.array(*(F.lit(i / n) for i in range(1, n))), F.lit(20 * n)).alias("b")
     ) if n > 1 else None
     bounds = sorted({*((bounds.first()["b"] if bounds is not None else None) or [])})
-    given = F.array(*map(F.lit, bounds)).cast("array<bigint>")
-    tokenised = token_ids(docs, id_col, text_col, tokenizer or default_tokenizer(), end_id)
-    below = F.size(F.filter(given, lambda b: b < F.col("doc_id")))
+    tokenised = token_ids(docs, id_col, text_col, tokenizer or default_tokenizer(), end_id, bounds)
     ordered = (
-        tokenised.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(below))
+        tokenised
         .repartitionById(len(bounds) + 1, F.col("part"))
         .sortWithinPartitions("doc_id")
         .select("part", "doc_id", "wide", "ids")
