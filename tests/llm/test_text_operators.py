@@ -423,9 +423,22 @@ def test_base_scores(hard, nothing):
 def test_rare_words_are_joined_exactly(hard):
     learn = hard.select("doc_id", "text")
     few = lm_score.score_texts(learn, learn, frequent_words=5, pair_words=3, bits=16)
-    many = lm_score.score_texts(learn, learn, bits=20)
+    many = lm_score.score_texts(learn, learn, bits=20, broadcast_bytes=0)
     a, b = ({(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in x.collect()} for x in (few, many))
     assert a == b
+    ways = [lm_score.score_texts(learn, learn, frequent_words=5, pair_words=3, bits=14, broadcast_bytes=n) for n in (0, 1 << 30)]
+    a, b = (sorted((tuple(r) for r in x.collect()), key=str) for x in ways)
+    assert [x[:5] for x in a] == [x[:5] for x in b] and np.allclose([x[5:] for x in a], [x[5:] for x in b], rtol=1e-12)
+
+
+def test_the_most_frequent_keys_are_bounded(spark):
+    """Many segments hand over a key each; only so many of all, by count, are kept."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i + 1))) for i in range(60)], "doc_id long, text string").select(F.col("text").cast("binary").alias("text"))
+    parts = lm_score.segments(lm_score.count_keys(docs, 8), 1, 1).cache()
+    keys, n, _ = lm_score.most_frequent(parts, "top", 10)
+    assert parts.count() > 30 and len(keys) == 10 and (np.diff(keys.astype(float)) > 0).all()
+    assert sorted(n)[0] >= 30 and len(lm_score.most_frequent(parts, "top_pair", 7)[0]) == 7
+    parts.unpersist()
 
 
 def test_every_pair_is_in_the_model(spark):
