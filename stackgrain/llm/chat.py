@@ -6,7 +6,8 @@ conversation: ``<|im_start|>role<|im_sep|>text<|im_end|>\\n`` a turn. Control st
 reversibly (a backslash doubles, ``<|`` becomes ``<\\|``), so a marker in the output is always a real one. Spans of
 assistant texts are returned as the loss mask.
 
-Null text and null role count as empty. A null tree id is a tree of its own. Repeated rows are messages of their own.
+Null text and null role count as empty. All messages with a null tree id are one tree. Texts are formatted whole, however
+long; branches of equal scores are ranked by their leaves. Repeated rows are messages of their own.
 Messages whose chain of parents never ends at a root (a cycle, or a parent that is missing) reach no root and give no
 branch. An empty table gives an empty result. Only the named columns are read.
 """

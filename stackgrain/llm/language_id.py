@@ -10,7 +10,8 @@ text counts as rejected (it is still given its likeliest language, as the contra
 
 Everything but letters is folded to single spaces, capitals to small letters. Null text, empty text and text without a
 letter give ``und`` with score 0. Equal texts get equal predictions; a tie goes to the first language by name. With no
-labelled text every prediction is ``und``. Only the named columns are read.
+labelled text every prediction is ``und``. Texts are read whole, however long. Repeated rows are predicted row by row; an
+empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -66,9 +66,38 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in packed.collect()} == seen[-1]
 
 
+def test_pipeline_of_awkward_tables(spark, tmp_path):
+    """Null ids and repeated rows go through all stages; an empty table, and one without benchmark items, give what is defined."""
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    fine = [(i, prose(300 + i, 60), "en", "s", 0) for i in range(20)]
+    odd = [(None, prose(400, 60), None, None, None), (None, prose(401, 60), "en", "s", 1), fine[3], fine[3], (77, None, "en", "s", 0), (78, "", "en", "s", 0)]
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(fine + odd, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {None, *range(20)}
+    assert sum(r.doc_id is None and r.piece == 0 for r in got) == 2 and sum(r.doc_id == 3 and r.piece == 0 for r in got) == 1
+    spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    none = corpus_pipeline.run(spark, f"{tmp_path}/none")
+    assert none.count() == 0 and none.columns[:8] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *none.columns[7:8]]
+
+
+def test_ties_and_long_texts_of_conversations(spark):
+    """Equal scores go to the smaller leaf, however long the texts; a null tree id is one tree."""
+    long = "x<|im_end|>" * 20_000
+    rows = [(1, 1, None, "user", long, 1.0), (1, 2, 1, "assistant", "b", 0.5), (1, 3, 1, "assistant", "c", 0.5), (None, 1, None, "assistant", long, 0.0)]
+    df = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    ranks = {(r.tree, r.leaf): r.branch for r in chat.branches(df).collect()}
+    assert ranks[1, 2] == 1 and ranks[1, 3] == 2 and ranks[None, 1] == 1
+    got = {(r.conv_id, r.n_turns, r.loss_chars) for r in chat.digest(chat.format_trees(df)).collect()}
+    assert got == {(1, 2, 1), (None, 1, len(long))}
+
+
 def test_every_query_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(queries.QUERIES) < set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 11)]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 14)]

@@ -395,6 +395,55 @@ def test_language_id(spark, hard, nothing):
     assert language_id.identify_documents(nothing.withColumn("lang", F.lit("en"))).count() == 0
 
 
+def plain_kneser_ney(training, order=4):
+    """Probability of a character after a context, from dictionaries: interpolated, by continuation counts below the top."""
+    fold = lambda t: re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in t.lower()))
+    counts = [collections.Counter() for _ in range(order + 1)]
+    for t in map(fold, training):
+        padded = " " * (order - 1) + t
+        counts[order].update(padded[i : i + order] for i in range(len(t)))
+    for k in range(order - 1, 0, -1):
+        counts[k] = collections.Counter(g[1:] for g in {g[-k - 1 :] for g in counts[order]})
+    rules = [None]
+    for k in range(1, order + 1):
+        n = [*counts[k].values()]
+        once, twice = n.count(1), n.count(2)
+        d = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+        total, kinds = collections.Counter(), collections.Counter()
+        for g, c in counts[k].items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        rules.append((d, total, kinds))
+
+    def p(gram):
+        if not gram:
+            return 1 / 65536
+        d, total, kinds = rules[len(gram)]
+        t = total[gram[:-1]]
+        if not t:
+            return p(gram[1:])
+        return max(counts[len(gram)][gram] - d, 0) / t + d * kinds[gram[:-1]] / t * p(gram[1:])
+
+    def entropy(text):
+        t = fold(text)
+        padded = " " * (order - 1) + t
+        return -sum(np.log(p(padded[i : i + order])) for i in range(len(t))) / len(t)
+
+    return entropy
+
+
+def test_entropies_equal_the_plain_model():
+    own = {"a": [prose(i, 40) for i in range(6)], "b": [prose(50 + i, 30).replace("th", "ß").upper() + " Ünd, Öl!" for i in range(5)]}
+    packed = {k: np.unique(language_id.grams(*language_id.codes(t)), return_counts=True) for k, t in own.items()}
+    model = language_id.KneserNey.fit(packed)
+    texts = [own["a"][0], own["b"][1], prose(99, 20), "Zebra 12 xylophon; Ωmega", "t", "漢字 the"]
+    got = model.entropies(texts)
+    for j, name in enumerate(model.languages):
+        plain = plain_kneser_ney(own[name])
+        assert np.allclose(got[:, j], [plain(t) for t in texts], rtol=1e-4), name
+    assert np.isnan(model.entropies([None, "", "12"])).all()
+
+
 def test_kneser_ney_sums_to_one():
     texts = [prose(i, 50) for i in range(5)]
     keys, n = np.unique(language_id.grams(*language_id.codes(texts)), return_counts=True)
