@@ -2,6 +2,11 @@
 
 Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet and read again as the next stage's
 documents. All but the last return the columns of documents. ``run`` applies them to the documents of sf_dir.
+
+Texts that are null, empty or too short are rejected by the quality rules. Very long texts go through whole. Documents
+with a null id stay, each for itself; of rows with equal id and text one stays, of near copies the one with the smallest
+id. An empty table gives an empty result, and a benchmark without items takes nothing away. The order of the rows has no
+part in any decision.
 """
 
 from __future__ import annotations
