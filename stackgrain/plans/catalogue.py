@@ -5,13 +5,15 @@ All integers are bigint, doubles are rounded to six decimals on both sides.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackgrain.operators import binary, components, correct, edt, filters, intensity, opening, otsu, psd, radix, roi, weak, zmetrics
-from stackgrain.sources import derive
+from stackgrain.sources import derive, stack, volume
 from stackgrain.sources.derive import GRAY_SQL, LAB_SQL, LINE_SQL, VOL_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +39,39 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*(fix[t](c).alias(c) if t in fix else F.col(c) for c, t in df.dtypes))
 
 
+# --- volumes in one file ---
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for files that tasks write and read: below spark.checkpoint.dir, for a local session without one below its warehouse."""
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not place:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        place = spark.conf.get("spark.sql.warehouse.dir")
+    if "://" in place and not place.startswith("file://"):
+        raise ValueError("volumes are written into mounted folders only")
+    return f"/{re.sub('^file:/*', '', place).strip('/')}/volumes-{uuid.uuid4().hex}"
+
+
+def _reread(spark: SparkSession, sf_dir: str, file_format: str) -> DataFrame:
+    """The grey slices 10..39 of each scan, written as one file a scan and read back by ranges."""
+    folder = shared_folder(spark)
+    volume.write_volumes(volume.planes(derive.gray(spark, sf_dir), "v"), folder, file_format)
+    slices = volume.read_volumes(spark, folder, 10, 39, bytes_per_task=1 << 20, per_file=True)
+    return stack.voxels(slices).select(F.col("scan_id").cast("long").alias("scan_id"), *"zyx", F.col("v").cast("long").alias("v"))
+
+
+@query(f"WITH {GRAY_SQL} SELECT scan_id, z, v, count(*) AS n FROM gray WHERE z BETWEEN 10 AND 39 GROUP BY scan_id, z, v")
+def volume_npy_hist(spark, sf_dir):
+    return intensity.histogram(_reread(spark, sf_dir, "npy"))
+
+
+@query(f"WITH {GRAY_SQL} SELECT scan_id, z, y, x, v FROM gray WHERE z BETWEEN 10 AND 39")
+def volume_tiff_voxels(spark, sf_dir):
+    return _reread(spark, sf_dir, "tif")
+
+
 # --- intensity ---
 
 

@@ -92,12 +92,14 @@ def files_of(paths: list[str]) -> list[str]:
     return found
 
 
-def parts_of(files: list[str], size: int, low: int | None, high: int | None) -> Iterator[Part]:
-    """Ranges of slices of about `size` bytes whose z lies in low..high. z counts on over the files of a folder."""
+def parts_of(files: list[str], size: int, low: int | None, high: int | None, alone: bool = False) -> Iterator[Part]:
+    """Ranges of slices of about `size` bytes whose z lies in low..high. z counts on over the files of a folder, or from 0
+    in each file that is a scan of its own (alone)."""
     z, before = 0, ""
     for file in files:
-        scan = file.rsplit("/", 2)[-2]
-        z, before = (z if file.rsplit("/", 1)[0] == before else 0), file.rsplit("/", 1)[0]
+        folder, _, name = file.rpartition("/")
+        scan = name.rpartition(".")[0] if alone else folder.rpartition("/")[2]
+        z, before = (z if folder == before and not alone else 0), folder
         try:
             opened, read = _opened(file)
             with opened:
@@ -128,10 +130,10 @@ class _Reader(DataSourceReader):
         self.files = options["path"].split("\n")
         self.size = int(options.get("bytesPerTask", 64 << 20))
         self.low, self.high = (int(options[k]) if k in options else None for k in ("zFrom", "zTo"))
-        self.channel = options.get("channel", "first")
+        self.channel, self.alone = options.get("channel", "first"), options.get("perFile", "false") == "true"
 
     def partitions(self) -> list[Part]:
-        return list(parts_of(files_of(self.files), self.size, self.low, self.high)) or [Part("", "", 0, [])]
+        return list(parts_of(files_of(self.files), self.size, self.low, self.high, self.alone)) or [Part("", "", 0, [])]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
         if part.problem:
@@ -188,15 +190,16 @@ class VolumeSlices(DataSource):
         return (_PrunedReader if self.options.get("pushdown") == "true" else _Reader)(self.options)
 
 
-def read_volumes(spark: SparkSession, path: str | list[str], z_from: int | None = None, z_to: int | None = None, bytes_per_task: int = 64 << 20, channel: str = "first") -> DataFrame:
+def read_volumes(spark: SparkSession, path: str | list[str], z_from: int | None = None, z_to: int | None = None, bytes_per_task: int = 64 << 20, channel: str = "first", per_file: bool = False) -> DataFrame:
     """Slices z_from..z_to (both included) of the volumes of files or folders, in the columns of stack.read_stack.
 
-    scan_id is the folder's name, z counts on over its files in the order of their names. A file or page that cannot be
+    scan_id is the folder's name, z counts on over its files in the order of their names; with per_file each file is a scan
+    named by its stem, as write_volumes leaves them. A file or page that cannot be
     decoded is a row with a problem and no data; a file whose header cannot be read counts as one slice."""
     spark.dataSource.register(VolumeSlices)
     paths = [path] if isinstance(path, str) else list(dict.fromkeys(path))
     # Several paths go into one option, a line each.
-    read = spark.read.format("volume_slices").option("path", "\n".join(paths)).option("bytesPerTask", bytes_per_task).option("channel", channel)
+    read = spark.read.format("volume_slices").option("path", "\n".join(paths)).option("bytesPerTask", bytes_per_task).option("channel", channel).option("perFile", str(per_file).lower())
     read = read.option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     for name, limit in (("zFrom", z_from), ("zTo", z_to)):
         read = read if limit is None else read.option(name, limit)

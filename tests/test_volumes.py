@@ -197,6 +197,13 @@ def test_a_sparse_volume_beyond_two_gigabytes(spark, tmp_path):
     assert volume.read_volumes(spark, str(file)).rdd.getNumPartitions() == 50  # of 67 slices each
 
 
+def test_files_that_are_scans(spark, scans):
+    place, arrays = scans
+    got = volume.read_volumes(spark, str(place / "one"), 1, 3, per_file=True)
+    assert {(r.scan_id, r.z) for r in got.collect()} == {("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("b", 3), ("c", 1)}
+    assert bytes(got.where("scan_id = 'c'").first().data) == arrays["one"][10].tobytes()
+
+
 def test_damaged_volumes(spark, tmp_path):
     (tmp_path / "s").mkdir()
     a = np.arange(24, dtype=np.uint8).reshape(2, 3, 4)
