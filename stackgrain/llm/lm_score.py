@@ -309,7 +309,7 @@ def score_texts(
     pair_words: int = 500_000,
     bits: int = 21,
     prior: float = 4.0,
-    broadcast_bytes: int = 128 << 20,
+    broadcast_bytes: int = 10 << 20,
 ) -> DataFrame:
     """Scores of every text of docs under the model of train's texts. held_out: a boolean column of docs to carry.
 
