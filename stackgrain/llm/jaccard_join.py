@@ -17,9 +17,10 @@ are then verified exactly on their sets of 64-bit shingle hashes.
 Texts with equal sets form one class beforehand. Within a block that several classes share, members are not paired
 with each other: in each round every class is compared with a few leaders of its blocks (first those that share most,
 then others by hash) that are not yet in its component, and components are formed anew; so a large group of near copies
-falls into few components in a number of pairs that grows with its size. Then the pairs that still lie in different
+falls into few components in a number of pairs that grows with its size. What large blocks leave open is then compared with
+hubs, the texts with the fewest shingles of their own, which takes in those on the rim of a group. Then the pairs that still lie in different
 components, of fitting sizes and sketches, are compared, so that no component is split: all pairs of blocks of few rows, and in
-larger blocks those that share one of their rarest shingles, which all similar pairs do. A passage that many texts share
+larger blocks those that share one of their rarest shingles, at places that leave enough to share, as all similar pairs do. A passage that many texts share
 fills large blocks, but is not among the rarest shingles of texts that are not similar.
 Where they are asked for, links are counted inside the components, tile by tile, as products of 0/1 matrices of their
 shingles: no rows are made for pairs, but the arithmetic grows with the square of a component.
@@ -266,24 +267,30 @@ def _tiled(rows: DataFrame, group: str, slots: Column, by: str) -> DataFrame:
 def _pairs_left(here: DataFrame, sets: DataFrame, percent: int, most: int = 64) -> DataFrame:
     """(a, b): pairs that share a block, lie in different components and may be similar by size and sketch. In blocks of
     at most so many rows all pairs are made; rows of larger blocks meet by their rarest shingles."""
+    few, hot = _by_size(here, most)
+    return _pairs_of_few(few, sets, percent).unionByName(_pairs_by_rare_shingles(_rare_shingles(hot, sets, percent), percent)).distinct()
+
+
+def _by_size(here: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (key, fp, comp) of blocks of at most so many rows, and the classes (fp, comp) of larger ones."""
     size = here.groupBy("key").agg(F.count("*").alias("m"))
     rows = stored(here.join(size, "key").select("key", "fp", "comp", "m"), "sized")
-    light = sets.drop("set")
-    full = rows.where(F.col("m") <= most).select("key", "fp", "comp").join(light, "fp")
+    return rows.where(F.col("m") <= most).select("key", "fp", "comp"), rows.where(F.col("m") > most).select("fp", "comp").distinct()
+
+
+def _pairs_of_few(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    full = rows.join(sets.drop("set"), "fp")
     a, b = _side("a", full), _side("b", full)
-    few = a.join(b, (a.a_key == b.b_key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent))
-    hot = rows.where(F.col("m") > most).select("fp", "comp").distinct()
-    return few.select("a", "b").unionByName(_pairs_by_rare_shingles(hot, sets, percent)).distinct()
+    return a.join(b, (a.a_key == b.b_key) & (F.col("a_comp") < F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
 
 
-def _pairs_by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of the classes (fp, comp) that share one of their rarest shingles, lie in different components and
-    may be similar by size and sketch.
+def _rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles h of the classes (fp, comp), with their place in the class's set, whether they are early, and
+    the number `met` of the class's shingles that others have; as a stored table with sizes and sketches.
 
     Sets of n <= m shingles with a similarity of p per cent share at least 2 p / (100 + p) n and p m / 100. With shingles in
     one order, rarest among these classes first, the first shingle that two sets share is then among the first n / 7 + 1
-    of the smaller and m / 4 + 1 of the larger one (for p = 75). So a passage that many texts share makes them meet only
-    where it leaves less than a seventh of a text its own, and such texts are similar and in one component by now."""
+    of the smaller (early ones) and m / 4 + 1 of the larger one (for p = 75)."""
     own = rows.join(sets.select("fp", "n", "set"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,14 +305,39 @@ def _pairs_by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> D
     often = shingle.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     met = shingle.join(often, "h")
     mine = Window.partitionBy("fp")  # a set, which one task has made
-    place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "h"))  # after those that no other has
+    met = met.withColumn("met", F.count("*").over(mine))
+    place = F.col("n") - F.col("met") + F.row_number().over(mine.orderBy("df", "h"))  # after those that no other has
     smaller = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
     larger = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = met.withColumn("place", place).where(F.col("place") <= larger).select("fp", "h", (F.col("place") <= smaller).alias("early"))
-    first = stored(first.join(rows, "fp").join(sets.drop("set"), "fp"), "rare")
-    a, b = _side("a", first.where("early")), _side("b", first)
+    first = met.withColumn("place", place).where(F.col("place") <= larger).select("fp", "h", "place", "met", (F.col("place") <= smaller).alias("early"))
+    return stored(first.join(rows, "fp").join(sets.drop("set"), "fp"), "rare")
+
+
+def _pairs_with_hubs(rare: DataFrame, percent: int, hubs: int = 4) -> DataFrame:
+    """(a, b): each class with a few classes of other components that share one of its rarest shingles and have the
+    fewest of their own. A text on the rim of a large group is linked with those if with any of the group; once it is
+    in their component, it needs no comparison with all others there."""
+    heads = rare.groupBy("h").agg(F.max_by(F.struct("fp", "comp", "n", *(f"s{i}" for i in range(SKETCH_LONGS))), F.struct(F.col("met") / F.col("n"), "fp")).alias("b"),
+                                  F.max(F.col("met") / F.col("n")).alias("share"))
+    a, b = _side("a", rare), heads.select("h", "share", F.col("b.fp").alias("b"), *(F.col(f"b.{c}").alias(f"b_{c}") for c in ("comp", "n", *(f"s{i}" for i in range(SKETCH_LONGS)))))
+    met = a.join(b, (a.a_h == b.h) & (F.col("a_comp") != F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b", "share").distinct()
+    few = Window.partitionBy("a").orderBy(F.desc("share"), "b")  # a class has a bounded share of its shingles here
+    return met.withColumn("rank", F.row_number().over(few)).where(F.col("rank") <= hubs).select("a", "b")
+
+
+def _pairs_by_rare_shingles(rare: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of the classes of _rare_shingles() that share one of these, lie in different components and may be
+    similar by size, sketch and place.
+
+    A passage that many texts share makes them meet only where it leaves less than a seventh of a text its own, and such
+    texts are similar and in one component by now. At places i and j the first shingle that two sets share leaves at most
+    the rest of either to be shared: n - i and m - j, which with it have to reach p (n + m) / (100 + p). (Of a similar pair the
+    first shared shingle passes, whatever the later ones do.)"""
+    a, b = _side("a", rare.where("early")), _side("b", rare)
     order = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
-    return a.join(b, (a.a_h == b.b_h) & order & (F.col("a_comp") != F.col("b_comp")) & sketches_fit("a", "b", percent)).select("a", "b")
+    left = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) + 1
+    enough = left * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    return a.join(b, (a.a_h == b.b_h) & order & (F.col("a_comp") != F.col("b_comp")) & enough & sketches_fit("a", "b", percent)).select("a", "b")
 
 
 def common_counts(sets: list[np.ndarray], first: int, columns: int = 8192) -> np.ndarray:
@@ -385,8 +417,8 @@ def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, b
     wanted = summary.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")).join(met.select("fp").distinct(), "fp", "left_semi").select("row")
     sets = class_sets(docs, wanted, k)
 
-    links = tested = labels = None
-    for turn in range(rounds + 1):
+    links = tested = labels = rare = None
+    for turn in range(rounds + 2):
         here = met.withColumn("comp", F.col("fp"))
         if labels is not None:
             here = met.join(labels, met.fp == labels.node, "left").withColumn("comp", F.coalesce("comp", "fp"))
@@ -394,12 +426,21 @@ def compare(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, b
         here = stored(here.join(spread, "key", "left_semi").select("key", "fp", "n", "weight", "comp"), "open")
         if here.isEmpty():
             break
-        last = turn == rounds
-        pairs = _pairs_left(here, sets, percent) if last else _pairs_with_leaders(here, turn, leaders if turn else 1)
+        if turn < rounds:
+            pairs = _pairs_with_leaders(here, turn, leaders if turn else 1)
+        else:
+            few, hot = _by_size(here, 64)
+            if turn == rounds:
+                rare = _rare_shingles(hot, sets, percent)
+                pairs = _pairs_with_hubs(rare, percent)
+            else:  # what is in large blocks now was in them before
+                pairs = _pairs_of_few(few, sets, percent).unionByName(_pairs_by_rare_shingles(rare.drop("comp").join(hot, "fp"), percent))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        if turn == rounds and pairs.isEmpty():
+            continue
         found = verify(pairs, sets, percent)
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)

@@ -655,6 +655,23 @@ def test_last_join_loses_no_link(spark, most):
     assert want <= found and len(want) > 400
 
 
+def test_the_rim_of_a_group_makes_no_pairs(spark):
+    """Long near copies with few words of their own and with too many: they meet in frequent shingles alone, at places that
+    leave too little to share."""
+    group = prose(91, 1200).split()
+    at = lambda i, n: {(j * 1190 // n + 7 * i) % 1200 for j in range(n)}
+    docs = [(i, " ".join(f"own{i}x{j}" if j in at(i, 20 if i < 30 else 50) else w for j, w in enumerate(group))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    _, sets, _ = jaccard_join.compare(df, "doc_id", "text", 5, 75, 64, 1e-6, 1, 1)
+    fp = [jaccard_join.fingerprint(jaccard_join.shingles(jaccard_join.WordHashes().of(words(t)), 5)) for _, t in docs]
+    here = spark.createDataFrame([(k, f, i >= 30) for i, f in enumerate(fp) for k in (1, 2)], "key long, fp long, far boolean")
+    here = here.select("key", "fp", F.when(F.col("far"), F.col("fp")).otherwise(0).alias("comp"))
+    found = {(r.a, r.b) for r in jaccard_join._pairs_left(here, sets, 75, 3).collect()}
+    near, far = set(fp[:30]), set(fp[30:])
+    assert not [x for x in links_of(docs) if set(x) & far]
+    assert sum(a in near or b in near for a, b in found) < 90
+
+
 def test_a_shared_passage_makes_no_pairs(spark):
     """Texts that share 60 or 80 per cent of their words: the pairs of the last join grow with the texts at most."""
     found = []
