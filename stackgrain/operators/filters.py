@@ -13,7 +13,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import around, per_slice, tile_of
+from .slices import around, per_slice, tile_of, whole_lines
 
 
 def _windows(a: np.ndarray, size: int, mode: str) -> np.ndarray:
@@ -147,21 +147,16 @@ def clahe_array(f: np.ndarray, tile: int, clip: float, bins: int = 256) -> np.nd
 
 
 def clahe_tiled(gray: DataFrame, tile: int, clip: float, scale: float = 255.0, bins: int = 256) -> DataFrame:
-    """clahe_array on v / scale without a task that holds a slice: histograms by tile, turned into maps, and pixels
-    grouped by the four tiles around them, which is at most a tile of pixels and four maps a task. Slices start at (0, 0)
+    """clahe_array on v / scale without a task that holds a slice: histograms by tile, and pixels sorted by the
+    four tiles around them, whose maps a task makes for some regions at a time. Slices start at (0, 0)
     and have no gaps longer than a tile."""
     kinds = dict(gray.dtypes)
     key = f"scan_id {kinds['scan_id']}, z {kinds['z']}"
     level = F.least(F.floor(F.col("v") / scale * (bins - 1) + 0.5), F.lit(bins - 1)).cast("int")
     cell = [tile_of(F.col(c), tile).alias(f"t{c}") for c in "yx"]
     hist = gray.groupBy("scan_id", "z", *cell, level.alias("level")).agg(F.count("*").alias("n"))
-
-    def to_map(t: pa.Table) -> pa.Table:
-        h = np.zeros((1, bins))
-        h[0, t.column("level").to_numpy()] = t.column("n").to_numpy()
-        return pa.table({k: t.column(k)[:1] for k in ("scan_id", "z", "ty", "tx")} | {"map": pa.array([_maps(h, clip)[0].tolist()], pa.list_(pa.float64()))})
-
-    maps = hist.groupBy("scan_id", "z", "ty", "tx").applyInArrow(to_map, f"{key}, ty long, tx long, map array<double>")
+    # A tile's counts stay sparse until a task makes its map: at most as many as it has pixels, or levels.
+    maps = hist.groupBy("scan_id", "z", "ty", "tx").agg(F.collect_list("level").alias("levels"), F.collect_list("n").alias("counts"))
     last = gray.groupBy("scan_id", "z").agg(*(tile_of(F.max(c), tile).alias(f"m{c}") for c in "yx"))
     # A region (ly, lx) lies between the centres of tiles ly, ly + 1 and lx, lx + 1; at the slice's border both are the same.
     regions = maps.join(last, ["scan_id", "z"])
@@ -171,19 +166,39 @@ def clahe_tiled(gray: DataFrame, tile: int, clip: float, scale: float = 255.0, b
         first = F.when(at == 0, F.array(F.struct(F.lit(-1).cast("long").alias("low"), F.lit(0).alias("side")))).otherwise(F.array())
         final = F.when(at == end, F.array(F.struct(at.alias("low"), F.lit(1).alias("side")))).otherwise(F.array())
         regions = regions.withColumn("s", F.explode(F.concat(sides, first, final))).withColumns({f"l{c}": F.col("s.low"), f"s{c}": F.col("s.side")}).drop("s")
-    regions = regions.select("scan_id", "z", "ly", "lx", "sy", "sx", "map")
+    regions = regions.select("scan_id", "z", "ly", "lx", (F.col("sy") * 2 + F.col("sx")).alias("side"), "levels", "counts")
     low = [tile_of(F.col(c) - tile / 2 + 0.5, tile).alias(f"l{c}") for c in "yx"]
     pixels = gray.select("scan_id", "z", "y", "x", "v", *low)
-
-    def run(p: pa.Table, m: pa.Table) -> pa.Table:
-        own = {(i, j): np.array(v) for i, j, v in zip(m.column("sy").to_pylist(), m.column("sx").to_pylist(), m.column("map").to_pylist(), strict=True)}
-        level = _levels(p.column("v").to_numpy() / scale, bins)
-        wy, wx = ((p.column(c).to_numpy() + 0.5) / tile - 0.5 - p.column(f"l{c}").to_numpy() for c in "yx")
-        got = _mixed(lambda i, j: own[i, j][level], wy, wx) if p.num_rows else np.zeros(0)
-        return pa.table({k: p.column(k) for k in ("scan_id", "z", "y", "x")} | {"clahe": pa.array(got)})
-
     by = ["scan_id", "z", "ly", "lx"]
-    return pixels.groupBy(*by).cogroup(regions.groupBy(*by)).applyInArrow(run, f"{key}, y {kinds['y']}, x {kinds['x']}, clahe double")
+    rows = pixels.unionByName(regions, allowMissingColumns=True)
+
+    def run(t: pa.RecordBatch, line: np.ndarray) -> pa.RecordBatch:
+        side = t.column("side").fill_null(-1).to_numpy()
+        pixel, corner = np.nonzero(side < 0)[0], np.nonzero(side >= 0)[0]
+        own = t.take(pa.array(pixel))
+        level = _levels(own.column("v").to_numpy() / scale, bins)
+        wy, wx = ((own.column(c).to_numpy() + 0.5) / tile - 0.5 - own.column(f"l{c}").to_numpy() for c in "yx")
+        given = t.take(pa.array(corner)).select(["levels", "counts"])
+        size = np.diff(given.column("levels").offsets.to_numpy())
+        start = np.append(0, np.cumsum(size))
+        levels, counts = (given.column(c).flatten().to_numpy() for c in ("levels", "counts"))
+        got = np.zeros(len(pixel))
+        lines = int(line[-1]) + 1
+        for at in range(0, lines, 1024):  # dense maps of so many regions at a time
+            end = min(lines, at + 1024)
+            i, j = np.searchsorted(line[corner], (at, end))
+            h = np.zeros((j - i, bins))
+            h[np.repeat(np.arange(j - i), size[i:j]), levels[start[i] : start[j]]] = counts[start[i] : start[j]]
+            m = _maps(h, clip)
+            place = np.zeros((end - at, 4), np.int64)
+            place[line[corner[i:j]] - at, side[corner[i:j]]] = np.arange(j - i)
+            k, n = np.searchsorted(line[pixel], (at, end))
+            if k < n:
+                region, lev = line[pixel[k:n]] - at, level[k:n]
+                got[k:n] = _mixed(lambda sy, sx: m[place[region, 2 * sy + sx], lev], wy[k:n], wx[k:n])  # noqa: B023
+        return pa.RecordBatch.from_arrays([*(own.column(c) for c in ("scan_id", "z", "y", "x")), pa.array(got)], names=["scan_id", "z", "y", "x", "clahe"])
+
+    return whole_lines(rows, by, run, f"{key}, y {kinds['y']}, x {kinds['x']}, clahe double")
 
 
 def clahe(gray: DataFrame, tile: int = 61, clip: float = 0.01, by_tiles: bool = False) -> DataFrame:
