@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .slices import around as around_
-from .slices import once, per_slice, tile_of
+from .slices import once, per_slice, tile_of, whole_lines
 from .union import stars
 
 
@@ -55,22 +55,34 @@ def _tile_components(labels: DataFrame, target: int, tile: int) -> DataFrame:
     nodes of a slice are ordered as their pixels are; null outside the target. Coordinates are not negative."""
     kinds = dict(labels.dtypes)
 
-    def run(t: pa.Table) -> pa.Table:
-        y, x, label = (t.column(c).to_numpy() for c in ("y", "x", "label"))
-        top, left = y.min(), x.min()
-        mask = np.zeros((y.max() - top + 1, x.max() - left + 1), bool)
-        mask[y - top, x - left] = label == target
-        comp, _ = label_components(mask)
-        flat = comp.ravel()
-        number, first = np.unique(flat, return_index=True)
-        node = np.zeros(int(number[-1]) + 1, np.int64)
-        node[number] = ((top + first // mask.shape[1]) << 32) + left + first % mask.shape[1]
-        own = comp[y - top, x - left]
-        return pa.table({k: t.column(k) for k in ("scan_id", "z", "y", "x", "label")} | {"node": pa.array(node[own], mask=own == 0)})
+    def run(t: pa.RecordBatch, line: np.ndarray) -> pa.RecordBatch:
+        y, x, label = (t.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "label"))
+        start = np.nonzero(np.append(True, line[1:] != line[:-1]))[0]
+        top, left = (np.minimum.reduceat(c, start) for c in (y, x))
+        height, width = (np.maximum.reduceat(c, start) - low + 1 for c, low in ((y, top), (x, left)))
+        end = np.append(start[1:], len(y))
+        node, inside = np.zeros(len(y), np.int64), np.zeros(len(y), bool)
+        # Tiles are stacked in one mask with an empty row between, so many pixels at a time.
+        part = np.cumsum((height + 1) * width.max()) // (1 << 20)
+        for own in np.split(np.arange(len(start)), np.nonzero(np.diff(part))[0] + 1):
+            rows = slice(start[own[0]], end[own[-1]])
+            base = np.append(0, np.cumsum(height[own] + 1))
+            at = line[rows] - own[0]
+            i, j = base[at] + y[rows] - top[own][at], x[rows] - left[own][at]
+            mask = np.zeros((base[-1], width[own].max()), bool)
+            mask[i, j] = label[rows] == target
+            comp, _ = label_components(mask)
+            number, first = np.unique(comp.ravel(), return_index=True)
+            fy, fx = first // mask.shape[1], first % mask.shape[1]
+            tile_ = np.searchsorted(base, fy, side="right") - 1
+            name = np.zeros(int(number[-1]) + 1, np.int64)
+            name[number] = ((top[own][tile_] + fy - base[tile_]) << 32) + left[own][tile_] + fx
+            node[rows], inside[rows] = name[comp[i, j]], comp[i, j] > 0
+        return pa.RecordBatch.from_arrays([*(t.column(k) for k in ("scan_id", "z", "y", "x", "label")), pa.array(node, mask=~inside)], names=["scan_id", "z", "y", "x", "label", "node"])
 
     tiles = [tile_of(F.col(c), tile).alias(f"t{c}") for c in "yx"]
     schema = ", ".join(f"{k} {kinds[k]}" for k in ("scan_id", "z", "y", "x", "label")) + ", node long"
-    return labels.select("scan_id", "z", "y", "x", "label", *tiles).groupBy("scan_id", "z", "ty", "tx").applyInArrow(run, schema)
+    return whole_lines(labels.select("scan_id", "z", "y", "x", "label", *tiles), ["scan_id", "z", "ty", "tx"], run, schema)
 
 
 def _tiled(labels: DataFrame, target: int, tile: int) -> DataFrame:

@@ -188,3 +188,21 @@ def test_weak_labels_percentiles(spark, gray):
     whole = frame.where("z = 0").crossJoin(frame.where("z = 0").agg(*q)).withColumn("want", F.when((F.round("variance", 9) > F.col("variance_q")) | (F.round("gradient", 9) > F.col("gradient_q")), 255).otherwise(F.col("label")))
     want = {(r.y, r.x): r.want for r in whole.collect()}
     assert {(r.y, r.x): r.weak for r in got[got.z == 0].itertuples()} == want
+
+
+def test_small_tiles_are_worked_on_by_batches(spark):
+    """Tiles of a few pixels: no Python call for each of them, and the values of the whole slice."""
+    r = np.random.default_rng(8)
+    rows = [(s, z, y, x, int(r.integers(0, 256))) for s in (1, 2) for z in range(3) for y in range(7) for x in range(8)]
+    gray = spark.createDataFrame(rows, "scan_id long, z long, y long, x long, v long")
+    for tile in (1, 3, 50):
+        got = filters.clahe(gray, tile, 0.05, by_tiles=True)
+        label = gray.select("scan_id", "z", "y", "x", (F.col("v") > 120).cast("long").alias("label"))
+        found = components.components(label, tile=tile)
+        for plan in (got, components._tile_components(label, 1, tile)):
+            assert "GroupsInArrow" not in plan._jdf.queryExecution().toString()
+        key = lambda d: sorted(tuple(x) for x in d.collect())
+        one, two = key(got), key(filters.clahe(gray, tile, 0.05))
+        assert [x[:4] for x in one] == [x[:4] for x in two] and np.allclose([x[4] for x in one], [x[4] for x in two], atol=1e-12)
+        names = ("scan_id", "z", "y", "x", "comp", "comp_size")
+        assert sorted(map(str, key(found.select(*names)))) == sorted(map(str, key(components.components(label).select(*names))))
