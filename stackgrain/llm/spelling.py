@@ -11,7 +11,9 @@ corpus. Keys are 64-bit hashes; each candidate is verified on the words themselv
 
 A pair that meets at several keys is taken at the one whose rest holds the first difference. Words are counted where
 texts are read, in tables of bounded size; roots are found by doubling along the forms, whose counts at least double
-from link to link, so that a chain is no longer than the logarithm of the largest count.
+from link to link, so that a chain is no longer than the logarithm of the largest count. All joins are sort-merge joins by
+hint: Spark takes the keys of a word, about ten rows each, for as small as the file of words that they are made from, and
+would send them through the driver while that file is below the broadcast threshold.
 
 Null or empty text: no words. A null id counts as an empty string before the colon. Texts are read whole, however long.
 Ties between near words of equal counts go to the smaller word. Repeated rows count each. An empty table gives an empty
@@ -130,7 +132,7 @@ def near_pairs(words: DataFrame, rest: int = 2) -> DataFrame:
     c, g = chunks.alias("c"), grams.alias("g")
     longer = F.length("g.word") > F.length("c.word")
     once = (longer & (F.col("c.last") | ~F.startswith("g.r", "c.r"))) | (~longer & (F.col("c.word") < F.col("g.word")))
-    near = c.join(g, (F.col("c.k") == F.col("g.k")) & once & (F.levenshtein(F.col("c.word"), F.col("g.word"), 1) == 1))
+    near = c.join(g.hint("merge"), (F.col("c.k") == F.col("g.k")) & once & (F.levenshtein(F.col("c.word"), F.col("g.word"), 1) == 1))
     both = near.select(F.explode(F.array(
         F.struct(F.col("c.word").alias("word"), F.col("c.n").alias("n"), F.col("g.word").alias("near"), F.col("g.n").alias("near_n")),
         F.struct(F.col("g.word").alias("word"), F.col("g.n").alias("n"), F.col("c.word").alias("near"), F.col("c.n").alias("near_n")),
@@ -143,7 +145,7 @@ def roots(links: DataFrame) -> DataFrame:
     now = stored(links.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        now = stored(now.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        now = stored(now.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if now.where("moved").isEmpty():
             return now.select("word", "root")
         now = now.select("word", "root")
@@ -157,9 +159,9 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", da
     form_n = -F.col("b.m")
     fits = form_n >= ratio * F.col("n")
     found = stored(
-        words.join(best, "word", "left").select(
+        words.join(best.hint("merge"), "word", "left").select(
             "word", F.when(fits, F.col("b.form")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(fits, form_n).alias("form_n")
         ), "forms",
     )
     ends = roots(found.where("form is not null"))
-    return found.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -259,6 +259,23 @@ def test_chains_end_at_their_root(spark):
     assert got["bbbbb"] == (None, "bbbbb")  # its near word is as frequent only
 
 
+def test_no_words_are_broadcast(spark, monkeypatch):
+    """The tables are far below the broadcast threshold here; their keys pass it long before their file does."""
+    plans, plain = [], spelling.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(spelling, "stored", stored)
+    docs = spark.createDataFrame([(1, "aaaaa " * 20 + "aaaab " * 8 + "aaabb " * 3)], "doc_id long, text string")
+    got = spelling.variants(docs, damage=0)
+    assert sorted((r.word, r.root) for r in got.collect()) == [("aaaaa", "aaaaa"), ("aaaab", "aaaaa"), ("aaabb", "aaaaa")]
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("ab", min_size=5, max_size=12), st.integers(0, 12), st.sampled_from("abx"), st.booleans())
 def test_one_edit_keeps_a_chunk(word, at, letter, replace):
