@@ -51,7 +51,7 @@ def unbeaten(place: np.ndarray, k: np.ndarray, room: np.ndarray) -> tuple[np.nda
     return place[keep], k[keep], room[keep]
 
 
-def along(line: np.ndarray, at: np.ndarray, k: np.ndarray, room: np.ndarray, low: np.ndarray, high: np.ndarray, most: int = 1 << 21):
+def along(line: np.ndarray, at: np.ndarray, k: np.ndarray, room: np.ndarray, low: np.ndarray, high: np.ndarray, most: int = 1 << 18):
     """The unbeaten balls of all places of the lines, low..high, that balls at some of them reach: arrays of line, place,
     k and room, ordered by line and place. Lines come in order; about so many steps are held at a time."""
     if not len(line):

@@ -113,8 +113,9 @@ def line_numbers(rows: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.cumsum(new)
 
 
-#: Rows that are gathered before a kernel over lines is called, unless a single line has more.
-ROWS = 1 << 17
+#: Rows that are gathered before a kernel over lines is called, unless a single line has more. Few, so that a small task
+#: already holds as many as any larger one, and memory does not follow the input.
+ROWS = 1 << 15
 
 
 def whole_lines(df: DataFrame, keys: list[str], kernel: Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:

@@ -1,6 +1,9 @@
 """Voxel operators against golden values, brute force and invariants."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +321,46 @@ def test_openings_of_large_balls(spark):
     assert k.max() > 12 and (to_array(thick, "diameter", pore.shape)[pore] == want.reshape(pore.shape)[pore]).all()
 
 
+class Task:
+    """A table of which whole_lines() leaves just the function that its tasks run."""
+
+    columns, dtypes = ["scan_id", "z", "y", "x", "k", "room", "y_lo", "y_hi"], [(c, "bigint") for c in ("scan_id", "z", "y", "x", "k", "room", "y_lo", "y_hi")]
+
+    def repartition(self, *keys):
+        return self
+
+    sortWithinPartitions = repartition
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_memory_of_a_task_does_not_follow_its_rows():
+    """Balls of a task along y, as batches of 10,000 rows: numpy's and Arrow's peaks on four times the rows."""
+    run = opening._spread(Task(), "y")
+
+    def batches(n):
+        r = np.random.default_rng(6)
+        for i in range(0, n, 10_000):
+            at = np.arange(i, i + 10_000)
+            k = r.integers(1, 8, len(at))
+            own = {"scan_id": at >> 12, "z": at >> 8 & 15, "x": at >> 4 & 15, "y": at & 15, "k": k, "room": k * k, "y_lo": 0 * at, "y_hi": 0 * at + 15}
+            yield pa.RecordBatch.from_pydict({c: pa.array(own[c]) for c in Task.columns})
+
+    def peak(n):
+        held, before = 0, pa.total_allocated_bytes()
+        tracemalloc.start()
+        for batch in run(batches(n)):
+            held = max(held, pa.total_allocated_bytes() - before)
+            assert batch.num_rows
+        most = tracemalloc.get_traced_memory()[1] + held
+        tracemalloc.stop()
+        return most
+
+    small, large = peak(100_000), peak(400_000)
+    assert large < 40e6 and large < 1.2 * small
+
+
 def test_voxels_without_a_row_are_no_obstacle(spark):
     volume = balls(spark, 16, [(8, 8, 8, 5)])
     holes = opening.opening(edt.edt(volume)).where("x <> 9 and y <> 7")
